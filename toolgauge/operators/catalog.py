@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from toolgauge.functions import json_text as J
+from toolgauge.functions.stage import computed
 
 # Every example line repeats the schema list, so it has to stay small.
 MAX_SCHEMA_BYTES = 8 * 1024 * 1024
@@ -19,36 +20,32 @@ def tool_catalog(specs: DataFrame) -> DataFrame:
     Broken specs fail the job.
     """
     fields = F.col("_fields")
-    spec = specs.select("tool_ord", J.object_fields(F.col("spec")).alias("_fields"))
+    spec = computed(specs, _fields=J.object_fields(F.col("spec")))
     has_params = F.map_contains_key(fields, "parameters")
-    split = spec.select(
-        "tool_ord",
-        _must(
+    split = computed(
+        spec,
+        name=_must(
             fields["name"],
             F.concat(F.lit("tool without a name at position "), F.col("tool_ord")),
-        ).alias("name"),
-        F.when(~F.map_contains_key(fields, "description"), F.lit(""))
-        .otherwise(
+        ),
+        description=F.when(~F.map_contains_key(fields, "description"), F.lit("")).otherwise(
             _must(
                 fields["description"],
                 F.concat(F.lit("null description at position "), F.col("tool_ord")),
             )
-        )
-        .alias("description"),
-        F.when(has_params, J.unique_entries(J.object_fields(fields["parameters"]))).alias(
-            "_params"
         ),
-        has_params.alias("_has_params"),
+        _given=J.object_fields(fields["parameters"]),
+        _has_params=has_params,
     )
     params = F.when(
         F.col("_has_params"),
-        _must(F.col("_params"), F.concat(F.lit("parameters of "), F.col("name"), F.lit(" are no object"))),
+        _must(
+            J.unique_entries(F.col("_given")),
+            F.concat(F.lit("parameters of "), F.col("name"), F.lit(" are no object")),
+        ),
     ).otherwise(F.array().cast("array<struct<key:string,value:string>>"))
-    return split.select(
-        "tool_ord",
-        "name",
-        "description",
-        F.transform(params, _parameter).alias("parameters"),
+    return computed(split, parameters=F.transform(params, _parameter)).select(
+        "tool_ord", "name", "description", "parameters"
     )
 
 

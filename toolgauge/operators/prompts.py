@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from toolgauge.functions import json_text as J
+from toolgauge.functions.stage import computed
 
 MAX_PATCH_ROWS = 20
 PATCH_ROWS_PER_FAILURE = 3
@@ -56,7 +57,7 @@ DATAGEN_TAIL = (
 def failure_text(failures: DataFrame) -> DataFrame:
     """The text of a failure that gets embedded."""
     call = J.object_fields(F.col("expected"))
-    return failures.withColumn("_call", call).select(
+    return computed(failures, _call=call).select(
         *failures.columns,
         F.concat_ws(
             " | ",
@@ -158,7 +159,7 @@ def sft_text(examples: DataFrame, template: dict[str, str] = CHATML) -> DataFram
         F.lit("}"),
     )
     return (
-        examples.withColumn("_call", J.object_fields(F.col("expected_tool_call")))
+        computed(examples, _call=J.object_fields(F.col("expected_tool_call")))
         .filter(call["name"].isNotNull())
         .withColumn(
             "text",

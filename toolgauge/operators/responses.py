@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from toolgauge.functions import json_text as J
+from toolgauge.functions.stage import computed
 from toolgauge.functions.text import strip, unfence_anchored, unfence_anywhere
 
 INVALID_JSON = "invalid_json"
@@ -25,28 +26,23 @@ def _array_of(text: Column, schema: str, end_mark: str) -> Column:
 def _parse_items(cleaned: DataFrame) -> DataFrame:
     """Add `_items`: array of field maps, with NULL for an item that is no object.
 
-    `_items` itself is NULL when the text is not a JSON array. One parse serves
+    `_usable` counts the items before the first one that is no example. `_items`
+    itself is NULL when the text is not a JSON array. One parse serves
     answers that hold objects only; anything else takes the slower way below.
     """
     text = F.col("_text")
-    objects = _array_of(text, _OBJECTS, f'{{"{J.END_KEY}":"1"}}')
-    parsed = cleaned.withColumn("_objects", objects)
+    parsed = computed(cleaned, _objects=_array_of(text, _OBJECTS, f'{{"{J.END_KEY}":"1"}}'))
     closed = F.coalesce(
         (F.size("_objects") == 2)
         & F.map_contains_key(F.get(F.get("_objects", F.lit(1)), F.lit(0)), J.END_KEY),
         F.lit(False),
     )
-    staged = parsed.withColumn("_closed", closed).withColumn(
-        "_mixed",
-        F.when(
-            ~F.col("_closed") & F.startswith(F.ltrim(text), F.lit("[")) & J.is_json(text),
-            _mixed_items(text),
-        ),
+    items = F.when(closed, F.get("_objects", F.lit(0))).when(
+        F.startswith(F.ltrim(text), F.lit("[")) & J.is_json(text), _mixed_items(text)
+    )
+    return computed(computed(parsed, _items=items), _usable=_first_bad(F.col("_items"))).drop(
+        "_objects"
     )
-    return staged.withColumn(
-        "_items",
-        F.when(F.col("_closed"), F.get("_objects", F.lit(0))).otherwise(F.col("_mixed")),
-    ).drop("_objects", "_mixed", "_closed")
 
 
 def _mixed_items(text: Column) -> Column:
@@ -71,7 +67,7 @@ def _is_bad(item: Column) -> Column:
 
 
 def _first_bad(items: Column) -> Column:
-    """Position of the first unusable item, or the number of items."""
+    """Number of items before the first unusable one."""
     flags = F.transform(items, lambda item: F.coalesce(_is_bad(item), F.lit(True)))
     at = F.array_position(flags, F.lit(True))
     return F.when(at > 0, at - 1).otherwise(F.size(items))
@@ -92,18 +88,13 @@ def _examples(kept: DataFrame, columns: list[str]) -> DataFrame:
 
 def base_lanes(responses: DataFrame) -> DataFrame:
     """Judge whole answers: `_items` of good ones, `reason` and `head` of the others."""
-    cleaned = responses.withColumn("_open", unfence_anchored(F.col("raw"))).withColumn(
-        "_text", strip(F.col("_open"))
+    opened = computed(responses, _open=unfence_anchored(F.col("raw")))
+    parsed = _parse_items(computed(opened, _text=strip(F.col("_open"))))
+    reason = F.when(F.col("_items").isNull() & ~J.is_json(F.col("_text")), INVALID_JSON).when(
+        F.col("_items").isNull() | (F.col("_usable") < F.size("_items")), BAD_ITEM
     )
     return (
-        _parse_items(cleaned)
-        .withColumn(
-            "reason",
-            F.when(F.col("_items").isNull() & ~J.is_json(F.col("_text")), INVALID_JSON).when(
-                F.col("_items").isNull() | (_first_bad(F.col("_items")) < F.size("_items")),
-                BAD_ITEM,
-            ),
-        )
+        computed(parsed, reason=reason)
         .withColumn("head", F.left("_open", F.lit(REJECT_HEAD)))
         .drop("_open", "_text")
     )
@@ -136,13 +127,11 @@ def patch_rows(responses: DataFrame) -> DataFrame:
     Items before the first unusable one are kept, so positions are dense and serve
     as numbers within (iteration, cluster_id): one answer per cluster, no window.
     """
-    cleaned = responses.withColumn("_text", unfence_anywhere(F.col("raw")))
+    cleaned = computed(responses, _text=unfence_anywhere(F.col("raw")))
     kept = (
         _parse_items(cleaned)
         .filter(F.col("_items").isNotNull())
-        .withColumn(
-            "_items", F.slice("_items", F.lit(1), _first_bad(F.col("_items")).cast("int"))
-        )
+        .withColumn("_items", F.slice("_items", F.lit(1), F.col("_usable").cast("int")))
     )
     rows = _examples(kept, [c for c in responses.columns if c != "raw"])
     return rows.withColumn(

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from toolgauge.functions import json_text as J
+from toolgauge.functions.stage import computed
 from toolgauge.functions.text import unfence_anywhere
 
 # The error names.
@@ -29,7 +30,7 @@ def expected_lanes(examples: DataFrame) -> DataFrame:
     """
     call = F.col("_expected_call")
     return (
-        examples.withColumn("_expected_call", J.parse_call(F.col("expected_tool_call")))
+        computed(examples, _expected_call=J.parse_call(F.col("expected_tool_call")))
         .withColumn("tool", J.call_value(call)["name"])
         .withColumn(
             "lane",
@@ -63,47 +64,50 @@ def score_calls(pairs: DataFrame) -> DataFrame:
     """Add `tool`, `is_correct` and `error_type` ('' when correct) to scorable rows.
 
     Needs `expected_tool_call` and `predicted`. Negatives and rejects are left out.
-    Each text is parsed once; the steps are separate projections so that Catalyst
-    keeps it that way.
+    Each text is parsed once.
     """
-    parsed = (
-        pairs.filter(F.col("expected_tool_call").isNotNull())
-        .withColumn("_text", unfence_anywhere(F.coalesce("predicted", F.lit(""))))
-        .withColumn("_p", J.parse_call(F.col("_text")))
-        .withColumn("_e", J.parse_call(F.col("expected_tool_call")))
+    texts = computed(
+        pairs.filter(F.col("expected_tool_call").isNotNull()),
+        _text=unfence_anywhere(F.coalesce("predicted", F.lit(""))),
+    )
+    parsed = computed(
+        texts,
+        _p=J.parse_call(F.col("_text")),
+        _e=J.parse_call(F.col("expected_tool_call")),
     )
     expected = J.call_value(F.col("_e"))
     predicted = J.call_value(F.col("_p"))
-    shaped = parsed.select(
+    entries = parsed.select(
         *pairs.columns,
         "_text",
         J.call_closed(F.col("_p")).alias("_p_closed"),
         predicted["name"].alias("_p_name"),
-        J.unique_entries(predicted["arguments"]).alias("_p_args"),
         F.when(J.call_closed(F.col("_e")), expected["name"]).alias("tool"),
+        F.map_keys(predicted["arguments"]).alias("_p_keys"),
+        J.unique_entries(predicted["arguments"]).alias("_p_args"),
         J.unique_entries(expected["arguments"]).alias("_e_args"),
     )
-    return (
-        shaped.filter(F.col("tool").isNotNull())
-        .withColumn("error_type", _error_type())
-        .withColumn("is_correct", F.col("error_type") == "")
-        .drop("_text", "_p_closed", "_p_name", "_p_args", "_e_args")
+    judged = computed(entries.filter(F.col("tool").isNotNull()), error_type=_error_type())
+    return judged.select(
+        *pairs.columns,
+        "tool",
+        (F.col("error_type") == "").alias("is_correct"),
+        "error_type",
     )
 
 
 def _error_type() -> Column:
     no_entries = F.array().cast("array<struct<key:string,value:string>>")
-    p_args = F.coalesce("_p_args", no_entries)
+    p_keys = F.coalesce("_p_keys", F.array().cast("array<string>"))
     e_args = F.coalesce("_e_args", no_entries)
     e_keys = F.transform(e_args, lambda e: e["key"])
-    p_keys = F.transform(p_args, lambda e: e["key"])
 
     # The earliest expected argument that is absent or differs decides.
     faults = F.filter(
         F.transform(
             e_args,
             lambda e: F.when(~F.array_contains(p_keys, e["key"]), MISSING_PARAM).when(
-                J.value_text(J.last_value(p_args, e["key"])) != J.value_text(e["value"]),
+                J.value_text(J.last_value(F.col("_p_args"), e["key"])) != J.value_text(e["value"]),
                 WRONG_PARAM_VALUE,
             ),
         ),

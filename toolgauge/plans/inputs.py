@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from toolgauge.functions.stage import computed
+
 EVENTS_PER_RUN = 1000
 ITERATIONS = 10
 
@@ -46,14 +48,19 @@ def eval_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = _event_fields(table(spark, sf_dir, "events"))
     query = _text("user ", F.col("user_id"), " asks for ", F.col("event_type"), " number ", F.col("event_id"))
     call = _call(F.col("event_type"), F.col("k"), F.col("cents"), F.col("channel"))
-    return e.select(
+    texts = computed(
+        e,
+        user_query=query,
+        expected_tool_call=F.when(F.col("event_id") % 97 != 0, call),
+    )
+    return texts.select(
         F.col("event_id").alias("ord"),
         "run_id",
         "iteration",
         _text("eval_", F.col("event_id")).alias("id"),
-        query.alias("user_query"),
-        F.when(F.col("event_id") % 97 != 0, call).alias("expected_tool_call"),
-        F.array(F.struct(F.lit("user").alias("role"), query.alias("content"))).alias("messages"),
+        "user_query",
+        "expected_tool_call",
+        F.array(F.struct(F.lit("user").alias("role"), F.col("user_query").alias("content"))).alias("messages"),
     )
 
 
@@ -80,7 +87,7 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == 14, _call(name, k, cents, _text(channel, ', "currency": "EUR"')))
         .otherwise(_text('{"name": "', name, '", "arguments": {"k": ', k + 1, channel, "}}"))
     )
-    return e.select(F.col("event_id").alias("ord"), predicted.alias("predicted"))
+    return computed(e, predicted=predicted).select(F.col("event_id").alias("ord"), "predicted")
 
 
 def example_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -168,14 +175,16 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit("{"), F.when((kind == 4) & (i == 2), "").otherwise(x["q"]), x["c"], F.lit("}")
         ),
     )
-    array = _text("[", F.array_join(texts, ", "), "]")
-    return items.select(
-        _text(F.col("run_id"), "_", F.col("user_id")).alias("prompt_id"),
+    array = F.col("array")
+    wrapped = (
         F.when(kind == 1, _text("```json\n", array, "\n```"))
         .when(kind == 2, _text("```json\n", array, "\n```\n"))
         .when(kind == 3, array.substr(F.lit(1), F.length(array) - 2))
         .otherwise(array)
-        .alias("raw"),
+    )
+    bodies = computed(items, array=_text("[", F.array_join(texts, ", "), "]"))
+    return computed(bodies, raw=wrapped).select(
+        _text(F.col("run_id"), "_", F.col("user_id")).alias("prompt_id"), "raw"
     )
 
 

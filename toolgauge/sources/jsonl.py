@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from toolgauge.functions import json_text as J
+from toolgauge.functions.stage import computed
 from toolgauge.operators.ranking import dense_positions
 
 MESSAGES = "array<struct<role:string,content:string>>"
@@ -22,9 +23,9 @@ def parse_example_lines(lines: DataFrame) -> DataFrame:
     """
     fields = J.object_fields(F.col("line"))
     columns = [c for c in lines.columns if c != "line"]
-    parsed = lines.withColumn("_ok", J.is_json(F.col("line"))).withColumn(
-        "_fields",
-        F.when(F.col("_ok"), fields).otherwise(
+    parsed = computed(
+        lines,
+        _fields=F.when(J.is_json(F.col("line")), fields).otherwise(
             F.raise_error(F.concat(F.lit("not a JSON line: "), F.left("line", F.lit(200))))
         ),
     )
