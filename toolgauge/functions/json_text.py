@@ -75,11 +75,24 @@ def unique_entries(fields: Column) -> Column:
     return F.when(F.size(F.array_distinct(keys)) < F.size(keys), folded).otherwise(entries)
 
 
+def unique_fields(fields: Column) -> Column:
+    """The map itself, or a folded copy when keys repeat."""
+    keys = F.map_keys(fields)
+    return F.when(
+        F.size(F.array_distinct(keys)) < F.size(keys), F.map_from_entries(unique_entries(fields))
+    ).otherwise(fields)
+
+
 def last_value(entries: Column, key: Column) -> Column:
     """Value of the last entry with that key, NULL when there is none."""
     return F.get(F.reverse(F.filter(entries, lambda e: e["key"] == key)), F.lit(0))["value"]
 
 
+def same_value(left: Column, right: Column) -> Column:
+    """Case-insensitive equality of two JSON values as text; equal text costs no more."""
+    return left.eqNullSafe(right) | (value_text(left) == value_text(right))
+
+
 def value_text(value: Column) -> Column:
     """Lower-cased text of a JSON value, written the way Python's str() writes it.
 

@@ -55,9 +55,11 @@ def with_predictions(examples: DataFrame, predictions: DataFrame) -> DataFrame:
     """Each example with its prediction, matched by position.
 
     `ord` is the key because ids repeat: every row without an id is called
-    'unknown'. An example without a prediction keeps a NULL `predicted`.
+    'unknown'. An example without a prediction keeps a NULL `predicted`. Both sides
+    have one row per example, so neither is ever the small one; tables bucketed by
+    `ord` join without a shuffle.
     """
-    return examples.join(predictions, "ord", "left")
+    return examples.join(predictions.hint("merge"), "ord", "left")
 
 
 def score_calls(pairs: DataFrame) -> DataFrame:
@@ -83,8 +85,7 @@ def score_calls(pairs: DataFrame) -> DataFrame:
         J.call_closed(F.col("_p")).alias("_p_closed"),
         predicted["name"].alias("_p_name"),
         F.when(J.call_closed(F.col("_e")), expected["name"]).alias("tool"),
-        F.map_keys(predicted["arguments"]).alias("_p_keys"),
-        J.unique_entries(predicted["arguments"]).alias("_p_args"),
+        J.unique_fields(predicted["arguments"]).alias("_p_args"),
         J.unique_entries(expected["arguments"]).alias("_e_args"),
     )
     judged = computed(entries.filter(F.col("tool").isNotNull()), error_type=_error_type())
@@ -98,7 +99,8 @@ def score_calls(pairs: DataFrame) -> DataFrame:
 
 def _error_type() -> Column:
     no_entries = F.array().cast("array<struct<key:string,value:string>>")
-    p_keys = F.coalesce("_p_keys", F.array().cast("array<string>"))
+    p_args = F.col("_p_args")
+    p_keys = F.coalesce(F.map_keys(p_args), F.array().cast("array<string>"))
     e_args = F.coalesce("_e_args", no_entries)
     e_keys = F.transform(e_args, lambda e: e["key"])
 
@@ -106,9 +108,10 @@ def _error_type() -> Column:
     faults = F.filter(
         F.transform(
             e_args,
-            lambda e: F.when(~F.array_contains(p_keys, e["key"]), MISSING_PARAM).when(
-                J.value_text(J.last_value(F.col("_p_args"), e["key"])) != J.value_text(e["value"]),
-                WRONG_PARAM_VALUE,
+            lambda e: F.when(
+                ~F.coalesce(F.map_contains_key(p_args, e["key"]), F.lit(False)), MISSING_PARAM
+            ).when(
+                ~J.same_value(F.try_element_at(p_args, e["key"]), e["value"]), WRONG_PARAM_VALUE
             ),
         ),
         lambda fault: fault.isNotNull(),
@@ -120,7 +123,7 @@ def _error_type() -> Column:
     ).otherwise(F.lit(True))
     # `arguments` that is there but no object has no entries at all.
     not_an_object = F.when(
-        F.col("_p_args").isNull(),
+        p_args.isNull(),
         J.object_fields(F.col("_text"))["arguments"].isNotNull(),
     ).otherwise(F.lit(False))
 
