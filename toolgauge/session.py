@@ -1,11 +1,12 @@
-"""Session settings for local runs, and the shared folder for checkpoints."""
+"""Session settings for local runs, and tables in the shared folder."""
 
 from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: int = 8, name: str = "toolgauge") -> SparkSession:
@@ -24,16 +25,25 @@ def local_session(cpus: int = 8, name: str = "toolgauge") -> SparkSession:
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the folder named by spark.checkpoint.dir; pick one only in local mode."""
-    context = spark.sparkContext
-    if context.getCheckpointDir():
-        return
-    folder = context.getConf().get("spark.checkpoint.dir", "") or spark.conf.get(
-        "spark.checkpoint.dir", ""
-    )
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named by spark.checkpoint.dir; one of our own only in local mode."""
+    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir", "")
+    folder = folder or spark.conf.get("spark.checkpoint.dir", "")
     if not folder:
-        if not context.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="toolgauge-checkpoint-")
-    context.setCheckpointDir(folder)
+        folder = tempfile.mkdtemp(prefix="toolgauge-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
+
+
+def settle(rows: DataFrame) -> DataFrame:
+    """Write rows to a table in the shared folder and go on from there.
+
+    Cuts lineage so that it survives lost executors, and, unlike a checkpoint, leaves
+    neither old constraints (which multiply over rounds of self-joins) nor unknown
+    sizes behind: later joins see how large the table really is.
+    """
+    path = f"{shared_folder(rows.sparkSession)}/tables/{uuid.uuid4().hex}"
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
