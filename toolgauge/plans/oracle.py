@@ -197,6 +197,16 @@ summary AS (
   JOIN errors USING (cluster_id) WHERE place = 1
 )"""
 
+# Every pair of vectors, which is affordable at the size this is checked at.
+NEIGHBORS = """
+vec AS (SELECT vec_id AS ord, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+ranked AS (
+  SELECT a.ord, b.ord AS neighbor, list_distance(a.x, b.x) AS dist,
+         row_number() OVER (PARTITION BY a.ord ORDER BY list_distance(a.x, b.x), b.ord) AS place
+  FROM vec a JOIN vec b ON a.ord <> b.ord
+),
+core AS (SELECT ord, dist AS core FROM ranked WHERE place = 5)"""
+
 _SCHEMA_HEAD = """'{"type":"function","function":{"name":"' || name || '","description":"' || description || '","parameters":{"type":"object","properties":{'"""
 
 SQL: dict[str, str] = {
@@ -326,4 +336,9 @@ SELECT run_id, iteration, overall_accuracy, failure_count, stop_reason FROM s
 WHERE iteration <= coalesce((SELECT min(iteration) FROM s t WHERE t.run_id = s.run_id AND t.stop_reason <> 'continue'), 8)""",
     "cluster_summary": f"WITH {VECTOR_FAILURES} SELECT cluster_id, label, size, cluster_ord FROM summary",
     "clusters_handled": f"WITH {VECTOR_FAILURES} SELECT cluster_ord, cluster_id, label FROM summary",
+    "core_distances": f"WITH {NEIGHBORS} SELECT ord, round(core, 6) AS core_distance FROM core",
+    "mutual_reachability": f"""WITH {NEIGHBORS}
+SELECT r.ord, r.neighbor, round(r.dist, 6) AS distance,
+       round(greatest(r.dist, a.core, b.core), 6) AS reachability
+FROM ranked r JOIN core a ON a.ord = r.ord JOIN core b ON b.ord = r.neighbor WHERE r.place <= 5""",
 }

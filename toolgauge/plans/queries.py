@@ -6,8 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from toolgauge.operators import catalog, clusters, metrics, prompts, responses, scoring, split
+from toolgauge.operators import (
+    catalog,
+    clusters,
+    density,
+    metrics,
+    neighbors,
+    prompts,
+    responses,
+    scoring,
+    split,
+    vectors,
+)
 from toolgauge.plans import inputs
+from toolgauge.session import settle
 from toolgauge.sources import jsonl
 
 TARGET = 0.6
@@ -173,6 +185,49 @@ def patch_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prompts.patch_prompts(members, clusters.summarise(members))
 
 
+def failure_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors of the failure texts of all scored events."""
+    return vectors.embed_failures(failure_text(spark, sf_dir)).select("ord", "embedding")
+
+
+def _cells(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, neighbors.Cells]:
+    rows = inputs.vector_failures(spark, sf_dir).select("ord", "embedding")
+    return rows, density.cells_of(rows, density.min_cluster_size(rows.count()))
+
+
+def core_distances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, cells = _cells(spark, sf_dir)
+    cores = neighbors.core_distances(cells, neighbors.nearest(cells))
+    named = cells.points.select("pid", F.col("vec").alias("embedding")).join(cores, "pid")
+    return rows.join(named, "embedding").select("ord", F.round("core", 6).alias("core_distance"))
+
+
+def mutual_reachability(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, cells = _cells(spark, sf_dir)
+    found = settle(neighbors.nearest(cells))
+    reach = density.mutual_reachability(found, neighbors.core_distances(cells, found))
+    return reach.select(
+        F.col("pid").alias("ord"),
+        "neighbor",
+        F.round("dist", 6).alias("distance"),
+        F.round("reachability", 6).alias("reachability"),
+    )
+
+
+def mst_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, cells = _cells(spark, sf_dir)
+    return density.tree_of(cells)[1].select("u", "v", F.round("w", 6).alias("reachability"))
+
+
+def cluster_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = inputs.vector_failures(spark, sf_dir).drop("cluster_id")
+    return density.cluster_members(rows).drop("embedding")
+
+
+def failure_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return density.failure_clusters(cluster_members(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -201,5 +256,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         cluster_summary,
         clusters_handled,
         patch_prompts,
+        failure_vectors,
+        core_distances,
+        mutual_reachability,
+        mst_edges,
+        cluster_members,
+        failure_clusters,
     )
 }
