@@ -109,12 +109,24 @@ def value_text(value: Column) -> Column:
 
 
 def _python_float(value: Column) -> Column:
-    mantissa = F.split_part(value, F.lit("E"), F.lit(1))
+    # Older JVMs print some doubles with one digit more than tells them apart.
+    rounded = F.format_string("%.15e", value.try_cast("double"))
+    digits = F.split_part(rounded, F.lit("e"), F.lit(1))
+    mantissa = F.when(
+        (F.length(value) > 18) & (rounded.try_cast("double") == value.try_cast("double")),
+        F.regexp_replace(F.regexp_replace(digits, r"0+$", ""), r"\.$", ".0"),
+    ).otherwise(F.split_part(value, F.lit("E"), F.lit(1)))
     power = F.split_part(value, F.lit("E"), F.lit(2)).cast("int")
     short = F.regexp_replace(mantissa, r"\.0$", "")
     # 18 digits before and 20 after the point hold every plain-form double here.
     plain = F.regexp_replace(
-        F.regexp_replace(value.try_cast("decimal(38,20)").cast("string"), r"0+$", ""),
+        F.regexp_replace(
+            F.concat_ws("E", mantissa, power.cast("string"))
+            .try_cast("decimal(38,20)")
+            .cast("string"),
+            r"0+$",
+            "",
+        ),
         r"\.$",
         ".0",
     )
