@@ -8,19 +8,25 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def dense_positions(
-    rows: DataFrame, bucket: Sequence[str], order: Sequence[str | Column], name: str
+    rows: DataFrame,
+    bucket: Sequence[str],
+    order: Sequence[str | Column],
+    name: str,
+    total: str | None = None,
 ) -> DataFrame:
     """Number all rows 0..n-1 in the order of (bucket, order).
 
     `bucket` must cut the order into groups of bounded size. Rows are ranked inside
     their bucket; only one count per bucket passes through the running sum that
     turns these ranks into global ones. The order inside a bucket must be total.
+    `total` names a further column with the number of all rows.
     """
     bucket = list(bucket)
     sizes = rows.groupBy(*bucket).agg(F.count("*").alias("_size"))
     before = Window.orderBy(*bucket).rowsBetween(Window.unboundedPreceding, -1)
+    totals = [] if total is None else [F.sum("_size").over(Window.partitionBy()).alias(total)]
     offsets = sizes.select(
-        *bucket, F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset")
+        *bucket, F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"), *totals
     )
     inside = Window.partitionBy(*bucket).orderBy(*order)
     return (

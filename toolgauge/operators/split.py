@@ -11,7 +11,7 @@ BUCKET_DIGITS = 4
 
 
 def shuffled_positions(examples: DataFrame, key: str, seed: int = 0) -> DataFrame:
-    """Add `shuffle_hash` and the row's place `shuffled` in hash order.
+    """Add the row's place `shuffled` in hash order and the number of rows, `_total`.
 
     `key` must be unique (a position, not an id: ids repeat), so the hash spreads
     rows evenly over the buckets whatever they contain, and retries agree.
@@ -19,15 +19,15 @@ def shuffled_positions(examples: DataFrame, key: str, seed: int = 0) -> DataFram
     hashed = examples.withColumn(
         "shuffle_hash", F.md5(F.concat(F.lit(f"{seed}|"), F.col(key).cast("string")))
     ).withColumn("_bucket", F.left("shuffle_hash", F.lit(BUCKET_DIGITS)))
-    return dense_positions(hashed, ["_bucket"], ["shuffle_hash", key], "shuffled").drop("_bucket")
+    placed = dense_positions(hashed, ["_bucket"], ["shuffle_hash", key], "shuffled", "_total")
+    return placed.drop("_bucket", "shuffle_hash")
 
 
 def split_examples(
     examples: DataFrame, key: str, ratio: float = 0.8, seed: int = 0
 ) -> DataFrame:
     """First floor(n * ratio) shuffled rows are 'train', the rest 'eval', with dense ids."""
-    total = examples.agg(F.count("*")).scalar()
-    cut = F.floor(total.cast("double") * F.lit(float(ratio)))
+    cut = F.floor(F.col("_total").cast("double") * F.lit(float(ratio)))
     return (
         shuffled_positions(examples.drop("id"), key, seed)
         .withColumn("_cut", cut)
@@ -41,5 +41,5 @@ def split_examples(
                 F.concat(F.lit("eval_"), (F.col("shuffled") - F.col("_cut")).cast("string"))
             ),
         )
-        .drop("_cut", "shuffled", "shuffle_hash")
+        .drop("_cut", "_total", "shuffled")
     )

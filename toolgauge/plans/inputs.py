@@ -7,102 +7,92 @@ Numbers inside JSON are integers, since engines print doubles differently.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from toolgauge.functions.stage import computed
 
 EVENTS_PER_RUN = 1000
 ITERATIONS = 10
 
+_MESSAGES = "array(named_struct('role', 'user', 'content', user_query)) AS messages"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _text(*parts: str | Column) -> Column:
-    return F.concat(
-        *[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts]
+def _call(name: str, k: str | None, cents: str | None, extra: str = "channel") -> str:
+    """SQL for the JSON text of a call; the arguments are SQL, None leaves one out."""
+    args = [f"""'"{key}": ', {value}""" for key, value in (("k", k), ("cents", cents)) if value]
+    return (
+        f"""concat('{{"name": "', {name}, '", "arguments": {{', """
+        + ", ', ', ".join(args)
+        + f", {extra}, '}}}}')"
     )
 
 
-def _event_fields(events: DataFrame) -> DataFrame:
-    return events.select(
+def _event_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").selectExpr(
         "event_id",
         "user_id",
         "event_type",
-        F.get_json_object("props", "$.k").cast("long").alias("k"),
-        F.round(F.col("value") * 100).cast("long").alias("cents"),
-        F.floor(F.col("event_id") / EVENTS_PER_RUN).alias("run_id"),
-        (F.col("user_id") % ITERATIONS + 1).alias("iteration"),
-        F.when(F.col("event_id") % 5 == 0, ', "channel": "Web"').otherwise("").alias("channel"),
-    )
-
-
-def _call(name: Column, k: Column, cents: Column, channel: Column) -> Column:
-    return _text(
-        '{"name": "', name, '", "arguments": {"k": ', k, ', "cents": ', cents, channel, "}}"
+        "CAST(get_json_object(props, '$.k') AS BIGINT) AS k",
+        "CAST(round(value * 100) AS BIGINT) AS cents",
+        f"event_id DIV {EVENTS_PER_RUN} AS run_id",
+        f"user_id % {ITERATIONS} + 1 AS iteration",
+        """if(event_id % 5 = 0, ', "channel": "Web"', '') AS channel""",
     )
 
 
 def eval_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = _event_fields(table(spark, sf_dir, "events"))
-    query = _text("user ", F.col("user_id"), " asks for ", F.col("event_type"), " number ", F.col("event_id"))
-    call = _call(F.col("event_type"), F.col("k"), F.col("cents"), F.col("channel"))
-    texts = computed(
-        e,
-        user_query=query,
-        expected_tool_call=F.when(F.col("event_id") % 97 != 0, call),
-    )
-    return texts.select(
-        F.col("event_id").alias("ord"),
-        "run_id",
-        "iteration",
-        _text("eval_", F.col("event_id")).alias("id"),
-        "user_query",
-        "expected_tool_call",
-        F.array(F.struct(F.lit("user").alias("role"), F.col("user_query").alias("content"))).alias("messages"),
+    """One example per event; a few expect no call."""
+    exact = _call("event_type", "k", "cents")
+    return (
+        _event_fields(spark, sf_dir)
+        .selectExpr(
+            "event_id AS ord",
+            "run_id",
+            "iteration",
+            "concat('eval_', event_id) AS id",
+            "concat('user ', user_id, ' asks for ', event_type, ' number ', event_id) AS user_query",
+            f"if(event_id % 97 <> 0, {exact}, NULL) AS expected_tool_call",
+        )
+        .selectExpr("*", _MESSAGES)
     )
 
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a model answered to every example: sixteen kinds of right and wrong text."""
-    e = _event_fields(table(spark, sf_dir, "events"))
-    name, k, cents, channel = (F.col(c) for c in ("event_type", "k", "cents", "channel"))
-    exact = _call(name, k, cents, channel)
-    kind = F.col("event_id") % 16
-    quoted = _text(
-        '{"name": "', name, '", "arguments": {"k": "', k, '", "cents": "', cents, '"',
-        F.when(channel != "", ', "channel": "WEB"').otherwise(""), "}}",
-    )
-    predicted = (
-        F.when(kind <= 5, exact)
-        .when(kind == 6, _text("Sure, here is the call:\n```json\n", exact, "\n```\nAnything else?"))
-        .when(kind == 7, _text("```\n", exact, "\n```"))
-        .when(kind == 8, quoted)
-        .when(kind == 9, exact.substr(F.lit(1), F.length(exact) - 3))
-        .when(kind == 10, _text(exact, " as you asked"))
-        .when(kind == 11, _call(_text(name, "_all"), k, cents, channel))
-        .when(kind == 12, _text('{"name": "', name, '", "arguments": {"k": ', k, channel, "}}"))
-        .when(kind == 13, _call(name, k + 1, cents, channel))
-        .when(kind == 14, _call(name, k, cents, _text(channel, ', "currency": "EUR"')))
-        .otherwise(_text('{"name": "', name, '", "arguments": {"k": ', k + 1, channel, "}}"))
+    web = """if(channel = '', '', ', "channel": "WEB"')"""
+    fence = "```"
+    return (
+        _event_fields(spark, sf_dir)
+        .selectExpr("*", f"{_call('event_type', 'k', 'cents')} AS exact", "event_id % 16 AS kind")
+        .selectExpr(
+            "event_id AS ord",
+            f"""CASE
+            WHEN kind <= 5 THEN exact
+            WHEN kind = 6 THEN concat('Sure, here is the call:\\n{fence}json\\n', exact, '\\n{fence}\\nAnything else?')
+            WHEN kind = 7 THEN concat('{fence}\\n', exact, '\\n{fence}')
+            WHEN kind = 8 THEN {_call("event_type", "concat('\"', k, '\"')", "concat('\"', cents, '\"')", web)}
+            WHEN kind = 9 THEN left(exact, length(exact) - 3)
+            WHEN kind = 10 THEN concat(exact, ' as you asked')
+            WHEN kind = 11 THEN {_call("concat(event_type, '_all')", "k", "cents")}
+            WHEN kind = 12 THEN {_call("event_type", "k", None)}
+            WHEN kind = 13 THEN {_call("event_type", "k + 1", "cents")}
+            WHEN kind = 14 THEN {_call("event_type", "k", "cents", "channel, ', \"currency\": \"EUR\"'")}
+            ELSE {_call("event_type", "k + 1", None)} END AS predicted""",
+        )
     )
-    return computed(e, predicted=predicted).select(F.col("event_id").alias("ord"), "predicted")
 
 
 def example_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The examples as JSON lines; every seventh lacks its id."""
-    ex = eval_examples(spark, sf_dir)
-    return ex.select(
+    return eval_examples(spark, sf_dir).selectExpr(
         "ord",
-        _text(
-            '{"tools": [], "messages": [{"role": "user", "content": "',
-            F.col("user_query"),
-            '"}], "expected_tool_call": ',
-            F.coalesce("expected_tool_call", F.lit("null")),
-            F.when(F.col("ord") % 7 == 0, "").otherwise(_text(', "id": "', F.col("id"), '"')),
-            "}",
-        ).alias("line"),
+        """concat('{"tools": [], "messages": [{"role": "user", "content": "', user_query,
+           '"}], "expected_tool_call": ', coalesce(expected_tool_call, 'null'),
+           if(ord % 7 = 0, '', concat(', "id": "', id, '"')), '}') AS line""",
     )
 
 
@@ -110,124 +100,104 @@ def event_tool_specs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One tool per event type but 'error', plus 'refund', which no event has."""
     seen = (
         table(spark, sf_dir, "events")
-        .filter(F.col("event_type") != "error")
+        .filter("event_type <> 'error'")
         .groupBy("event_type")
         .agg(F.count("*").alias("n"), F.min("event_id").alias("tool_ord"))
-        .select(
+        .selectExpr(
             "tool_ord",
-            _text(
-                '{"name": "', F.col("event_type"), '", "description": "seen ', F.col("n"),
-                ' times", "parameters": {"k": "integer", "cents": "integer"}}',
-            ).alias("spec"),
+            """concat('{"name": "', event_type, '", "description": "seen ', n,
+               ' times", "parameters": {"k": "integer", "cents": "integer"}}') AS spec""",
         )
-    )
-    refund = spark.range(1).select(
-        F.lit(-1).cast("long").alias("tool_ord"),
-        F.lit('{"name": "refund", "parameters": {"cents": "integer"}}').alias("spec"),
+    )
+    refund = spark.range(1).selectExpr(
+        "-1L AS tool_ord", """'{"name": "refund", "parameters": {"cents": "integer"}}' AS spec"""
     )
     return seen.unionByName(refund)
 
 
 def part_tool_specs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One tool per part: full, shorthand and missing pieces in turn."""
-    p = table(spark, sf_dir, "part")
-    kind = F.col("p_partkey") % 5
-    description = F.when(kind == 1, "").otherwise(
-        _text(', "description": "Order the ', F.col("p_name"), '"')
-    )
-    full = _text(
-        '{"quantity": {"type": "integer", "description": "How many, packed by ', F.col("p_size"),
-        '", "required": true}, "brand": {"type": "string", "description": "', F.col("p_brand"),
-        ' or similar", "required": false}, "grade": {"type": "string", "description": "',
-        F.lower("p_type"), '"}}',
-    )
-    parameters = (
-        F.when(kind == 2, ', "parameters": {"quantity": "integer", "note": "string"}')
-        .when(kind == 3, ', "parameters": {}')
-        .when(kind == 4, "")
-        .otherwise(_text(', "parameters": ', full))
-    )
-    return p.select(
-        F.col("p_partkey").alias("tool_ord"),
-        _text('{"name": "order_', F.col("p_partkey"), '"', description, parameters, "}").alias("spec"),
+    return table(spark, sf_dir, "part").selectExpr(
+        "p_partkey AS tool_ord",
+        """concat('{"name": "order_', p_partkey, '"',
+           if(p_partkey % 5 = 1, '', concat(', "description": "Order the ', p_name, '"')),
+           CASE p_partkey % 5
+             WHEN 2 THEN ', "parameters": {"quantity": "integer", "note": "string"}'
+             WHEN 3 THEN ', "parameters": {}'
+             WHEN 4 THEN ''
+             ELSE concat(', "parameters": {"quantity": {"type": "integer", "description": "How many, packed by ',
+                p_size, '", "required": true}, "brand": {"type": "string", "description": "', p_brand,
+                ' or similar", "required": false}, "grade": {"type": "string", "description": "',
+                lower(p_type), '"}}') END, '}') AS spec""",
     )
 
 
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One model answer per run and user, over all events, wrapped in five ways."""
-    e = _event_fields(table(spark, sf_dir, "events"))
-    query = _text('"user_query": "do ', F.col("event_type"), " ", F.col("event_id"), '", ')
-    call = F.when(F.col("event_id") % 8 == 0, "null").otherwise(
-        _call(F.col("event_type"), F.col("k"), F.col("cents"), F.col("channel"))
-    )
-    items = e.groupBy("run_id", "user_id").agg(
+    items = (
+        _event_fields(spark, sf_dir)
+        .selectExpr(
+            "run_id",
+            "user_id",
+            "event_id",
+            """concat('"user_query": "do ', event_type, ' ', event_id, '", ') AS q""",
+            f"""concat('"expected_tool_call": ',
+                if(event_id % 8 = 0, 'null', {_call("event_type", "k", "cents")})) AS c""",
+        )
+        .groupBy("run_id", "user_id")
         # At most EVENTS_PER_RUN events share a run.
-        F.array_sort(
-            F.collect_list(
-                F.struct("event_id", query.alias("q"), _text('"expected_tool_call": ', call).alias("c"))
-            )
-        ).alias("items")
-    )
-    kind = F.col("user_id") % 5
-    texts = F.transform(
-        "items",
-        lambda x, i: F.concat(
-            F.lit("{"), F.when((kind == 4) & (i == 2), "").otherwise(x["q"]), x["c"], F.lit("}")
-        ),
-    )
-    array = F.col("array")
-    wrapped = (
-        F.when(kind == 1, _text("```json\n", array, "\n```"))
-        .when(kind == 2, _text("```json\n", array, "\n```\n"))
-        .when(kind == 3, array.substr(F.lit(1), F.length(array) - 2))
-        .otherwise(array)
+        .agg(F.expr("array_sort(collect_list(struct(event_id, q, c))) AS items"))
+        .selectExpr(
+            "user_id % 5 AS kind",
+            "concat(run_id, '_', user_id) AS prompt_id",
+            """concat('[', array_join(transform(items, (x, i) ->
+               concat('{', if(user_id % 5 = 4 AND i = 2, '', x.q), x.c, '}')), ', '), ']') AS body""",
+        )
     )
-    bodies = computed(items, array=_text("[", F.array_join(texts, ", "), "]"))
-    return computed(bodies, raw=wrapped).select(
-        _text(F.col("run_id"), "_", F.col("user_id")).alias("prompt_id"), "raw"
+    wrapped = F.expr(
+        """CASE kind WHEN 1 THEN concat('```json\\n', body, '\\n```')
+                     WHEN 2 THEN concat('```json\\n', body, '\\n```\\n')
+                     WHEN 3 THEN left(body, length(body) - 2)
+                     ELSE body END"""
     )
+    return computed(items, raw=wrapped).select("prompt_id", "raw")
 
 
 def prompt_origins(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What each prompt was about: a tool, or a cluster of one iteration of one run."""
     return (
         table(spark, sf_dir, "events")
-        .select(F.floor(F.col("event_id") / EVENTS_PER_RUN).alias("run_id"), "user_id")
+        .selectExpr(f"event_id DIV {EVENTS_PER_RUN} AS run_id", "user_id")
         .distinct()
-        .select(
-            _text(F.col("run_id"), "_", F.col("user_id")).alias("prompt_id"),
-            _text("tool_", F.col("user_id") % 7).alias("tool"),
+        .selectExpr(
+            "concat(run_id, '_', user_id) AS prompt_id",
+            "concat('tool_', user_id % 7) AS tool",
             "run_id",
-            (F.col("user_id") % ITERATIONS + 1).alias("iteration"),
-            (F.floor(F.col("user_id") / ITERATIONS) - 1).alias("cluster_id"),
+            f"user_id % {ITERATIONS} + 1 AS iteration",
+            f"user_id DIV {ITERATIONS} - 1 AS cluster_id",
         )
     )
 
 
 def vector_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Failures that come with a vector and a fixed clustering, label 9 as noise."""
-    v = table(spark, sf_dir, "embeddings")
-    names = F.array(
-        *[F.lit(x) for x in ("wrong_tool", "missing_param", "wrong_param_value", "hallucinated_param")]
-    )
-    return v.select(
-        F.col("vec_id").alias("ord"),
-        _text("eval_", F.col("vec_id")).alias("id"),
-        _text("question ", F.col("vec_id")).alias("user_query"),
-        _text('{"name": "t', F.col("label"), '", "arguments": {"v": ', F.col("vec_id"), "}}").alias("expected"),
-        _text('{"name": "t', (F.col("label") + 1) % 10, '"}').alias("predicted"),
-        F.get(names, (F.col("label") + F.col("vec_id") % 3) % 4).alias("error_type"),
-        F.when(F.col("label") == 9, -1).otherwise(F.col("label")).alias("cluster_id"),
+    return table(spark, sf_dir, "embeddings").selectExpr(
+        "vec_id AS ord",
+        "concat('eval_', vec_id) AS id",
+        "concat('question ', vec_id) AS user_query",
+        """concat('{"name": "t', label, '", "arguments": {"v": ', vec_id, '}}') AS expected""",
+        """concat('{"name": "t', (label + 1) % 10, '"}') AS predicted""",
+        """get(array('wrong_tool', 'missing_param', 'wrong_param_value', 'hallucinated_param'),
+               CAST((label + vec_id % 3) % 4 AS INT)) AS error_type""",
+        "if(label = 9, -1, label) AS cluster_id",
         "embedding",
     )
 
 
 def first_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first message of every conversation; later turns are never gathered."""
-    first = F.min_by(F.struct("role", F.col("text").alias("content")), "turn")
     return (
         table(spark, sf_dir, "conversations")
         .groupBy("conv_id")
-        .agg(first.alias("first"))
-        .select("conv_id", F.array("first").alias("messages"))
+        .agg(F.expr("array(min_by(named_struct('role', role, 'content', text), turn)) AS messages"))
     )
