@@ -32,6 +32,19 @@ def is_json(text: Column) -> Column:
     )
 
 
+def parse_object(text: Column) -> Column:
+    """One-pass strict parse of an object; read the result with `parsed_object`."""
+    return F.from_json(
+        _wrapped(text, f'{{"{END_KEY}":"1"}}'), "array<map<string,string>>", OPTIONS
+    )
+
+
+def parsed_object(parsed: Column) -> Column:
+    """The object as an ordered map of texts, NULL when the text is not one object."""
+    closed = (F.size(parsed) == 2) & F.map_contains_key(F.get(parsed, F.lit(1)), END_KEY)
+    return F.when(closed, F.get(parsed, F.lit(0)))
+
+
 def parse_call(text: Column) -> Column:
     """One-pass strict parse of a tool call.
 

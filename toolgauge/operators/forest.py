@@ -14,14 +14,21 @@ from toolgauge.session import settle
 
 
 def _roots(pointers: DataFrame) -> DataFrame:
-    """Follow (node, up) to the ends of all chains by doubling; a root points to itself."""
-    pointers = pointers.transform(settle)
+    """Follow (node, up) to the ends of all chains; a root points to itself.
+
+    Every round makes all pointers three times as long.
+    """
     while True:
-        upper = pointers.select(F.col("node").alias("up"), F.col("up").alias("upper"))
-        jumped = pointers.join(upper, "up").select("node", F.col("upper").alias("up"), "up")
-        jumped = jumped.toDF("node", "up", "_old").transform(settle)
+        second = pointers.select(F.col("node").alias("up"), F.col("up").alias("up2"))
+        third = pointers.select(F.col("node").alias("up2"), F.col("up").alias("up3"))
+        jumped = settle(
+            pointers.join(second, "up")
+            .join(third, "up2")
+            .select("node", F.col("up3").alias("up"), F.col("up") != F.col("up3"))
+            .toDF("node", "up", "_moved")
+        )
         pointers = jumped.select("node", "up")
-        if jumped.filter(F.col("up") != F.col("_old")).isEmpty():
+        if jumped.filter("_moved").isEmpty():
             return pointers
 
 
@@ -50,7 +57,7 @@ def _relabel(edges: DataFrame, roots: DataFrame) -> DataFrame:
 
 def contract(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Minimum spanning forest (u, v, w) and the component (node, up) of each vertex."""
-    live = edges.select(F.col("u").alias("a"), F.col("v").alias("b"), "w", "u", "v").transform(settle)
+    live = edges.select(F.col("u").alias("a"), F.col("v").alias("b"), "w", "u", "v")
     vertices = live.select(F.col("a").alias("node")).unionAll(live.select("b")).distinct()
     labels = vertices.select("node", F.col("node").alias("up"))
     forest = edges.select("u", "v", "w").limit(0)

@@ -12,6 +12,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
+MAX_CATALOG_TOOLS = 100_000
+
+
 def _ratio(part: Column, whole: Column) -> Column:
     return F.coalesce(F.try_divide(part.cast("double"), whole.cast("double")), F.lit(0.0))
 
@@ -83,8 +86,10 @@ def tool_history(
 
 
 def _names(known: DataFrame) -> Column:
-    # The tools of one evaluation all fit into one model prompt: a small array.
-    return known.agg(F.collect_set("tool").alias("names")).scalar()
+    """Catalog tool names as one array; a model prompt lists them all, so they are few."""
+    too_many = F.raise_error(F.lit(f"more than {MAX_CATALOG_TOOLS} tools in the catalog"))
+    names = F.when(F.count("*") > MAX_CATALOG_TOOLS, too_many).otherwise(F.collect_set("tool"))
+    return known.agg(names.alias("names")).scalar()
 
 
 def iteration_summary(

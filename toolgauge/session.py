@@ -25,6 +25,10 @@ def local_session(cpus: int = 8, name: str = "toolgauge") -> SparkSession:
     return spark
 
 
+# Folders of local sessions that name none, by application.
+_local_folders: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by spark.checkpoint.dir; one of our own only in local mode."""
     folder = spark.sparkContext.getConf().get("spark.checkpoint.dir", "")
@@ -32,8 +36,10 @@ def shared_folder(spark: SparkSession) -> str:
     if not folder:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="toolgauge-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        application = spark.sparkContext.applicationId
+        if application not in _local_folders:
+            _local_folders[application] = tempfile.mkdtemp(prefix="toolgauge-")
+        folder = _local_folders[application]
     return folder
 
 

@@ -21,11 +21,11 @@ def parse_example_lines(lines: DataFrame) -> DataFrame:
     difference between a missing argument and a null one. The tools list, equal on
     every line, is not read.
     """
-    fields = J.object_fields(F.col("line"))
     columns = [c for c in lines.columns if c != "line"]
+    fields = J.parsed_object(F.col("_parsed"))
     parsed = computed(
-        lines,
-        _fields=F.when(J.is_json(F.col("line")), fields).otherwise(
+        computed(lines, _parsed=J.parse_object(F.col("line"))),
+        _fields=F.when(fields.isNotNull(), fields).otherwise(
             F.raise_error(F.concat(F.lit("not a JSON line: "), F.left("line", F.lit(200))))
         ),
     )
