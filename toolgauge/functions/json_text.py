@@ -101,55 +101,41 @@ def last_value(entries: Column, key: Column) -> Column:
     return F.get(F.reverse(F.filter(entries, lambda e: e["key"] == key)), F.lit(0))["value"]
 
 
-def same_value(left: Column, right: Column) -> Column:
-    """Case-insensitive equality of two JSON values as text; equal text costs no more."""
-    return left.eqNullSafe(right) | (value_text(left) == value_text(right))
+def same_value(left: str, right: str) -> str:
+    """SQL: case-insensitive equality of two JSON values as text; equal text costs no more."""
+    return f"({left} <=> {right} OR {value_text(left)} = {value_text(right)})"
 
 
-def value_text(value: Column) -> Column:
-    """Lower-cased text of a JSON value, written the way Python's str() writes it.
+def value_text(value: str) -> str:
+    """SQL: lower-cased text of a JSON value, written the way Python's str() writes it.
 
     The JSON reader prints floats in scientific form outside 10^-3 .. 10^7, Python
     outside 10^-4 .. 10^16; a quoted number in a prediction follows Python.
     """
-    return F.lower(
-        F.when(value.isNull(), F.lit("none"))
-        .when(value == "Infinity", F.lit("inf"))
-        .when(value == "-Infinity", F.lit("-inf"))
-        .when(value.rlike(r"^-?[0-9]\.[0-9]+E-?[0-9]+$"), _python_float(value))
-        .otherwise(value)
-    )
+    return f"""lower(CASE
+        WHEN {value} IS NULL THEN 'none'
+        WHEN {value} = 'Infinity' THEN 'inf'
+        WHEN {value} = '-Infinity' THEN '-inf'
+        WHEN {value} RLIKE '^-?[0-9][.][0-9]+E-?[0-9]+$' THEN {_python_float(value)}
+        ELSE {value} END)"""
 
 
-def _python_float(value: Column) -> Column:
+def _python_float(value: str) -> str:
     # Older JVMs print some doubles with one digit more than tells them apart.
-    rounded = F.format_string("%.15e", value.try_cast("double"))
-    digits = F.split_part(rounded, F.lit("e"), F.lit(1))
-    mantissa = F.when(
-        (F.length(value) > 18) & (rounded.try_cast("double") == value.try_cast("double")),
-        F.regexp_replace(F.regexp_replace(digits, r"0+$", ""), r"\.$", ".0"),
-    ).otherwise(F.split_part(value, F.lit("E"), F.lit(1)))
-    power = F.split_part(value, F.lit("E"), F.lit(2)).cast("int")
-    short = F.regexp_replace(mantissa, r"\.0$", "")
+    rounded = f"format_string('%.15e', try_cast({value} AS DOUBLE))"
+    mantissa = f"""CASE
+        WHEN length({value}) > 18 AND try_cast({rounded} AS DOUBLE) = try_cast({value} AS DOUBLE)
+        THEN regexp_replace(regexp_replace(split_part({rounded}, 'e', 1), '0+$', ''), '[.]$', '.0')
+        ELSE split_part({value}, 'E', 1) END"""
+    power = f"try_cast(split_part({value}, 'E', 2) AS INT)"
+    short = f"regexp_replace({mantissa}, '[.]0$', '')"
     # 18 digits before and 20 after the point hold every plain-form double here.
-    plain = F.regexp_replace(
-        F.regexp_replace(
-            F.concat_ws("E", mantissa, power.cast("string"))
-            .try_cast("decimal(38,20)")
-            .cast("string"),
-            r"0+$",
-            "",
-        ),
-        r"\.$",
-        ".0",
-    )
-    return (
-        F.when((power >= -4) & (power < 16), plain)
-        .when(power >= 16, F.concat(short, F.lit("e+"), power.cast("string")))
-        .otherwise(
-            F.concat(short, F.lit("e-"), F.lpad(F.abs(power).cast("string"), 2, "0"))
-        )
-    )
+    plain = f"""regexp_replace(regexp_replace(CAST(
+        try_cast(concat({mantissa}, 'E', {power}) AS DECIMAL(38, 20)) AS STRING), '0+$', ''), '[.]$', '.0')"""
+    return f"""CASE
+        WHEN {power} BETWEEN -4 AND 15 THEN {plain}
+        WHEN {power} >= 16 THEN concat({short}, 'e+', {power})
+        ELSE concat({short}, 'e-', lpad(CAST(abs({power}) AS STRING), 2, '0')) END"""
 
 
 def python_spacing(text: Column) -> Column:

@@ -98,23 +98,17 @@ def score_calls(pairs: DataFrame) -> DataFrame:
 
 
 def _error_type() -> Column:
-    no_entries = F.array().cast("array<struct<key:string,value:string>>")
-    p_args = F.col("_p_args")
-    p_keys = F.coalesce(F.map_keys(p_args), F.array().cast("array<string>"))
-    e_args = F.coalesce("_e_args", no_entries)
-    e_keys = F.transform(e_args, lambda e: e["key"])
-
+    p_keys = "coalesce(map_keys(_p_args), CAST(array() AS ARRAY<STRING>))"
     # The earliest expected argument that is absent or differs decides.
-    faults = F.filter(
-        F.transform(
-            e_args,
-            lambda e: F.when(
-                ~F.coalesce(F.map_contains_key(p_args, e["key"]), F.lit(False)), MISSING_PARAM
-            ).when(
-                ~J.same_value(F.try_element_at(p_args, e["key"]), e["value"]), WRONG_PARAM_VALUE
-            ),
-        ),
-        lambda fault: fault.isNotNull(),
+    first_fault = F.expr(
+        f"""get(filter(transform(_e_args, e -> CASE
+              WHEN NOT coalesce(map_contains_key(_p_args, e.key), false) THEN '{MISSING_PARAM}'
+              WHEN NOT {J.same_value("try_element_at(_p_args, e.key)", "e.value")} THEN '{WRONG_PARAM_VALUE}'
+            END), fault -> fault IS NOT NULL), 0)"""
+    )
+    unexpected = F.expr(
+        f"""size(array_except({p_keys},
+              coalesce(transform(_e_args, e -> e.key), CAST(array() AS ARRAY<STRING>)))) > 0"""
     )
     same_name = (F.col("_p_name") == F.col("tool")) & F.when(
         F.col("tool").rlike(_MAYBE_NOT_A_STRING),
@@ -123,7 +117,7 @@ def _error_type() -> Column:
     ).otherwise(F.lit(True))
     # `arguments` that is there but no object has no entries at all.
     not_an_object = F.when(
-        p_args.isNull(),
+        F.col("_p_args").isNull(),
         J.object_fields(F.col("_text"))["arguments"].isNotNull(),
     ).otherwise(F.lit(False))
 
@@ -131,11 +125,8 @@ def _error_type() -> Column:
         # JSON whose root is no object also fails the one-pass parse.
         F.when(~F.col("_p_closed") & ~J.is_json(F.col("_text")), MALFORMED_JSON)
         .when(~F.col("_p_closed") | ~F.coalesce(same_name, F.lit(False)), WRONG_TOOL)
-        .when(F.size(faults) > 0, F.get(faults, F.lit(0)))
-        .when(
-            (F.size(F.array_except(p_keys, e_keys)) > 0) | not_an_object,
-            HALLUCINATED_PARAM,
-        )
+        .when(first_fault.isNotNull(), first_fault)
+        .when(unexpected | not_an_object, HALLUCINATED_PARAM)
         .otherwise("")
     )
 

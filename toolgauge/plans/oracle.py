@@ -341,4 +341,19 @@ WHERE iteration <= coalesce((SELECT min(iteration) FROM s t WHERE t.run_id = s.r
 SELECT r.ord, r.neighbor, round(r.dist, 6) AS distance,
        round(greatest(r.dist, a.core, b.core), 6) AS reachability
 FROM ranked r JOIN core a ON a.ord = r.ord JOIN core b ON b.ord = r.neighbor WHERE r.place <= 5""",
+    "mst_weights": f"""WITH RECURSIVE {NEIGHBORS},
+reach AS MATERIALIZED (
+  SELECT r.ord AS a, r.neighbor AS b, greatest(r.dist, x.core, y.core) AS w
+  FROM ranked r JOIN core x ON x.ord = r.ord JOIN core y ON y.ord = r.neighbor
+),
+grown(ord, dist, inside) USING KEY (ord) AS (
+  SELECT ord, CASE WHEN ord = (SELECT min(ord) FROM vec) THEN CAST(-1 AS DOUBLE) ELSE CAST('infinity' AS DOUBLE) END, false
+  FROM vec
+  UNION
+  SELECT s.ord, CASE WHEN s.ord = p.ord OR e.w IS NULL THEN s.dist ELSE least(s.dist, e.w) END, s.ord = p.ord
+  FROM (SELECT ord FROM recurring.grown WHERE NOT inside ORDER BY dist, ord LIMIT 1) p
+  JOIN recurring.grown s ON NOT s.inside
+  LEFT JOIN reach e ON e.a = p.ord AND e.b = s.ord
+)
+SELECT round(dist, 6) AS reachability, count(*) AS edges FROM grown WHERE dist >= 0 GROUP BY 1""",
 }

@@ -219,6 +219,11 @@ def mst_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return density.tree_of(cells)[1].select("u", "v", F.round("w", 6).alias("reachability"))
 
 
+def mst_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often each weight occurs in the spanning tree: the same for every such tree."""
+    return mst_edges(spark, sf_dir).groupBy("reachability").agg(F.count("*").alias("edges"))
+
+
 def cluster_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = inputs.vector_failures(spark, sf_dir).drop("cluster_id")
     return density.cluster_members(rows).drop("embedding")
@@ -260,6 +265,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         core_distances,
         mutual_reachability,
         mst_edges,
+        mst_weights,
         cluster_members,
         failure_clusters,
     )
