@@ -54,7 +54,7 @@ def test_partitioning_does_not_matter(spark):
 @pytest.mark.parametrize("block_rows", [8, 1000])
 def test_cores_and_tree_are_exact(spark, block_rows):
     x = RNG.normal(0, 1, (120, 2)).astype(np.float32)
-    x[60:] += 40  # far cells, so that pairs of cells get left out
+    x[60:] += 40  # far cells, so that pairs of cells and points of pairs get left out
     core, reach = core_and_reach(x.astype(np.float64), 5)
     cells = density.cells_of(rows(spark, x).select("ord", "embedding"), 5, block_rows)
     cores, tree = density.tree_of(cells)

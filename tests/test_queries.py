@@ -32,3 +32,14 @@ def test_failure_vectors(spark):
     assert len(rows) == failed
     assert all(len(r.embedding) == 384 for r in rows)
     assert all(abs(sum(v * v for v in r.embedding) - 1) < 1e-4 for r in rows)
+
+
+def test_clusters_of_the_given_vectors(spark):
+    import numpy as np
+    import pyarrow.parquet as pq
+    from brute_hdbscan import hdbscan
+
+    table = pq.read_table(f"{SF_DIR}/embeddings.parquet").to_pandas().sort_values("vec_id")
+    want = hdbscan(np.stack(table.embedding).astype(np.float64), 5)
+    rows = queries()["cluster_members"](spark, SF_DIR).collect()
+    assert [r.cluster_id for r in sorted(rows, key=lambda r: r.ord)] == want

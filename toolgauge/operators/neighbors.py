@@ -87,20 +87,35 @@ def make_cells(points: DataFrame, k: int, block_rows: int = BLOCK_ROWS) -> Cells
     )
 
 
-def _block_pairs(cells: Cells, i: np.ndarray, j: np.ndarray, limit: np.ndarray) -> DataFrame:
-    """Cell pairs (with the largest distance of interest) as pairs of blocks.
-
-    There are at most MAX_PIVOTS^2 cell pairs, whatever the number of points.
+def _block_pairs(
+    cells: Cells, needed: np.ndarray, radius: np.ndarray, limit: np.ndarray, base: np.ndarray
+) -> DataFrame:
+    """Needed pairs of cells as pairs of blocks, for distances up to `limit`.
+
+    Points too close to their own pivot for such a distance stay out of a pair:
+    `left_floor` and `right_floor` are the radii they must have. `base` is handed on.
+    There are at most MAX_PIVOTS^2 pairs of cells, whatever the number of points.
     """
-    spark = cells.points.sparkSession
-    pairs = spark.createDataFrame(
-        pd.DataFrame({"i": i.astype(np.int32), "j": j.astype(np.int32), "limit": limit})
+    i, j = np.nonzero(needed)
+    gaps, far = cells.gaps[i, j], limit[i, j] * (1 + _SLACK) + _SLACK
+    pairs = cells.points.sparkSession.createDataFrame(
+        pd.DataFrame(
+            {
+                "i": i.astype(np.int32),
+                "j": j.astype(np.int32),
+                "base": base[i],
+                "left_floor": gaps - radius[j] - far,
+                "right_floor": gaps - radius[i] - far,
+            }
+        )
     )
     blocks = cells.points.select("cell", "block").distinct()
     return (
         pairs.join(blocks.select(F.col("cell").alias("i"), F.col("block").alias("a")), "i")
         .join(blocks.select(F.col("cell").alias("j"), F.col("block").alias("b")), "j")
-        .select("a", "b", "limit", (F.col("i") == F.col("j")).alias("same"))
+        .select(
+            "a", "b", "base", "left_floor", "right_floor", (F.col("i") == F.col("j")).alias("same")
+        )
     )
 
 
@@ -126,16 +141,20 @@ def nearest(cells: Cells) -> DataFrame:
         radius[row.cell] = row.radius
         if row.n > k:
             reach[row.cell] = row.reach
-    # k + 1 points lie within `reach` of pivot j, hence k others within this of a point of i.
-    limit = radius + np.min(cells.gaps + reach[None, :], axis=1)
+    # k + 1 points lie within `reach` of pivot j, hence k others within `base` plus its own
+    # radius of any point of cell i.
+    base = np.min(cells.gaps + reach[None, :], axis=1)
+    limit = np.repeat((radius + base)[:, None], size, axis=1)
     lower = np.maximum(cells.gaps - radius[:, None] - radius[None, :], 0.0)
-    needed = lower <= limit[:, None] * (1 + _SLACK) + _SLACK
+    needed = lower <= limit * (1 + _SLACK) + _SLACK
     filled = np.isfinite(radius)
-    i, j = np.nonzero(needed & filled[:, None] & filled[None, :])
-    pairs = _block_pairs(cells, i, j, limit[i])
+    needed &= filled[:, None] & filled[None, :]
+    pairs = _block_pairs(cells, needed, radius, limit, base)
 
-    def compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    def compare(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
+        if right.empty:
+            left = left.head(0)
         x, ids = distance.matrix(right["vec"]), right["pid"].to_numpy()
         weights = right["weight"].to_numpy()
         for start in range(0, len(left), 512):
@@ -150,7 +169,8 @@ def nearest(cells: Cells) -> DataFrame:
             keep = np.isfinite(d[rows, cols])
             rows, cols = rows[keep], cols[keep]
             exact = distance.direct(y[rows], x[cols])
-            near = exact <= part["limit"].to_numpy()[rows] * (1 + _SLACK) + _SLACK
+            reached = (part["radius"] + part["base"]).to_numpy()[rows]
+            near = exact <= reached * (1 + _SLACK) + _SLACK
             out.append(
                 pd.DataFrame(
                     {
@@ -161,9 +181,10 @@ def nearest(cells: Cells) -> DataFrame:
                     }
                 )[near]
             )
-        return pd.concat(out) if out else pd.DataFrame(columns=_NEIGHBOR_COLUMNS)
+        return pd.concat(out) if out else _no_rows("pid", "neighbor", "dist", "neighbor_weight")
 
-    found = _compare_blocks(cells, pairs, ["pid", "weight", "vec"], compare, _NEIGHBOR_SCHEMA)
+    schema = "pid bigint, neighbor bigint, dist double, neighbor_weight bigint"
+    found = _compare_blocks(cells, pairs, ["pid", "weight", "vec"], compare, schema)
     ranked = Window.partitionBy("pid").orderBy("dist", "neighbor")
     return (
         found.withColumn("_rank", F.row_number().over(ranked))
@@ -172,16 +193,25 @@ def nearest(cells: Cells) -> DataFrame:
     )
 
 
-_NEIGHBOR_COLUMNS = ["pid", "neighbor", "dist", "neighbor_weight"]
-_NEIGHBOR_SCHEMA = "pid bigint, neighbor bigint, dist double, neighbor_weight bigint"
+def _no_rows(*columns: str) -> pd.DataFrame:
+    return pd.DataFrame({c: np.empty(0, np.float64 if c in ("dist", "w") else np.int64) for c in columns})
 
 
 def _compare_blocks(cells, pairs, columns, compare, schema) -> DataFrame:
-    """Bring the two blocks of each pair into one task."""
-    source = cells.points.select("block", *columns)
-    pairs = pairs.drop("same")
-    left = pairs.join(source.withColumnRenamed("block", "a"), "a")
-    right = pairs.drop("limit").join(source.withColumnRenamed("block", "b"), "b")
+    """Bring the points of two blocks that may matter to each other into one task."""
+    source = cells.points.select("block", "radius", *columns)
+    left = (
+        pairs.select("a", "b", "base", "left_floor")
+        .join(source.withColumnRenamed("block", "a"), "a")
+        .filter(F.col("radius") >= F.col("left_floor"))
+        .select("a", "b", "base", "radius", *columns)
+    )
+    right = (
+        pairs.select("a", "b", "right_floor")
+        .join(source.withColumnRenamed("block", "b"), "b")
+        .filter(F.col("radius") >= F.col("right_floor"))
+        .select("a", "b", *columns)
+    )
     left, right = left.toDF(*left.columns), right.toDF(*right.columns)
     return left.groupBy("a", "b").cogroup(right.groupBy("a", "b")).applyInPandas(compare, schema)
 
@@ -236,13 +266,14 @@ def candidate_edges(cells: Cells, cores: DataFrame) -> DataFrame:
     )
     filled = np.isfinite(radius)
     needed = (lower <= bound * (1 + _SLACK) + _SLACK) & filled[:, None] & filled[None, :]
-    i, j = np.nonzero(np.triu(needed))
-    pairs = _block_pairs(cells, i, j, np.zeros(len(i)))
+    pairs = _block_pairs(cells, np.triu(needed), radius, bound, np.zeros(size))
     # Within one cell every two blocks meet once.
     pairs = pairs.filter(~F.col("same") | (F.col("a") <= F.col("b")))
 
-    def span(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        single = left["a"].iloc[0] == left["b"].iloc[0]
+    def span(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if left.empty or right.empty:
+            return _no_rows("u", "v", "w")
+        single = key[0] == key[1]
         both = left if single else pd.concat([left, right])
         x, core = distance.matrix(both["vec"]), both["core"].to_numpy()
         ids = both["pid"].to_numpy()
