@@ -13,15 +13,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window, functions as F
 
 from toolgauge.operators import distance
 from toolgauge.session import settle
 
-# Tasks get the block helpers with the job, wherever the package is installed.
-cloudpickle.register_pickle_by_value(distance)
-
 # At most this many pivots are ever collected and shipped to tasks.
 MAX_PIVOTS = 1024
 BLOCK_ROWS = 2048
