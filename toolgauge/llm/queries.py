@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from toolgauge.llm import rows, weak_rules
+from toolgauge.llm import exact_dedup, rows, weak_rules
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,4 +18,8 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {query.__name__: query for query in (op10_quality_rules,)}
+def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.find_exact(documents(spark, sf_dir))
+
+
+QUERIES = {query.__name__: query for query in (op1_exact_dedup, op10_quality_rules,)}

@@ -73,4 +73,12 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars,
 FROM v JOIN q{rules.ROUNDS} USING (pattern)"""
 
 
-SQL = {"op10_quality_rules": _op10()}
+OP1 = """
+WITH t AS (
+  SELECT doc_id, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g') AS squeezed
+  FROM documents)
+SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+  doc_id = min(doc_id) OVER same AS kept, sha256(squeezed) AS text_sha256
+FROM t WINDOW same AS (PARTITION BY squeezed)"""
+
+SQL = {"op1_exact_dedup": OP1, "op10_quality_rules": _op10()}
