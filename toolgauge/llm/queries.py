@@ -4,13 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from toolgauge.llm import exact_dedup, rows, weak_rules
+from toolgauge.llm import exact_dedup, packing, rows, weak_rules
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def tokenizer_path(name: str) -> str:
+    """Where a public tokenizer file lies; every executor has them installed."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weak_rules.judge(rows.texts(documents(spark, sf_dir))).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -22,4 +29,9 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.find_exact(documents(spark, sf_dir))
 
 
-QUERIES = {query.__name__: query for query in (op1_exact_dedup, op10_quality_rules,)}
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = rows.texts(documents(spark, sf_dir))
+    return packing.pack_documents(texts, tokenizer_path("byte_bpe_50k.json"))
+
+
+QUERIES = {query.__name__: query for query in (op1_exact_dedup, op5_packing, op10_quality_rules,)}
