@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from toolgauge.llm import exact_dedup, packing, rows, weak_rules
+from toolgauge.llm import exact_dedup, files, packing, rans, rows, weak_rules
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,4 +34,10 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(texts, tokenizer_path("byte_bpe_50k.json"))
 
 
-QUERIES = {query.__name__: query for query in (op1_exact_dedup, op5_packing, op10_quality_rules,)}
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = files.new_folder(spark, "tokens")
+    rans.write_documents(rows.texts(documents(spark, sf_dir)), tokenizer_path("word_bpe_49k.json"), folder)
+    return rans.read_files(spark, folder).drop("ids")
+
+
+QUERIES = {query.__name__: query for query in (op1_exact_dedup, op5_packing, op8_token_files, op10_quality_rules,)}
