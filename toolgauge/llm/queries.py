@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from toolgauge.llm import exact_dedup, files, packing, rans, rows, weak_rules
+from toolgauge.llm import bpe, exact_dedup, files, packing, rans, rows, weak_rules
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,4 +40,15 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rans.read_files(spark, folder).drop("ids")
 
 
-QUERIES = {query.__name__: query for query in (op1_exact_dedup, op5_packing, op8_token_files, op10_quality_rules,)}
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer_path("byte_bpe_50k.json")
+    coded = bpe.decode(bpe.encode(rows.texts(documents(spark, sf_dir)), path), path)
+    return coded.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.encode("text", "UTF-8"), 256).alias("decoded_sha256"),
+    )
+
+
+QUERIES = {query.__name__: query for query in (op1_exact_dedup, op2_bpe, op5_packing, op8_token_files, op10_quality_rules,)}
