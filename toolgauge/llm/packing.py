@@ -34,7 +34,8 @@ UNIT = 8
 DEPTH = 3
 END_ID = 1
 # Rows of one salted group when all pieces have the same length.
-GROUP_ROWS = 200_000
+GROUP_ROWS = 50_000
+MIN_SALTS = 16
 
 
 def pieces(docs: DataFrame, path: str, window: int = WINDOW, end_id: int = END_ID) -> DataFrame:
@@ -165,7 +166,7 @@ def pack(cut: DataFrame, window: int = WINDOW, unit: int = UNIT, depth: int = DE
         counts[u] = n
     slots = _slots(plan(counts, depth))
     before = np.cumsum(counts) - counts
-    salts = max(1, -(-int(counts.sum()) // GROUP_ROWS))
+    salts = max(MIN_SALTS, -(-int(counts.sum()) // GROUP_ROWS))
     names = [*cut.columns]
     salted = sized.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "start"), F.lit(salts)).cast("int"))
     ranked = dense_positions(salted, ["_units", "_salt"], ["doc_id", "start", "ids_crc32"], "_rank_all")
