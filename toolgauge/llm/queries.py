@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from toolgauge.llm import bpe, exact_dedup, files, packing, rans, rows, weak_rules
+from toolgauge.llm import bpe, exact_dedup, files, packing, quality_model, rans, rows, toxicity, weak_rules
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,4 +51,14 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {query.__name__: query for query in (op1_exact_dedup, op2_bpe, op5_packing, op8_token_files, op10_quality_rules,)}
+def op3_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality_model.score(documents(spark, sf_dir), labels)
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.score(documents(spark, sf_dir), labels)
+
+
+QUERIES = {query.__name__: query for query in (op1_exact_dedup, op2_bpe, op3_quality_model, op5_packing, op8_token_files, op9_toxicity, op10_quality_rules,)}
