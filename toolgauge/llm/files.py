@@ -39,6 +39,11 @@ def write(folder: str, name: str, data: bytes) -> None:
 
 def contents(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
     """path, content: one row per file. Files are of bounded size by their writers."""
+    from pyarrow import fs
+
+    # Without a single file written there is no folder; Spark wants one to read.
+    system, path = fs.FileSystem.from_uri(folder)
+    system.create_dir(path, recursive=True)
     return (
         spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
         .select("path", "content")

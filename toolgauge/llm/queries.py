@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from toolgauge.llm import bpe, exact_dedup, files, packing, quality_model, rans, rows, toxicity, weak_rules
+from toolgauge.llm import bpe, exact_dedup, files, packing, quality_model, rans, rows, toxicity, warc, weak_rules
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,4 +61,12 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(documents(spark, sf_dir), labels)
 
 
-QUERIES = {query.__name__: query for query in (op1_exact_dedup, op2_bpe, op3_quality_model, op5_packing, op8_token_files, op9_toxicity, op10_quality_rules,)}
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = files.new_folder(spark, "warc")
+    warc.write_archives(spark.read.parquet(f"{sf_dir}/pages.parquet"), folder)
+    return warc.read_archives(spark, folder, payloads=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+QUERIES = {query.__name__: query for query in (op1_exact_dedup, op2_bpe, op3_quality_model, op4_warc, op5_packing, op8_token_files, op9_toxicity, op10_quality_rules,)}

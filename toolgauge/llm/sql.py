@@ -81,4 +81,14 @@ SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
   doc_id = min(doc_id) OVER same AS kept, sha256(squeezed) AS text_sha256
 FROM t WINDOW same AS (PARTITION BY squeezed)"""
 
-SQL = {"op1_exact_dedup": OP1, "op10_quality_rules": _op10()}
+OP4 = """
+WITH p AS (
+  SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+q AS (
+  SELECT *, octet_length(payload) AS n, max(page_id) OVER (PARTITION BY payload) AS last FROM p)
+SELECT page_id, n::BIGINT AS payload_bytes, sha1(payload) AS payload_digest,
+  CASE WHEN n >= 1000 AND page_id <> last THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n >= 1000 AND page_id <> last THEN last END AS refers_to
+FROM q"""
+
+SQL = {"op4_warc": OP4, "op1_exact_dedup": OP1, "op10_quality_rules": _op10()}
