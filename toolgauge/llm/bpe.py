@@ -22,7 +22,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from toolgauge.llm import tokens
+from toolgauge.llm import rows, tokens
 
 # Fixed values of byte-level BPE: how texts fall into words, and the bytes that stand for
 # themselves in a vocabulary file (the others are counted up from 256).
@@ -33,7 +33,9 @@ WORDS = (
 OWN_BYTES = (*range(33, 127), *range(161, 173), *range(174, 256))
 
 # Checked pairs that a worker remembers.
-_PAIRS = 1_000_000
+_PAIRS = 500_000
+# Pieces of texts that a worker remembers.
+_HELD = 800_000
 
 
 class Bpe:
@@ -173,8 +175,8 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
 
     def run(batches):
         model = load(path)
-        encoder = tokens.Encoder(f"own {path}", model.strings, model.spaced)
-        for batch in batches:
+        encoder = tokens.Encoder(f"own {path}", model.strings, model.spaced, _HELD)
+        for batch in rows.parts(batches, "text"):
             found = encoder(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [
@@ -193,7 +195,7 @@ def decode(coded: DataFrame, path: str) -> DataFrame:
 
     def run(batches):
         model = load(path)
-        for batch in batches:
+        for batch in rows.parts(batches, "ids"):
             texts = [model.decode(np.frombuffer(ids, "<u4")) for ids in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "text"]

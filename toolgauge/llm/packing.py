@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from toolgauge.llm import tokens
+from toolgauge.llm import rows, tokens
 from toolgauge.operators.ranking import dense_positions
 from toolgauge.session import settle
 
@@ -43,7 +43,7 @@ def pieces(docs: DataFrame, path: str, window: int = WINDOW, end_id: int = END_I
 
     def cut(batches):
         encode = tokens.library_encoder(path)
-        for batch in batches:
+        for batch in rows.parts(batches, "text"):
             doc_ids = batch.column("doc_id").to_pylist()
             texts = batch.column("text").to_pylist()
             columns: list[list] = [[], [], [], [], []]

@@ -35,3 +35,11 @@ def texts(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text")
         F.col(id_column).cast("long").alias("doc_id"),
         F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text"),
     )
+
+
+def parts(batches, column: str, size: int = 4 << 20):
+    """Arrow batches cut into smaller ones, of about `size` bytes in a column each."""
+    for batch in batches:
+        step = max(1, int(batch.num_rows * size / max(batch.column(column).nbytes, 1)))
+        for start in range(0, batch.num_rows, step):
+            yield batch.slice(start, step)

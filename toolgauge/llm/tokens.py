@@ -99,8 +99,8 @@ class Encoder:
     `strings` and `words` encode as library_pieces and library_words do.
     """
 
-    def __init__(self, key: str, strings, words):
-        self.strings, self.words = strings, words
+    def __init__(self, key: str, strings, words, most: int = _HELD):
+        self.strings, self.words, self.most = strings, words, most
         self.held = worker_cache().setdefault(("pieces", key), {})
         if not self.held:
             self._forget()
@@ -162,7 +162,7 @@ class Encoder:
     def _together(self, texts: list[str]) -> list[np.ndarray]:
         if not texts:
             return []
-        if self.held["place"].count > _HELD:
+        if self.held["place"].count > self.most:
             self._forget()
         held = self.held
         split = [text.split(" ") for text in texts]
