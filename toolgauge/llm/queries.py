@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from toolgauge.llm import bpe, exact_dedup, files, minhash, packing, quality_model, rans, rows, toxicity, warc, weak_rules
+from toolgauge.llm import bpe, exact_dedup, files, lattice, minhash, packing, quality_model, rans, rows, toxicity, warc, weak_rules
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,4 +73,8 @@ def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.find_near(documents(spark, sf_dir))
 
 
-QUERIES = {query.__name__: query for query in (op1_exact_dedup, op2_bpe, op3_quality_model, op4_warc, op5_packing, op6_near_dedup, op8_token_files, op9_toxicity, op10_quality_rules,)}
+def op7_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.score(rows.texts(documents(spark, sf_dir)), tokenizer_path("piece_bpe_32k.model"))
+
+
+QUERIES = {query.__name__: query for query in (op1_exact_dedup, op2_bpe, op3_quality_model, op4_warc, op5_packing, op6_near_dedup, op7_lattice_lm, op8_token_files, op9_toxicity, op10_quality_rules,)}
