@@ -18,7 +18,7 @@ Steps, all on tables in the shared folder:
 
 So no pair that meets in any bucket is lost, and pairs are never listed for a whole group: a
 large group of near copies is linked through leaders. Two sets with similarity s meet nowhere
-with probability below 2 * (1 - s ** ROWS) ** BANDS: 4e-4 at the threshold 0.85, 2e-6 at 0.9.
+with probability below 2 * (1 - s ** ROWS) ** BANDS: 3e-3 at 0.8, 4e-4 at 0.85, 2e-5 at 0.9.
 
 Defined results: null or empty text, or text without words: no shingles, linked with nothing,
 its own component. Fewer words than WORDS: the whole sequence is the one shingle. A null
@@ -94,7 +94,7 @@ def sketch(found: np.ndarray) -> bytes:
     return np.minimum(counts, 255).astype(np.uint8).tobytes()
 
 
-def classes(docs: DataFrame) -> DataFrame:
+def classes(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """place, doc_id, text -> place, doc_id, n_shingles, same (digest of the set), bands, sketch."""
 
     def run(batches):
@@ -103,7 +103,7 @@ def classes(docs: DataFrame) -> DataFrame:
             out = []
             for text in batch.column("text").to_pylist():
                 if text not in seen:
-                    found = shingles(text)
+                    found = shingles(text, words)
                     seen[text] = (
                         (len(found), hashlib.sha256(found.tobytes()).digest(), bands(found).tolist(), sketch(found))
                         if len(found) else (0, None, None, None)
@@ -121,12 +121,12 @@ def classes(docs: DataFrame) -> DataFrame:
     )
 
 
-def sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+def sets(docs: DataFrame, wanted: DataFrame, words: int = WORDS) -> DataFrame:
     """place, text; wanted: place -> node (place), found (the set's hashes)."""
 
     def run(batches):
         for batch in batches:
-            found = [shingles(text).tobytes() for text in batch.column("text").to_pylist()]
+            found = [shingles(text, words).tobytes() for text in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("place"), pa.array(found, pa.binary())], names=["node", "found"])
 
     some = docs.select("place", F.col("text").cast("binary").alias("text")).join(wanted, "place", "left_semi")
@@ -184,8 +184,8 @@ def _crossing(percent: int):
     return run
 
 
-def links(docs: DataFrame, found: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """place, text; settled classes, one row each -> confirmed links a, b that connect all components."""
+def connected(docs: DataFrame, found: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
+    """place, text; settled classes, one row each -> node, component from confirmed links."""
     sized = found.select(F.col("place").alias("node"), "n_shingles", "sketch")
     split = found.select(
         F.col("place").alias("node"), "n_shingles",
@@ -203,7 +203,7 @@ def links(docs: DataFrame, found: DataFrame, percent: int = PERCENT) -> DataFram
     )
     shared = keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
     tables = settle(keys.join(shared, "key").select("key", "node"))
-    full = settle(sets(docs, tables.select(F.col("node").alias("place")).distinct()))
+    full = settle(sets(docs, tables.select(F.col("node").alias("place")).distinct(), words))
     sized = settle(sized.join(full.select("node"), "node"))
 
     def apart(members: DataFrame) -> DataFrame:
@@ -258,15 +258,15 @@ def _remaining(members: DataFrame, sized: DataFrame, percent: int) -> DataFrame:
     return spread.groupBy("key", "first", "second").applyInArrow(_crossing(percent), "a long, b long").distinct()
 
 
-def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def near_groups(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
     """place, doc_id, text -> doc_id, n_shingles, component_id, place, first (one row per component)."""
-    every = settle(classes(docs))
+    every = settle(classes(docs, words))
     placed = F.struct("place", "n_shingles", "bands", "sketch")
     found = settle(
         every.filter("n_shingles > 0").groupBy("same").agg(F.min(placed).alias("one"))
         .select("same", "one.*")
     )
-    known = links(docs, found, percent)
+    known = connected(docs, found, percent, words)
     labels = found.join(known.withColumnRenamed("node", "place"), "place", "left").select(
         "same", F.coalesce("component", "place").alias("component")
     )
@@ -294,13 +294,13 @@ def _input(docs: DataFrame) -> tuple[DataFrame, DataFrame, str]:
     return placed, seen, place
 
 
-def find_near(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def find_near(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
     """One row per row of `docs`: doc_id, n_shingles, component_id, kept."""
-    found = near_groups(_input(docs)[1], percent)
+    found = near_groups(_input(docs)[1], percent, words)
     return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
-def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def keep_one(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
     """The rows of `docs`, all columns: one of each group of near duplicates."""
     placed, seen, place = _input(docs)
-    return rows.only(placed, place, near_groups(seen, percent).filter("first").select(F.col("place").alias(place)))
+    return rows.only(placed, place, near_groups(seen, percent, words).filter("first").select(F.col("place").alias(place)))
