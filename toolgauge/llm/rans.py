@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from toolgauge.llm import files, tokens
+from toolgauge.llm import files, rows, tokens
 from toolgauge.session import shared_folder
 
 MAGIC = b"TGRANS01"
@@ -139,32 +139,41 @@ def decode_file(data: bytes, table: Table) -> tuple[dict, np.ndarray, np.ndarray
 def tokenize(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
     """doc_id, text, in ranges of doc_id -> part, before, doc_id, low and high bytes of ids.
 
-    The two bytes of an id go to columns of their own: the high ones repeat and shrink.
+    The two bytes of an id go to columns of their own: the high ones repeat and shrink. A
+    row without `low` ends each part; it has how often each id occurs in the part.
     """
+    schema = pa.schema(
+        [
+            ("part", pa.int32()), ("before", pa.int64()), ("doc_id", pa.int64()),
+            ("low", pa.binary()), ("high", pa.binary()), ("counts", pa.binary()),
+        ]
+    )
 
     def encode_rows(batches):
         encode = tokens.library_encoder(path)
         part, before = TaskContext.get().partitionId(), 0
-        for batch in batches:
-            low, high, starts = [], [], []
+        counts = np.zeros(1 << 16, np.int64)
+        for batch in rows.parts(batches, "text"):
+            low, high, starts, all_ids = [], [], [], []
             for ids in encode(batch.column("text").to_pylist()):
-                pair = np.append(ids, np.uint16(end_id)).astype("<u2").view(np.uint8)
+                ids = np.append(ids, np.uint16(end_id))
+                pair = ids.astype("<u2").view(np.uint8)
                 low.append(pair[0::2].tobytes())
                 high.append(pair[1::2].tobytes())
                 starts.append(before)
-                before += len(low[-1])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([part] * len(low), pa.int32()), pa.array(starts, pa.int64()),
-                    batch.column("doc_id"), pa.array(low, pa.binary()), pa.array(high, pa.binary()),
-                ],
-                names=["part", "before", "doc_id", "low", "high"],
-            )
+                before += len(ids)
+                all_ids.append(ids)
+            counts += np.bincount(np.concatenate(all_ids), minlength=1 << 16)
+            n = len(low)
+            columns = ([part] * n, starts, batch.column("doc_id"), low, high, [None] * n)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+        columns = ([part], [before], [None], [None], [None], [counts.astype("<i8").tobytes()])
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
     count = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = docs.select("doc_id", "text").repartitionByRange(count, "doc_id")
     return ranged.sortWithinPartitions("doc_id", "text").mapInArrow(
-        encode_rows, "part int, before long, doc_id long, low binary, high binary"
+        encode_rows, "part int, before long, doc_id long, low binary, high binary, counts binary"
     )
 
 
@@ -181,12 +190,13 @@ def count_ids(coded: DataFrame) -> np.ndarray:
     def count(batches):
         totals = np.zeros(1 << 16, np.int64)
         for batch in batches:
-            low, high = (b"".join(batch.column(c).to_pylist()) for c in ("low", "high"))
-            totals += np.bincount(_ids(low, high), minlength=1 << 16)
+            for counts in batch.column("counts").to_pylist():
+                totals += np.frombuffer(counts, "<i8")
         at = np.flatnonzero(totals)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(totals[at])], names=["id", "n"])
 
-    found = coded.select("low", "high").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    parts = coded.filter("counts IS NOT NULL").select("counts")
+    found = parts.mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     totals = np.zeros(1 << 16, np.int64)
     for row in found.collect():
         totals[row.id] = row.n
@@ -220,7 +230,8 @@ def write_files(coded: DataFrame, counts: np.ndarray, folder: str) -> None:
             close()
         yield pa.RecordBatch.from_arrays([pa.array([n + bool(docs)], pa.int64())], names=["files"])
 
-    coded.select("part", "before", "doc_id", "low", "high").mapInArrow(write, "files long").agg(
+    documents = coded.filter("low IS NOT NULL").select("part", "before", "doc_id", "low", "high")
+    documents.mapInArrow(write, "files long").agg(
         F.sum("files")
     ).first()
     files.write(folder, "table.bin", counts.astype("<i8").tobytes())
