@@ -1,7 +1,9 @@
 import pytest
 from check_oracle import compare, connect
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from toolgauge.plans.oracle import SQL
+from toolgauge.plans.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 ROWS_ONLY = {"failure_vectors", "mst_edges", "cluster_members", "failure_clusters"}
@@ -17,18 +19,18 @@ def test_entry(spark):
 
 
 def test_every_query_has_its_sql():
-    assert set(queries()) - set(oracle_sql()) == ROWS_ONLY
-    assert set(oracle_sql()) <= set(queries())
+    assert set(QUERIES) - set(SQL) == ROWS_ONLY
+    assert set(SQL) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_query_equals_sql(spark, con, name):
-    assert compare(spark, con, SF_DIR, name, queries()[name], oracle_sql()[name]) == ""
+    assert compare(spark, con, SF_DIR, name, QUERIES[name], SQL[name]) == ""
 
 
 def test_failure_vectors(spark):
-    rows = queries()["failure_vectors"](spark, SF_DIR).collect()
-    failed = queries()["failures"](spark, SF_DIR).count()
+    rows = QUERIES["failure_vectors"](spark, SF_DIR).collect()
+    failed = QUERIES["failures"](spark, SF_DIR).count()
     assert len(rows) == failed
     assert all(len(r.embedding) == 384 for r in rows)
     assert all(abs(sum(v * v for v in r.embedding) - 1) < 1e-4 for r in rows)
@@ -41,5 +43,5 @@ def test_clusters_of_the_given_vectors(spark):
 
     table = pq.read_table(f"{SF_DIR}/embeddings.parquet").to_pandas().sort_values("vec_id")
     want = hdbscan(np.stack(table.embedding).astype(np.float64), 5)
-    rows = queries()["cluster_members"](spark, SF_DIR).collect()
+    rows = QUERIES["cluster_members"](spark, SF_DIR).collect()
     assert [r.cluster_id for r in sorted(rows, key=lambda r: r.ord)] == want
