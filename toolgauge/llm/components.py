@@ -8,14 +8,14 @@ execution splits the join. The number of rounds grows with the logarithm of the
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from toolgauge.session import settle
 
 
 def components(links: DataFrame) -> DataFrame:
     """a, b (numbers) -> node, component: the smallest node reachable. Nodes without links are left out."""
-    edges = settle(
+    edges, marks = _settled(
         links.filter("a != b")
         .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     )
@@ -29,18 +29,24 @@ def components(links: DataFrame) -> DataFrame:
         # Small star: neighbours below a node, and the node, are linked to the smallest of them.
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        after = settle(small.union(least.select("u", F.col("m").alias("v"))).distinct())
-        if _marks(after) == _marks(edges):
+        before = marks
+        edges, marks = _settled(small.union(least.select("u", F.col("m").alias("v"))).distinct())
+        if marks == before:
             # A fixed point consists of stars: every node has one link, to its component.
-            roots = after.groupBy("v").agg(F.first("v").alias("component")).select(F.col("v").alias("node"), "component")
-            return after.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)
-        edges = after
-
-
-def _marks(edges: DataFrame) -> tuple:
-    """Number and order-free checksums of the links: equal for equal sets."""
-    row = edges.agg(
-        F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")),
-        F.sum(F.xxhash64("v", "u").cast("decimal(38,0)")),
-    ).first()
-    return tuple(row)
+            roots = edges.select(F.col("v").alias("node")).distinct().withColumn("component", F.col("node"))
+            return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)
+
+
+def _settled(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """The links as a table, with their number and checksums that ignore order.
+
+    The checksums are taken while the table is written.
+    """
+    seen = Observation()
+    marks = [
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("one"),
+        F.sum(F.xxhash64("v", "u").cast("decimal(38,0)")).alias("two"),
+    ]
+    table = settle(edges.observe(seen, *marks))
+    return table, tuple(seen.get[name] for name in ("n", "one", "two"))

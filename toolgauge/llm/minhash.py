@@ -46,7 +46,7 @@ PERCENT = 85
 BANDS = 9
 ROWS = 3
 # Rounds of leaders before the complete comparison.
-LEADER_ROUNDS = 3
+LEADER_ROUNDS = 2
 SKETCH = 128
 BLOCK = 512
 
