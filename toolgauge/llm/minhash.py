@@ -243,7 +243,15 @@ def connected(docs: DataFrame, found: DataFrame, percent: int = PERCENT, words:
 
 def _remaining(members: DataFrame, sized: DataFrame, percent: int) -> DataFrame:
     """Pairs across components that sketches cannot rule out, from blocks of each bucket."""
-    sizes = members.groupBy("key").agg(F.count("*").alias("n"))
+    # Buckets with the same members, as their number and 128 bits of their hashes tell, are
+    # compared once; in buckets of two the leaders' round has compared all there is.
+    sizes = (
+        members.groupBy("key").agg(
+            F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("x"),
+            F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"),
+        )
+        .filter("n > 2").groupBy("n", "x", "y").agg(F.min("key").alias("key")).select("key", "n")
+    )
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     placed = (
         members.join(sizes, "key").join(sized, "node")
@@ -255,7 +263,10 @@ def _remaining(members: DataFrame, sized: DataFrame, percent: int) -> DataFrame:
         "key", "node", "component", "n_shingles", "sketch", "block",
         F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second"),
     )
-    return spread.groupBy("key", "first", "second").applyInArrow(_crossing(percent), "a long, b long").distinct()
+    # Work follows pairs, not bytes: as many partitions as the session shuffles to.
+    count = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = spread.repartition(count, "key", "first", "second")
+    return dealt.groupBy("key", "first", "second").applyInArrow(_crossing(percent), "a long, b long").distinct()
 
 
 def near_groups(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
