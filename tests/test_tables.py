@@ -14,11 +14,11 @@ def specs(spark, *rows):
 
 TOOL = json.dumps(
     {
-        "name": "weather",
-        "description": "Get weather for a location",
+        "name": "reserve",
+        "description": "Hold seats at a venue",
         "parameters": {
-            "location": {"type": "string", "description": "City name", "required": True},
-            "days": {"type": "integer", "description": "How many", "required": False},
+            "venue": {"type": "string", "description": "Where to go", "required": True},
+            "seats": {"type": "integer", "description": "Party size", "required": False},
         },
     }
 )
@@ -28,8 +28,8 @@ def test_catalog_normalises(spark):
     rows = catalog.tool_catalog(
         specs(spark, TOOL, '{"name": "b", "parameters": {"z": "string", "a": {"type": "t", "description": "d"}}}', '{"name": "c", "parameters": {}}')
     ).orderBy("tool_ord").collect()
-    assert [(r.name, r.description) for r in rows] == [("weather", "Get weather for a location"), ("b", ""), ("c", "")]
-    assert [tuple(p) for p in rows[0].parameters] == [("location", "string", "City name", True), ("days", "integer", "How many", False)]
+    assert [(r.name, r.description) for r in rows] == [("reserve", "Hold seats at a venue"), ("b", ""), ("c", "")]
+    assert [tuple(p) for p in rows[0].parameters] == [("venue", "string", "Where to go", True), ("seats", "integer", "Party size", False)]
     assert [tuple(p) for p in rows[1].parameters] == [("z", "string", "", True), ("a", "t", "d", True)]
     assert rows[2].parameters == []
 
@@ -43,41 +43,42 @@ def test_catalog_normalises(spark):
         '{"name": "a", "parameters": {"x": null}}',
         '{"name": "a", "parameters": null}',
         '{"name": "a", "description": null}',
+        '{"name": "a"} and more',
+        '{"name": "a", "parameters": {"x": ["string"]}}',
     ],
 )
 def test_catalog_refuses(spark, spec):
-    with pytest.raises(Exception, match="name|lacks|null|no object"):
+    with pytest.raises(Exception, match="name|lacks|null|no object|list"):
         catalog.tool_catalog(specs(spark, spec)).collect()
 
 
 def test_schema(spark):
     tools = catalog.tool_catalog(specs(spark, TOOL, '{"name": "b"}'))
-    schemas = json.loads(catalog.schema_list(tools))
+    listed = lambda t: spark.range(1).select(catalog.schema_list(t).alias("s")).first().s
+    schemas = json.loads(listed(tools))
     assert schemas[0] == {
         "type": "function",
         "function": {
-            "name": "weather",
-            "description": "Get weather for a location",
+            "name": "reserve",
+            "description": "Hold seats at a venue",
             "parameters": {
                 "type": "object",
                 "properties": {
-                    "location": {"type": "string", "description": "City name"},
-                    "days": {"type": "integer", "description": "How many"},
+                    "venue": {"type": "string", "description": "Where to go"},
+                    "seats": {"type": "integer", "description": "Party size"},
                 },
-                "required": ["location"],
+                "required": ["venue"],
             },
         },
     }
-    assert list(schemas[0]["function"]["parameters"]["properties"]) == ["location", "days"]
+    assert list(schemas[0]["function"]["parameters"]["properties"]) == ["venue", "seats"]
     assert schemas[1]["function"]["parameters"] == {"type": "object", "properties": {}, "required": []}
-    with pytest.raises(ValueError):
-        catalog.schema_list(tools, max_bytes=10)
-    assert catalog.schema_list(tools.limit(0)) == "[]"
+    assert listed(tools.limit(0)) == "[]"
 
 
 def test_datagen_prompt(spark):
-    prompt = prompts.datagen_prompts(catalog.tool_catalog(specs(spark, TOOL)), 5).first().prompt
-    for part in ("weather", "Get weather for a location", "- location (string, required): City name\n", "- days (integer, optional): How many\n", "5"):
+    prompt = prompts.datagen_prompts(catalog.tool_catalog(specs(spark, TOOL)), 40).first().prompt
+    for part in ("reserve", "Hold seats at a venue", "  venue (string, required) Where to go\n", "  seats (integer, optional) Party size\n", "40"):
         assert part in prompt
 
 
@@ -105,6 +106,13 @@ ANSWERS = [
 ]
 
 
+def test_last_of_repeated_keys_and_runs(spark):
+    raw = '[{"user_query": "old", "expected_tool_call": null, "user_query": "new"}]'
+    df = spark.createDataFrame([(r, "p", 1, 0, raw) for r in (4, 5)], "run_id int, prompt_id string, iteration int, cluster_id int, raw string")
+    rows = responses.patch_rows(df).collect()
+    assert {r.user_query for r in rows} == {"new"} and sorted(r.id for r in rows) == [f"run{r}_train_iter1_0_0" for r in (4, 5)]
+
+
 def test_responses(spark):
     rows = [(str(i), i, 1, -1, raw) for i, (raw, _, _) in enumerate(ANSWERS)]
     df = spark.createDataFrame(rows, "prompt_id string, n int, iteration int, cluster_id int, raw string")
@@ -153,7 +161,8 @@ def test_files_round_trip(spark, tmp_path):
     assert not jsonl.train_exists(spark, path)
     tools = catalog.tool_catalog(specs(spark, TOOL))
     schemas = catalog.schema_list(tools)
-    call = '{"name": "weather", "arguments": {"z": 1, "a": "é \\"x\\""}}'
+    shown = json.loads(spark.range(1).select(schemas.alias("s")).first().s)
+    call = '{"name": "reserve", "arguments": {"z": 1, "a": "é \\"x\\""}}'
     df = spark.range(10).select(
         F.col("id").alias("ord"),
         F.when(F.col("id") != 3, call).alias("expected_tool_call"),
@@ -164,7 +173,7 @@ def test_files_round_trip(spark, tmp_path):
     assert jsonl.train_exists(spark, path + "/split=train")
     assert spark.read.text(path + "/split=train").count() == 8
     lines = [json.loads(r.value) for r in spark.read.text(path).select("value").collect()]
-    assert len(lines) == 10 and all(line["tools"] == json.loads(schemas) for line in lines)
+    assert len(lines) == 10 and all(line["tools"] == shown for line in lines)
     assert all(list(line["expected_tool_call"]["arguments"]) == ["z", "a"] for line in lines if line["expected_tool_call"])
     back = jsonl.read_examples(spark, path + "/split=train")
     rows = back.collect()
@@ -217,7 +226,7 @@ def test_accuracy_of_nothing(spark):
     scored = spark.createDataFrame([], "run_id long, iteration long, tool string, is_correct boolean")
     assert metrics.overall_accuracy(scored).first().overall_accuracy == 0.0
     tools = catalog.tool_catalog(specs(spark, TOOL))
-    assert [tuple(r) for r in metrics.per_tool_accuracy(scored, tools).collect()] == [("weather", 0, 0, 0.0)]
+    assert [tuple(r) for r in metrics.per_tool_accuracy(scored, tools).collect()] == [("reserve", 0, 0, 0.0)]
 
 
 def test_run_log(spark, tmp_path):
@@ -225,9 +234,11 @@ def test_run_log(spark, tmp_path):
     h = history(spark, (1, 1, 0.5, 5), (1, 2, 0.75, 2)).drop("run_id")
     tools = spark.createDataFrame([(1, "a", 0.5), (1, "b", 0.0), (2, "a", 0.75)], "iteration long, tool string, accuracy double")
     assert [jsonl.append_run_log(spark, h, tools, path) for _ in range(2)] == [1, 2]
+    assert jsonl.append_run_log(spark, h, tools, path, run_id=2) == 2  # a repeated write
     rows = jsonl.read_run_log(spark, path).orderBy("run_id", "iteration").collect()
     assert [(r.run_id, r.iteration, r.best_accuracy) for r in rows] == [(1, 1, 0.75), (1, 2, 0.75), (2, 1, 0.75), (2, 2, 0.75)]
-    assert rows[0].per_tool_accuracy == {"a": 0.5, "b": 0.0}
+    logged = jsonl.read_tool_log(spark, path).filter("run_id = 2").collect()
+    assert sorted((r.iteration, r.tool, r.accuracy) for r in logged) == [(1, "a", 0.5), (1, "b", 0.0), (2, "a", 0.75)]
     failed = spark.createDataFrame([("1", "wrong_tool")], "id string, error_type string")
     for _ in range(2):
         jsonl.write_failures(failed, str(tmp_path / "f"), 3)
@@ -240,10 +251,12 @@ def test_texts(spark):
         "user_query string, expected string, predicted string, error_type string",
     )
     assert [r.failure_text for r in prompts.failure_text(failed).collect()] == [
-        'Expected tool: t | Expected params: {"a": [1, 2]} | Predicted output: p | Error type: wrong_tool | User query: q',
-        "Expected tool: unknown | Expected params: {} | Predicted output:  | Error type: malformed_json | User query: q",
-        "Expected tool: t | Expected params: null | Predicted output: p | Error type: x | User query: q",
+        'mistake: wrong_tool\nasked: q\nwanted: t {"a": [1, 2]}\nanswered: p',
+        "mistake: malformed_json\nasked: q\nwanted: ? {}\nanswered: ",
+        "mistake: x\nasked: q\nwanted: t null\nanswered: p",
     ]
+    broken = failed.select(F.concat("expected", F.lit(" junk")).alias("expected_tool_call"), F.array(F.struct(F.lit("u").alias("role"), F.lit("c").alias("content"))).alias("messages"))
+    assert prompts.sft_text(broken).count() == 0
     examples = failed.select(F.col("expected").alias("expected_tool_call"), F.array(F.struct(F.lit("system").alias("role"), F.lit("hi").alias("content")), F.struct(F.lit("user").alias("role"), F.lit("no").alias("content"))).alias("messages"))
     assert prompts.sft_text(examples).first().text == (
         '<|im_start|>user\nhi<|im_end|>\n<|im_start|>assistant\n{"name": "t", "arguments": {"a":[1,2]}}<|im_end|>\n'

@@ -10,7 +10,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-OPTIONS = {"allowSingleQuotes": "false"}
+# The reader's own limits on one value are lifted: only memory bounds a text.
+_NO_LIMIT = str(2**31 - 1)
+OPTIONS = {
+    "allowSingleQuotes": "false",
+    "maxNestingDepth": _NO_LIMIT,
+    "maxNumLen": _NO_LIMIT,
+    "maxStringLen": _NO_LIMIT,
+}
 
 # Long and specific, so that no real text spells it by accident.
 END_KEY = "__toolgauge_end_of_value_5f1c9e7a__"
@@ -24,11 +31,23 @@ def _wrapped(text: Column, end_mark: str) -> Column:
     return F.concat(F.lit("["), text, F.lit("," + end_mark + "]"))
 
 
+def foreign_numbers(text: Column) -> Column:
+    """True where a word outside strings is a number to the reader but not to Python.
+
+    The reader takes INF in all signs and +Infinity; Python only NaN and (-)Infinity.
+    """
+    bare = F.regexp_replace(text, '"[^"\\\\]*+(?:\\\\.[^"\\\\]*+)*+"', "")
+    return F.when(text.contains("INF") | text.contains("+I"), bare.rlike("INF|[+]Infinity")).otherwise(
+        F.lit(False)
+    )
+
+
 def is_json(text: Column) -> Column:
     """True where the whole text is one JSON value."""
     parts = F.from_json(_wrapped(text, f'"{END_KEY}"'), "array<string>", OPTIONS)
     return F.coalesce(
-        (F.size(parts) == 2) & (F.get(parts, F.lit(1)) == END_KEY), F.lit(False)
+        (F.size(parts) == 2) & (F.get(parts, F.lit(1)) == END_KEY) & ~foreign_numbers(text),
+        F.lit(False),
     )
 
 
@@ -121,13 +140,16 @@ def value_text(value: str) -> str:
 
 
 def _python_float(value: str) -> str:
-    # Older JVMs print some doubles with one digit more than tells them apart.
-    rounded = f"format_string('%.15e', try_cast({value} AS DOUBLE))"
-    mantissa = f"""CASE
-        WHEN length({value}) > 18 AND try_cast({rounded} AS DOUBLE) = try_cast({value} AS DOUBLE)
-        THEN regexp_replace(regexp_replace(split_part({rounded}, 'e', 1), '0+$', ''), '[.]$', '.0')
-        ELSE split_part({value}, 'E', 1) END"""
-    power = f"try_cast(split_part({value}, 'E', 2) AS INT)"
+    # Older JVMs print some doubles with more digits than tell them apart: the first of
+    # 1, 15, 16 and 17 digits that reads back as the same number is what Python prints.
+    number = f"try_cast({value} AS DOUBLE)"
+    tried = [f"format_string('%.{digits}e', {number})" for digits in (0, 14, 15, 16)]
+    shortest = "CASE " + " ".join(
+        f"WHEN try_cast({text} AS DOUBLE) = {number} THEN {text}" for text in tried
+    ) + f" ELSE replace({value}, 'E', 'e') END"
+    mantissa = f"""regexp_replace(regexp_replace(
+        split_part({shortest}, 'e', 1), '0+$', ''), '[.]$', '.0')"""
+    power = f"try_cast(split_part({shortest}, 'e', 2) AS INT)"
     short = f"regexp_replace({mantissa}, '[.]0$', '')"
     # 18 digits before and 20 after the point hold every plain-form double here.
     plain = f"""regexp_replace(regexp_replace(CAST(
@@ -135,7 +157,7 @@ def _python_float(value: str) -> str:
     return f"""CASE
         WHEN {power} BETWEEN -4 AND 15 THEN {plain}
         WHEN {power} >= 16 THEN concat({short}, 'e+', {power})
-        ELSE concat({short}, 'e-', lpad(CAST(abs({power}) AS STRING), 2, '0')) END"""
+        ELSE concat({short}, 'e-', if(abs({power}) < 10, '0', ''), abs({power})) END"""
 
 
 def python_spacing(text: Column) -> Column:

@@ -7,9 +7,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from toolgauge.functions import json_text as J
 from toolgauge.functions.stage import computed
 
-# Every example line repeats the schema list, so it has to stay small.
-MAX_SCHEMA_BYTES = 8 * 1024 * 1024
-
 
 def tool_catalog(specs: DataFrame) -> DataFrame:
     """Normalise rows of (tool_ord, spec JSON) into the catalog.
@@ -20,7 +17,11 @@ def tool_catalog(specs: DataFrame) -> DataFrame:
     Broken specs fail the job.
     """
     fields = F.col("_fields")
-    spec = computed(specs, _fields=J.object_fields(F.col("spec")))
+    strict = J.unique_fields(J.parsed_object(F.col("_parsed")))
+    spec = computed(
+        computed(specs, _parsed=J.parse_object(F.col("spec"))),
+        _fields=_must(strict, F.concat(F.lit("no object at position "), F.col("tool_ord"))),
+    )
     has_params = F.map_contains_key(fields, "parameters")
     split = computed(
         spec,
@@ -58,6 +59,8 @@ def _parameter(entry: Column) -> Column:
         entry["value"], "type string, description string, required boolean", J.OPTIONS
     )
     bare = ~F.startswith(F.coalesce(entry["value"], F.lit("")), F.lit("{"))
+    listed = F.startswith(F.coalesce(entry["value"], F.lit("")), F.lit("["))
+    is_list = F.concat(F.lit("parameter "), entry["key"], F.lit(" is no object but a list"))
 
     def field(name: str) -> Column:
         return _must(
@@ -68,7 +71,10 @@ def _parameter(entry: Column) -> Column:
     missing = F.concat(F.lit("parameter "), entry["key"], F.lit(" is null"))
     return F.struct(
         entry["key"].alias("name"),
-        F.when(bare, _must(entry["value"], missing)).otherwise(field("type")).alias("type"),
+        F.when(listed, F.raise_error(is_list))
+        .when(bare, _must(entry["value"], missing))
+        .otherwise(field("type"))
+        .alias("type"),
         F.when(bare, F.lit("")).otherwise(field("description")).alias("description"),
         F.when(bare, F.lit(True))
         .otherwise(F.coalesce(given["required"], F.lit(True)))
@@ -102,15 +108,15 @@ def tool_schema(catalog: DataFrame) -> DataFrame:
     return catalog.select("tool_ord", "name", F.to_json(function).alias("schema"))
 
 
-def schema_list(catalog: DataFrame, max_bytes: int = MAX_SCHEMA_BYTES) -> str:
-    """The schemas of all tools, in order, as one JSON array.
+def schema_list(catalog: DataFrame) -> Column:
+    """The schemas of all tools, in order, as one JSON array: a value for every row.
 
-    A model sees this list with every query, so it is small by nature; a catalog
-    beyond `max_bytes` is refused before anything is collected.
+    A scalar subquery: evaluated once and read where lines are written.
     """
-    schemas = tool_schema(catalog)
-    size = schemas.agg(F.coalesce(F.sum(F.octet_length("schema")), F.lit(0))).first()[0]
-    if size > max_bytes:
-        raise ValueError(f"tool schemas take {size} bytes, more than {max_bytes}")
-    rows = schemas.orderBy("tool_ord").select("schema").collect()
-    return "[" + ",".join(row.schema for row in rows) + "]"
+    ordered = F.array_sort(F.collect_list(F.struct("tool_ord", "schema")))
+    texts = F.transform(ordered, lambda one: one["schema"])
+    return (
+        tool_schema(catalog)
+        .agg(F.concat(F.lit("["), F.array_join(texts, ","), F.lit("]")).alias("schemas"))
+        .scalar()
+    )

@@ -12,8 +12,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
-MAX_CATALOG_TOOLS = 100_000
-
 
 def _ratio(part: Column, whole: Column) -> Column:
     return F.coalesce(F.try_divide(part.cast("double"), whole.cast("double")), F.lit(0.0))
@@ -56,42 +54,22 @@ def tool_history(
 ) -> DataFrame:
     """`per_tool_accuracy` for every evaluation, one row per evaluation and tool.
 
-    Kept long: the map form of the run log is built only when it is written. The
-    grouping sets work on the counts, so the scored rows are read and grouped once.
+    Kept long, like the run log. Every evaluation pairs with every catalog tool, which is
+    the result itself; both sides of that join are as small as the counts.
     """
     keys = list(keys)
-    known = catalog.select(F.col("name").alias("tool")).distinct()
-    levels = (
-        tool_counts(scored, keys)
-        .groupingSets([[*keys, "tool"], keys], *keys, "tool")
-        .agg(
-            F.grouping("tool").alias("_whole"),
-            F.sum("total").alias("_total"),
-            F.sum("correct").alias("_correct"),
-        )
-    )
-    # The row of a whole evaluation turns into one empty row per catalog tool.
-    whole = F.col("_whole") == 1
+    known = catalog.select(F.col("name").alias("tool"), F.lit(0).alias("_one")).distinct()
+    counts = tool_counts(scored, keys)
+    runs = counts.select(*keys, F.lit(0).alias("_one")).distinct()
+    none = runs.join(known, "_one").select(*keys, "tool", F.lit(0).alias("total"), F.lit(0).alias("correct"))
     return (
-        levels.select(
-            *keys,
-            F.explode(F.when(whole, _names(known)).otherwise(F.array("tool"))).alias("tool"),
-            F.when(whole, 0).otherwise(F.col("_total")).alias("_total"),
-            F.when(whole, 0).otherwise(F.col("_correct")).alias("_correct"),
-        )
+        counts.unionByName(none)
         .groupBy(*keys, "tool")
-        .agg(F.sum("_total").alias("total"), F.sum("_correct").alias("correct"))
+        .agg(F.sum("total").alias("total"), F.sum("correct").alias("correct"))
         .withColumn("accuracy", _ratio(F.col("correct"), F.col("total")))
     )
 
 
-def _names(known: DataFrame) -> Column:
-    """Catalog tool names as one array; a model prompt lists them all, so they are few."""
-    too_many = F.raise_error(F.lit(f"more than {MAX_CATALOG_TOOLS} tools in the catalog"))
-    names = F.when(F.count("*") > MAX_CATALOG_TOOLS, too_many).otherwise(F.collect_set("tool"))
-    return known.agg(names.alias("names")).scalar()
-
-
 def iteration_summary(
     scored: DataFrame, patch_rows: DataFrame, keys: Sequence[str] = ("run_id", "iteration")
 ) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from toolgauge.functions import json_text as J
@@ -15,16 +17,43 @@ SHOWN_FAILURES = 3
 CHATML = {"open": "<|im_start|>", "close": "<|im_end|>\n"}
 
 
-def datagen_prompts(catalog: DataFrame, count: int) -> DataFrame:
+# What the messages of a data generation prompt should differ in, unless the caller says so.
+VOICES = (
+    "a few keywords typed on a phone",
+    "a story from which the wish has to be guessed",
+    "a stiff letter",
+    "a learner of the language",
+    "someone who corrects a value halfway through",
+    "someone who writes numbers and dates as words",
+)
+OFF_TOPIC = 0.1
+
+
+def datagen_task(count: int, voices: Sequence[str] = VOICES, off_topic: float = OFF_TOPIC) -> str:
+    """The part of a data generation prompt that is the same for all tools."""
+    idle = round(count * off_topic)
+    return (
+        f"\nTASK\nInvent {count} messages to an assistant that has this tool."
+        f"\nVoices to spread them over: {'; '.join(voices)}."
+        f"\nLeave exactly {idle} of them without any use for the tool."
+        "\nReply in JSON only: a list with one object per message, its text as"
+        '\n"user_query" and the right call, or null without one, as "expected_tool_call"'
+        '\n(keys "name" and "arguments").\n'
+    )
+
+
+def datagen_prompts(
+    catalog: DataFrame, count: int, voices: Sequence[str] = VOICES, off_topic: float = OFF_TOPIC
+) -> DataFrame:
     """One prompt per tool that asks for `count` queries with their expected calls."""
     lines = F.transform(
         F.col("parameters"),
         lambda p: F.concat(
-            F.lit("- "),
+            F.lit("  "),
             p["name"],
             F.lit(" ("),
             p["type"],
-            F.when(p["required"], ", required): ").otherwise(", optional): "),
+            F.when(p["required"], ", required) ").otherwise(", optional) "),
             p["description"],
             F.lit("\n"),
         ),
@@ -33,46 +62,38 @@ def datagen_prompts(catalog: DataFrame, count: int) -> DataFrame:
         "tool_ord",
         F.col("name").alias("tool"),
         F.concat(
-            F.lit(f"Write {count} user messages that this tool should answer.\n\nTool: "),
+            F.lit("TOOL "),
             F.col("name"),
-            F.lit("\nWhat it does: "),
+            F.lit("\n"),
             F.col("description"),
-            F.lit("\n\nArguments:\n"),
+            F.lit("\nIt takes:\n"),
             F.array_join(lines, ""),
-            F.lit(DATAGEN_TAIL),
+            F.lit(datagen_task(count, voices, off_topic)),
         ).alias("prompt"),
     )
 
 
-DATAGEN_TAIL = (
-    "\nAnswer with one JSON array and no other text. Each element is an object with"
-    '\n"user_query": the message, and'
-    '\n"expected_tool_call": an object with "name" and "arguments", or null.'
-    "\nMix plain requests, chatty ones, indirect ones, ones with typing errors, ones that"
-    "\nleave optional arguments out and ones that are hard to tell apart. Let about one"
-    "\nin eight be close to the tool's subject without needing it; expect null there.\n"
-)
-
-
 def failure_text(failures: DataFrame) -> DataFrame:
-    """The text of a failure that gets embedded."""
-    call = J.object_fields(F.col("expected"))
-    return computed(failures, _call=call).select(
+    """The text of a failure that gets embedded: the mistake, the wish, both calls."""
+    call = J.parsed_object(F.col("_parsed"))
+    return computed(
+        computed(failures, _parsed=J.parse_object(F.col("expected"))),
+        _call=J.unique_fields(F.coalesce(call, F.expr("CAST(map() AS MAP<STRING, STRING>)"))),
+    ).select(
         *failures.columns,
         F.concat_ws(
-            " | ",
+            "\n",
+            F.concat(F.lit("mistake: "), F.col("error_type")),
+            F.concat(F.lit("asked: "), F.col("user_query")),
             F.concat(
-                F.lit("Expected tool: "), F.coalesce(F.col("_call")["name"], F.lit("unknown"))
-            ),
-            F.concat(
-                F.lit("Expected params: "),
+                F.lit("wanted: "),
+                F.coalesce(F.col("_call")["name"], F.lit("?")),
+                F.lit(" "),
                 F.when(~F.map_contains_key("_call", "arguments"), F.lit("{}")).otherwise(
                     F.coalesce(J.python_spacing(F.col("_call")["arguments"]), F.lit("null"))
                 ),
             ),
-            F.concat(F.lit("Predicted output: "), F.coalesce("predicted", F.lit(""))),
-            F.concat(F.lit("Error type: "), F.col("error_type")),
-            F.concat(F.lit("User query: "), F.col("user_query")),
+            F.concat(F.lit("answered: "), F.coalesce("predicted", F.lit(""))),
         ).alias("failure_text"),
     )
 
@@ -86,11 +107,11 @@ def patch_prompts(members: DataFrame, clusters: DataFrame, *keys: str) -> DataFr
     by = [*keys, "cluster_id"]
     first = Window.partitionBy(*by).orderBy("ord")
     line = F.concat(
-        F.lit("Query: "),
+        F.lit("* "),
         F.col("user_query"),
-        F.lit(" | Expected: "),
+        F.lit("\n  should give "),
         J.python_spacing(F.col("expected")),
-        F.lit(" | Model did: "),
+        F.lit("\n  but gave "),
         F.coalesce("predicted", F.lit("")),
     )
     shown = (
@@ -108,24 +129,24 @@ def patch_prompts(members: DataFrame, clusters: DataFrame, *keys: str) -> DataFr
             "label",
             "requested",
             F.concat(
-                F.lit("A small local model gets these tool calls wrong. Kind of mistake: "),
+                F.lit("WEAKNESS "),
                 F.col("label"),
-                F.lit("\n\nWhat happened:\n"),
+                F.lit("\nSeen in evaluation:\n"),
                 F.coalesce(
                     F.array_join(F.transform("_lines", lambda x: x["line"]), "\n"), F.lit("")
                 ),
-                F.lit("\n\nWrite "),
+                F.lit("\nTASK\nTeach the model otherwise with "),
                 F.col("requested").cast("string"),
-                F.lit(PATCH_TAIL),
+                F.lit(PATCH_TASK),
             ).alias("prompt"),
         )
     )
 
 
-PATCH_TAIL = (
-    " new and varied user messages with the right calls, aimed at this mistake and at"
-    "\nits corner cases. Answer with one JSON array of objects like"
-    '\n{"user_query": "...", "expected_tool_call": {"name": "...", "arguments": {}}}\n'
+PATCH_TASK = (
+    " further messages that invite the same mistake, each with the call that is right."
+    '\nReply in JSON only: a list of objects with the text as "user_query" and, as'
+    '\n"expected_tool_call", an object with "name" and "arguments".\n'
 )
 
 
@@ -159,11 +180,14 @@ def sft_text(examples: DataFrame, template: dict[str, str] = CHATML) -> DataFram
         F.lit("}"),
     )
     return (
-        computed(examples, _call=J.object_fields(F.col("expected_tool_call")))
+        computed(
+            computed(examples, _parsed=J.parse_object(F.col("expected_tool_call"))),
+            _call=J.unique_fields(J.parsed_object(F.col("_parsed"))),
+        )
         .filter(call["name"].isNotNull())
         .withColumn(
             "text",
             F.concat(_turn("user", first, template), _turn("assistant", answer, template)),
         )
-        .drop("_call")
+        .drop("_call", "_parsed")
     )

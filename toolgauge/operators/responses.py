@@ -75,7 +75,9 @@ def _first_bad(items: Column) -> Column:
 
 def _examples(kept: DataFrame, columns: list[str]) -> DataFrame:
     """One row per item: a single user message and the expected call."""
-    rows = kept.select(*columns, F.posexplode("_items").alias("pos", "_item"))
+    rows = kept.select(*columns, F.posexplode("_items").alias("pos", "_fields")).withColumn(
+        "_item", J.unique_fields(F.col("_fields"))
+    )
     query = F.col("_item")["user_query"]
     return rows.select(
         *columns,
@@ -125,8 +127,10 @@ def patch_rows(responses: DataFrame) -> DataFrame:
     """Example rows from the answers to patch prompts, with their ids.
 
     Items before the first unusable one are kept, so positions are dense and serve
-    as numbers within (iteration, cluster_id): one answer per cluster, no window.
+    as numbers within (iteration, cluster_id): one answer per cluster, no window. Rows
+    of several runs have a `run_id`, which then becomes part of the id.
     """
+    run = [F.concat(F.lit("run"), F.col("run_id").cast("string"))] if "run_id" in responses.columns else []
     cleaned = computed(responses, _text=unfence_anywhere(F.col("raw")))
     kept = (
         _parse_items(cleaned)
@@ -138,6 +142,7 @@ def patch_rows(responses: DataFrame) -> DataFrame:
         "id",
         F.concat_ws(
             "_",
+            *run,
             F.concat(F.lit("train_iter"), F.col("iteration").cast("string")),
             F.col("cluster_id").cast("string"),
             F.col("pos").cast("string"),

@@ -6,6 +6,8 @@ delivers prediction and expectation, and runs unchanged on a stream.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from toolgauge.functions import json_text as J
@@ -51,15 +53,18 @@ def negatives(examples: DataFrame) -> DataFrame:
     return expected_lanes(examples).filter(F.col("lane") == "negative").drop("lane", "tool")
 
 
-def with_predictions(examples: DataFrame, predictions: DataFrame) -> DataFrame:
+def with_predictions(
+    examples: DataFrame, predictions: DataFrame, keys: Sequence[str] = ()
+) -> DataFrame:
     """Each example with its prediction, matched by position.
 
     `ord` is the key because ids repeat: every row without an id is called
-    'unknown'. An example without a prediction keeps a NULL `predicted`. Both sides
-    have one row per example, so neither is ever the small one; tables bucketed by
-    `ord` join without a shuffle.
+    'unknown'. `keys` are further columns of both sides that tell evaluations apart,
+    e.g. run and iteration; without a prediction in its own evaluation an example
+    keeps a NULL `predicted`, whatever other evaluations have. Tables bucketed by the
+    keys join without a shuffle.
     """
-    return examples.join(predictions.hint("merge"), "ord", "left")
+    return examples.join(predictions, [*keys, "ord"], "left")
 
 
 def score_calls(pairs: DataFrame) -> DataFrame:
@@ -82,7 +87,7 @@ def score_calls(pairs: DataFrame) -> DataFrame:
     entries = parsed.select(
         *pairs.columns,
         "_text",
-        J.call_closed(F.col("_p")).alias("_p_closed"),
+        (J.call_closed(F.col("_p")) & ~J.foreign_numbers(F.col("_text"))).alias("_p_closed"),
         predicted["name"].alias("_p_name"),
         F.when(J.call_closed(F.col("_e")), expected["name"]).alias("tool"),
         J.unique_fields(predicted["arguments"]).alias("_p_args"),

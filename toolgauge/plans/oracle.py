@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from toolgauge.operators.prompts import DATAGEN_TAIL, PATCH_TAIL
+from toolgauge.operators.prompts import PATCH_TASK, datagen_task
 
 
 def _quoted(text: str) -> str:
@@ -154,7 +154,7 @@ patches AS (
   SELECT prompt_id, run_id, iteration, cluster_id, CAST(pos AS INTEGER) AS pos,
          json_extract_string('{' || q || '"z": 1}', '$.user_query') AS user_query,
          replace(replace(call, ': ', ':'), ', ', ',') AS expected_tool_call,
-         'train_iter' || iteration || '_' || cluster_id || '_' || pos AS id
+         'run' || run_id || '_train_iter' || iteration || '_' || cluster_id || '_' || pos AS id
   FROM items JOIN origin USING (run_id, user_id)
   WHERE user_id % 5 IN (0, 1, 2) OR (user_id % 5 = 4 AND pos < 2)
 )"""
@@ -199,13 +199,13 @@ summary AS (
 
 # Every pair of vectors, which is affordable at the size this is checked at.
 NEIGHBORS = """
-vec AS (SELECT vec_id AS ord, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
-ranked AS (
+vec AS MATERIALIZED (SELECT vec_id AS ord, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+ranked AS MATERIALIZED (
   SELECT a.ord, b.ord AS neighbor, list_distance(a.x, b.x) AS dist,
          row_number() OVER (PARTITION BY a.ord ORDER BY list_distance(a.x, b.x), b.ord) AS place
   FROM vec a JOIN vec b ON a.ord <> b.ord
 ),
-core AS (SELECT ord, dist AS core FROM ranked WHERE place = 5)"""
+core AS MATERIALIZED (SELECT ord, dist AS core FROM ranked WHERE place = 5)"""
 
 _SCHEMA_HEAD = """'{"type":"function","function":{"name":"' || name || '","description":"' || description || '","parameters":{"type":"object","properties":{'"""
 
@@ -227,23 +227,22 @@ SELECT tool_ord, name, {_SCHEMA_HEAD}
 FROM specs""",
     "datagen_prompts": f"""WITH {PART_CATALOG}
 SELECT tool_ord, name AS tool,
-       'Write 30 user messages that this tool should answer.' || chr(10) || chr(10) || 'Tool: ' || name || chr(10)
-       || 'What it does: ' || description || chr(10) || chr(10) || 'Arguments:' || chr(10)
-       || array_to_string(list_transform(parameters, lambda p: '- ' || p.name || ' (' || p.type
-            || CASE WHEN p.required THEN ', required): ' ELSE ', optional): ' END || p.description || chr(10)), '')
-       || {_quoted(DATAGEN_TAIL)} AS prompt
+       'TOOL ' || name || chr(10) || description || chr(10) || 'It takes:' || chr(10)
+       || array_to_string(list_transform(parameters, lambda p: '  ' || p.name || ' (' || p.type
+            || CASE WHEN p.required THEN ', required) ' ELSE ', optional) ' END || p.description || chr(10)), '')
+       || {_quoted(datagen_task(30))} AS prompt
 FROM specs""",
     "patch_prompts": f"""WITH {VECTOR_FAILURES},
 shown AS (
-  SELECT cluster_id, string_agg('Query: ' || user_query || ' | Expected: ' || expected || ' | Model did: ' || predicted,
+  SELECT cluster_id, string_agg('* ' || user_query || chr(10) || '  should give ' || expected || chr(10) || '  but gave ' || predicted,
          chr(10) ORDER BY ord) AS lines
   FROM (SELECT * FROM vf QUALIFY row_number() OVER (PARTITION BY cluster_id ORDER BY ord) <= 3)
   GROUP BY cluster_id
 )
 SELECT cluster_id, label, CAST(least(20, size * 3) AS INTEGER) AS requested,
-       'A small local model gets these tool calls wrong. Kind of mistake: ' || label || chr(10) || chr(10)
-       || 'What happened:' || chr(10) || lines || chr(10) || chr(10) || 'Write ' || least(20, size * 3)
-       || {_quoted(PATCH_TAIL)} AS prompt
+       'WEAKNESS ' || label || chr(10) || 'Seen in evaluation:' || chr(10) || lines || chr(10)
+       || 'TASK' || chr(10) || 'Teach the model otherwise with ' || least(20, size * 3)
+       || {_quoted(PATCH_TASK)} AS prompt
 FROM summary JOIN shown USING (cluster_id)""",
     "ingest_responses": f"""WITH {RESPONSES}
 SELECT prompt_id, tool, CAST(pos AS INTEGER) AS pos,
@@ -287,11 +286,10 @@ SELECT ord, id, user_query, expected_tool_call AS expected, predicted, error_typ
 FROM scored WHERE NOT is_correct""",
     "negatives": f"WITH {EXAMPLES} SELECT ord, id, user_query FROM ex WHERE expected_tool_call IS NULL",
     "failure_text": f"""WITH {SCORED}
-SELECT ord, 'Expected tool: ' || tool || ' | Expected params: '
+SELECT ord, 'mistake: ' || error_type || chr(10) || 'asked: ' || user_query || chr(10) || 'wanted: ' || tool || ' '
        || substr(expected_tool_call, position('"arguments": ' IN expected_tool_call) + 13,
                  length(expected_tool_call) - position('"arguments": ' IN expected_tool_call) - 13)
-       || ' | Predicted output: ' || predicted || ' | Error type: ' || error_type
-       || ' | User query: ' || user_query AS failure_text
+       || chr(10) || 'answered: ' || predicted AS failure_text
 FROM scored WHERE NOT is_correct""",
     "sft_text": f"""WITH {EXAMPLES}
 SELECT ord, '<|im_start|>user' || chr(10) || user_query || '<|im_end|>' || chr(10)

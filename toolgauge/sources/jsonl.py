@@ -10,9 +10,6 @@ from toolgauge.operators.ranking import dense_positions
 
 MESSAGES = "array<struct<role:string,content:string>>"
 
-# The run log holds one map per iteration; more tools than this do not fit there.
-MAX_LOGGED_TOOLS = 10_000
-
 
 def parse_example_lines(lines: DataFrame) -> DataFrame:
     """Parse the JSON column `line`; other columns stay. A broken line fails the job.
@@ -66,17 +63,17 @@ def _raw(text: Column) -> Column:
     )
 
 
-def example_lines(examples: DataFrame, schemas: str) -> DataFrame:
+def example_lines(examples: DataFrame, schemas: Column) -> DataFrame:
     """Add `line`: the training-file line, built around the raw JSON texts.
 
-    `schemas` is the tools list of `catalog.schema_list`; as a constant it joins the
-    row only here, when the line is written.
+    `schemas` is the tools list of `catalog.schema_list`; it joins the row only here,
+    when the line is written.
     """
     return examples.withColumn(
         "line",
         F.concat(
             F.lit('{"tools": '),
-            F.lit(schemas),
+            schemas,
             F.lit(', "messages": '),
             F.to_json("messages"),
             F.lit(', "expected_tool_call": '),
@@ -88,13 +85,13 @@ def example_lines(examples: DataFrame, schemas: str) -> DataFrame:
     )
 
 
-def write_split(examples: DataFrame, schemas: str, path: str) -> None:
+def write_split(examples: DataFrame, schemas: Column, path: str) -> None:
     """Write the folders split=train and split=eval, each holding iteration=0."""
     lines = example_lines(examples, schemas).select("split", F.lit(0).alias("iteration"), "line")
     lines.write.mode("overwrite").partitionBy("split", "iteration").text(path)
 
 
-def append_patches(patches: DataFrame, schemas: str, path: str, iteration: int) -> None:
+def append_patches(patches: DataFrame, schemas: Column, path: str, iteration: int) -> None:
     """Append the patch lines of one iteration to the training folder.
 
     Each iteration is a folder of its own and replaces itself, so a run that is
@@ -117,40 +114,38 @@ def train_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(jvm_path) and not spark.read.text(path).isEmpty()
 
 
-def append_run_log(spark: SparkSession, history: DataFrame, tools: DataFrame, path: str) -> int:
-    """Append one run to the log and return its number, the next free one.
+def append_run_log(
+    spark: SparkSession, history: DataFrame, tools: DataFrame, path: str, run_id: int | None = None
+) -> int:
+    """Add one run to the log and return its number, by default the next free one.
 
     `history` has iteration, overall_accuracy, failure_count; `tools` has iteration,
-    tool, accuracy. The log row of an iteration holds its tools as a map and the
-    best accuracy of the whole run.
+    tool, accuracy and is kept as rows. Each run has folders of its own: writing a
+    run again under its number replaces it.
     """
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/runs")
     files = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    run_id = 1
-    if files.exists(jvm_path):
-        run_id += spark.read.json(path).agg(F.coalesce(F.max("run_id"), F.lit(0))).first()[0]
-    widest = tools.groupBy("iteration").count().agg(F.max("count")).first()[0] or 0
-    if widest > MAX_LOGGED_TOOLS:
-        raise ValueError(f"{widest} tools in one iteration do not fit into a log row")
-    maps = tools.groupBy("iteration").agg(
-        F.map_from_entries(F.sort_array(F.collect_list(F.struct("tool", "accuracy")))).alias(
-            "per_tool_accuracy"
-        )
-    )
-    best = history.agg(F.greatest(F.max("overall_accuracy"), F.lit(0.0))).scalar()
-    history.join(maps, "iteration", "left").select(
-        F.lit(run_id).alias("run_id"),
-        "iteration",
-        "overall_accuracy",
-        "per_tool_accuracy",
-        "failure_count",
-        best.alias("best_accuracy"),
-    ).write.mode("append").json(path)
+    if run_id is None:
+        taken = [one.getPath().getName() for one in files.listStatus(jvm_path)] if files.exists(jvm_path) else []
+        run_id = 1 + max((int(name.removeprefix("run_id=")) for name in taken if name.startswith("run_id=")), default=0)
+    tools.select("iteration", "tool", "accuracy").write.mode("overwrite").json(f"{path}/tools/run_id={run_id}")
+    with_best(history).write.mode("overwrite").json(f"{path}/runs/run_id={run_id}")
     return run_id
 
 
+def with_best(history: DataFrame) -> DataFrame:
+    """Add the best accuracy of the whole run to each of its iterations."""
+    best = history.agg(F.greatest(F.max("overall_accuracy"), F.lit(0.0))).scalar()
+    return history.select("iteration", "overall_accuracy", "failure_count", best.alias("best_accuracy"))
+
+
 def read_run_log(spark: SparkSession, path: str) -> DataFrame:
+    """One row per run and iteration."""
     return spark.read.schema(
-        "run_id bigint, iteration bigint, overall_accuracy double,"
-        " per_tool_accuracy map<string,double>, failure_count bigint, best_accuracy double"
-    ).json(path)
+        "run_id bigint, iteration bigint, overall_accuracy double, failure_count bigint, best_accuracy double"
+    ).json(f"{path}/runs")
+
+
+def read_tool_log(spark: SparkSession, path: str) -> DataFrame:
+    """One row per run, iteration and tool."""
+    return spark.read.schema("run_id bigint, iteration bigint, tool string, accuracy double").json(f"{path}/tools")
