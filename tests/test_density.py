@@ -99,3 +99,14 @@ def test_small_sets(spark, n):
 
 def test_minimum_cluster_size():
     assert [density.min_cluster_size(n) for n in (5, 6, 9, 10, 1000)] == [2, 3, 4, 5, 5]
+
+
+def test_rows_without_a_usable_vector_are_noise(spark):
+    nan = float("nan")
+    rows = [(i, [float(i % 2), 0.01 * i]) for i in range(12)]
+    rows += [(50, None), (51, [nan, 0.0]), (52, [1.0]), (53, [None, 1.0]), (54, [float("inf"), 1.0])]
+    df = spark.createDataFrame(rows, "ord long, embedding array<double>")
+    got = {r.ord: r.cluster_id for r in density.cluster_members(df).collect()}
+    assert len(got) == len(rows) and all(got[i] == -1 for i in range(50, 55))
+    few = {r.ord: r.cluster_id for r in density.cluster_members(df.filter("ord IN (0, 1, 50, 51, 52)")).collect()}
+    assert few == {0: 0, 1: 0, 50: -1, 51: -1, 52: -1}

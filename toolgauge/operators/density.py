@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from toolgauge.operators import clusters, neighbors
 from toolgauge.operators.forest import spanning_tree
@@ -23,6 +23,14 @@ def min_cluster_size(failures: int) -> int:
     return max(SMALLEST_CLUSTER, min(LARGEST_MINIMUM, failures // 2))
 
 
+def usable(rows: DataFrame) -> Column:
+    """True for an `embedding` of finite numbers, as long as most of the others are."""
+    embedding = F.col("embedding")
+    usual = rows.agg(F.mode(F.size("embedding"), deterministic=True)).scalar()
+    broken = F.exists(embedding, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    return F.coalesce((F.size(embedding) == usual) & ~broken, F.lit(False))
+
+
 def cells_of(vectors: DataFrame, m: int, block_rows: int = BLOCK_ROWS) -> Cells:
     """Distinct vectors in cells; `m` is both minimum cluster size and neighbour count."""
     points = neighbors.distinct_points(vectors).transform(settle)
@@ -58,13 +66,23 @@ def cluster_members(
 ) -> DataFrame:
     """Failures (with `ord` and `embedding`) plus `cluster_id`; -1 is noise.
 
-    Clusters are numbered in the order of their first members.
+    Clusters are numbered in the order of their first members. Rows without a usable
+    vector take no part in the distances and come back as noise.
     """
-    count = failures.count()
-    if count < MIN_FAILURES:
+    sound = usable(failures)
+    found = failures.groupBy(sound.alias("sound")).count().collect()  # two rows at most
+    counts = {row["sound"]: row["count"] for row in found}
+    count = counts.get(True, 0)
+    if sum(counts.values()) < MIN_FAILURES:
         return failures.withColumn("cluster_id", F.lit(0).cast("long"))
+    odd = failures.filter(~sound).withColumn("cluster_id", F.lit(clusters.NOISE).cast("long"))
+    if count < MIN_FAILURES:
+        return failures.filter(sound).withColumn("cluster_id", F.lit(0).cast("long")).unionByName(odd)
+    failures = failures.filter(sound)
     m = min_cluster_size(count)
-    cells = cells_of(failures.select("ord", "embedding"), m, block_rows)
+    # Vectors are compared, and matched to their labels, as 32-bit numbers.
+    failures = failures.withColumn("_vec", F.col("embedding").cast("array<float>"))
+    cells = cells_of(failures.select("ord", F.col("_vec").alias("embedding")), m, block_rows)
     cores, tree = tree_of(cells)
     chosen = select_clusters(leaf_clusters(tree, cores, m), max_local)
     named = cells.points.select("pid", "vec").join(chosen, "pid").transform(settle)
@@ -76,11 +94,12 @@ def cluster_members(
     )
     numbers = dense_positions(firsts, ["_bucket"], ["first"], "cluster_id")
     labels = named.join(numbers.select("cluster", "cluster_id"), "cluster", "left").select(
-        F.col("vec").alias("embedding"),
+        F.col("vec").alias("_vec"),
         F.coalesce("cluster_id", F.lit(clusters.NOISE)).cast("long").alias("cluster_id"),
     )
     # One label row per vector; copies of a hot vector are split by adaptive execution.
-    return failures.join(labels, "embedding").select(*failures.columns, "cluster_id")
+    members = failures.join(labels, "_vec").drop("_vec")
+    return members.unionByName(odd) if counts.get(False) else members
 
 
 def failure_clusters(members: DataFrame) -> DataFrame:

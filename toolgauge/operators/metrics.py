@@ -123,6 +123,14 @@ def run_progress(history: DataFrame) -> DataFrame:
     )
 
 
+def best_of_runs(history: DataFrame) -> DataFrame:
+    """Each iteration's accuracy with the best of its whole run, 0.0 at least."""
+    best = history.groupBy("run_id").agg(
+        F.greatest(F.max("overall_accuracy"), F.lit(0.0)).alias("best_accuracy")
+    )
+    return history.join(best, "run_id").select("run_id", "iteration", "overall_accuracy", "best_accuracy")
+
+
 def stop_decision(history: DataFrame, target: float, max_iterations: int) -> DataFrame:
     """Iterations up to and including the first stop, with the reason to stop there.
 

@@ -150,6 +150,24 @@ def patch_rows(responses: DataFrame) -> DataFrame:
     )
 
 
+def patch_rejects(responses: DataFrame) -> DataFrame:
+    """Answers to patch prompts of which something was not used: the reason, and how many
+    items came before it."""
+    parsed = computed(
+        _parse_items(computed(responses, _text=unfence_anywhere(F.col("raw")))),
+        _json=J.is_json(F.col("_text")),
+    )
+    reason = F.when(F.col("_items").isNull() & ~F.col("_json"), INVALID_JSON).when(
+        F.col("_items").isNull() | (F.col("_usable") < F.size("_items")), BAD_ITEM
+    )
+    columns = [c for c in responses.columns if c != "raw"]
+    return (
+        computed(parsed, reason=reason)
+        .filter(F.col("reason").isNotNull())
+        .select(*columns, "reason", F.coalesce("_usable", F.lit(0)).cast("int").alias("used"))
+    )
+
+
 def train_after_patch(train: DataFrame, patches: DataFrame) -> DataFrame:
     """Training rows with the patch rows appended; nothing is deduplicated."""
     columns = ["id", "messages", "expected_tool_call"]

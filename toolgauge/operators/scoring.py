@@ -53,6 +53,11 @@ def negatives(examples: DataFrame) -> DataFrame:
     return expected_lanes(examples).filter(F.col("lane") == "negative").drop("lane", "tool")
 
 
+def example_rejects(examples: DataFrame) -> DataFrame:
+    """Examples whose expectation cannot be scored; accuracy leaves them out."""
+    return expected_lanes(examples).filter(F.col("lane") == "reject").drop("lane", "tool")
+
+
 def with_predictions(
     examples: DataFrame, predictions: DataFrame, keys: Sequence[str] = ()
 ) -> DataFrame:

@@ -61,6 +61,18 @@ def eval_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def mixed_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The examples, with expectations that were damaged in three ways among them."""
+    return eval_examples(spark, sf_dir).withColumn(
+        "expected_tool_call",
+        F.expr(
+            """CASE ord % 13 WHEN 3 THEN concat(expected_tool_call, ' etc.')
+               WHEN 7 THEN replace(expected_tool_call, '"name"', '"tool"')
+               WHEN 11 THEN concat('[', expected_tool_call, ']') ELSE expected_tool_call END"""
+        ),
+    )
+
+
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a model answered to every example: sixteen kinds of right and wrong text."""
     web = """if(channel = '', '', ', "channel": "WEB"')"""

@@ -285,6 +285,29 @@ FROM tools FULL JOIN c ON tool = name""",
 SELECT ord, id, user_query, expected_tool_call AS expected, predicted, error_type
 FROM scored WHERE NOT is_correct""",
     "negatives": f"WITH {EXAMPLES} SELECT ord, id, user_query FROM ex WHERE expected_tool_call IS NULL",
+    "example_rejects": f"""WITH {EXAMPLES}
+SELECT ord, id, CASE ord % 13 WHEN 3 THEN expected_tool_call || ' etc.' WHEN 7 THEN replace(expected_tool_call, '"name"', '"tool"')
+         ELSE '[' || expected_tool_call || ']' END AS expected_tool_call
+FROM ex WHERE expected_tool_call IS NOT NULL AND ord % 13 IN (3, 7, 11)""",
+    "patch_rejects": f"""WITH {RESPONSES}
+SELECT prompt_id, run_id, iteration, cluster_id,
+       CASE WHEN answers.user_id % 5 = 3 THEN 'invalid_json' ELSE 'bad_item' END AS reason,
+       CAST(CASE WHEN answers.user_id % 5 = 3 THEN 0 ELSE 2 END AS INTEGER) AS used
+FROM answers JOIN origin USING (prompt_id)
+WHERE answers.user_id % 5 = 3 OR (answers.user_id % 5 = 4 AND n >= 3)""",
+    "run_log": f"""WITH {HISTORY}, {EVENT_CATALOG},
+wanted AS (
+  SELECT run_id, iteration, name AS tool FROM history, tools
+  UNION SELECT run_id, iteration, tool FROM scored
+),
+long AS (
+  SELECT run_id, iteration, tool,
+         coalesce(CAST(count(*) FILTER (s.is_correct) AS DOUBLE) / nullif(count(s.ord), 0), 0.0) AS accuracy
+  FROM wanted LEFT JOIN scored s USING (run_id, iteration, tool) GROUP BY ALL
+)
+SELECT run_id, iteration, overall_accuracy,
+       greatest(max(overall_accuracy) OVER (PARTITION BY run_id), 0.0) AS best_accuracy, tool, accuracy
+FROM history JOIN long USING (run_id, iteration)""",
     "failure_text": f"""WITH {SCORED}
 SELECT ord, 'mistake: ' || error_type || chr(10) || 'asked: ' || user_query || chr(10) || 'wanted: ' || tool || ' '
        || substr(expected_tool_call, position('"arguments": ' IN expected_tool_call) + 13,

@@ -27,6 +27,8 @@ MAX_ITERATIONS = 8
 PROMPT_COUNT = 30
 MODEL = "maker/model-3b"
 SEED = 7
+# Small enough that the given vectors fill several blocks.
+BLOCK_ROWS = 256
 
 
 def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -138,6 +140,24 @@ def negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.negatives(inputs.eval_examples(spark, sf_dir)).select("ord", "id", "user_query")
 
 
+def example_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scoring.example_rejects(inputs.mixed_examples(spark, sf_dir)).select(
+        "ord", "id", "expected_tool_call"
+    )
+
+
+def patch_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return responses.patch_rejects(_answers(spark, sf_dir, "run_id", "iteration", "cluster_id"))
+
+
+def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log as rows: per run, iteration and tool, with the best accuracy of the run."""
+    best = metrics.best_of_runs(_history(spark, sf_dir))
+    return tool_history(spark, sf_dir).join(best, ["run_id", "iteration"]).select(
+        "run_id", "iteration", "overall_accuracy", "best_accuracy", "tool", "accuracy"
+    )
+
+
 def failure_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prompts.failure_text(failures(spark, sf_dir)).select("ord", "failure_text")
 
@@ -192,7 +212,7 @@ def failure_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _cells(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, neighbors.Cells]:
     rows = inputs.vector_failures(spark, sf_dir).select("ord", "embedding")
-    return rows, density.cells_of(rows, density.min_cluster_size(rows.count()))
+    return rows, density.cells_of(rows, density.min_cluster_size(rows.count()), BLOCK_ROWS)
 
 
 def core_distances(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -226,7 +246,7 @@ def mst_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cluster_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = inputs.vector_failures(spark, sf_dir).drop("cluster_id")
-    return density.cluster_members(rows).drop("embedding")
+    return density.cluster_members(rows, BLOCK_ROWS).drop("embedding")
 
 
 def failure_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -251,6 +271,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         per_tool_accuracy,
         failures,
         negatives,
+        example_rejects,
+        patch_rejects,
+        run_log,
         failure_text,
         sft_text,
         eval_prompts,
