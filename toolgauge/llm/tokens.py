@@ -79,6 +79,12 @@ def library_words(path: str):
     return encode
 
 
+def _runs(start: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... for each of many runs, one after the other."""
+    first = start - (np.cumsum(sizes) - sizes)
+    return np.repeat(first, sizes) + np.arange(int(sizes.sum()))
+
+
 class _Places(dict):
     """Numbers for pieces; an unknown one gets the next number and is noted."""
 
@@ -121,13 +127,16 @@ class Encoder:
         return array
 
     def _learn(self) -> None:
-        """Encode the new pieces; those at which a text must not be cut get the size -1."""
+        """Encode the new pieces; those at which a text must not be cut get the size -1.
+
+        A comma or full stop after a letter is a token of its own, so a piece that ends in
+        one takes its ids from the piece without it.
+        """
         held = self.held
         place = held["place"]
-        words, starts, at_words, at_starts = [], [], [], []
-        size = self._room("size", place.count)
-        size[place.count - len(place.new) : place.count] = -1
-        for number, piece in enumerate(place.new, place.count - len(place.new)):
+        words, starts, at_words, at_starts, stops = [], [], [], [], []
+        begin = place.count - len(place.new)
+        for number, piece in enumerate(place.new, begin):  # grows by stems that are new
             if type(piece) is tuple:
                 if not piece[0][-1:].isspace() and len(piece[0]) <= _LONG:
                     starts.append(piece[0])
@@ -136,17 +145,31 @@ class Encoder:
             elif len(piece) > _LONG:
                 del place[piece]
             elif piece and not (piece[0].isspace() or piece[-1].isspace()):
-                words.append(piece)
-                at_words.append(number)
+                if piece[-1] in ",." and piece[-2:-1].isalpha():
+                    stops.append((number, place[piece[:-1]], piece[-1]))
+                else:
+                    words.append(piece)
+                    at_words.append(number)
         place.new = []
-        start = self._room("start", place.count)
+        size, start = self._room("size", place.count), self._room("start", place.count)
+        size[begin : place.count] = -1
         for encode, part, numbers in ((self.words, words, at_words), (self.strings, starts, at_starts)):
-            flat, sizes = encode(part)
-            used = held["used"]
-            self._room("flat", used + len(flat))[used : used + len(flat)] = flat
-            size[numbers] = sizes
-            start[numbers] = used + np.cumsum(sizes) - sizes
-            held["used"] = used + len(flat)
+            self._keep(numbers, *encode(part))
+        if stops:
+            numbers, stems, marks = (np.array(column) for column in zip(*stops))
+            mark = dict(zip(",.", self.strings([",", "."])[0]))
+            sizes = size[stems] + 1
+            flat = held["flat"][_runs(start[stems], sizes)]
+            flat[np.cumsum(sizes) - 1] = np.where(marks == ",", mark[","], mark["."])
+            self._keep(numbers, flat, sizes)
+
+    def _keep(self, numbers, flat: np.ndarray, sizes: np.ndarray) -> None:
+        used = self.held["used"]
+        # One more than needed: a run that is read with a place for its mark stays inside.
+        self._room("flat", used + len(flat) + 1)[used : used + len(flat)] = flat
+        self.held["size"][numbers] = sizes
+        self.held["start"][numbers] = used + np.cumsum(sizes) - sizes
+        self.held["used"] = used + len(flat)
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         """One uint16 array of ids per text."""
@@ -178,9 +201,7 @@ class Encoder:
         begin = np.cumsum(counts) - counts
         whole = np.minimum.reduceat(sizes, begin) < 0
         sizes = np.maximum(sizes, 0)
-        # Where each id lies among the remembered ones.
-        first = held["start"][at] - (np.cumsum(sizes) - sizes)
-        ids = held["flat"][np.repeat(first, sizes) + np.arange(int(sizes.sum()))]
+        ids = held["flat"][_runs(held["start"][at], sizes)]
         out = np.split(ids, np.cumsum(np.add.reduceat(sizes, begin))[:-1])
         for i in np.flatnonzero(whole):
             out[i] = self.strings([texts[i]])[0]
