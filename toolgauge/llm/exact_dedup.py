@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from toolgauge.llm import rows
+from toolgauge.llm import rows, tokens
 from toolgauge.session import settle
 
 BLOCK_BYTES = 4096
@@ -62,8 +62,9 @@ def _cut(block_bytes: int):
         )
 
     def cut(batches):
+        tokens.worker_cache("none")
         number = TaskContext.get().partitionId() << 40
-        for batch in batches:
+        for batch in rows.parts(batches, "text", 32 << 20):
             copies: dict[bytes, list] = {}
             columns = (batch.column(c) for c in ("place", "doc_id", "text"))
             for place, doc_id, text in zip(*(c.to_pylist() for c in columns)):

@@ -18,12 +18,12 @@ import regex
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from toolgauge.llm import tokens
+from toolgauge.llm import rows, tokens
 
 BITS = 20
 # Labelled rows that training takes at most: those with the smallest hash of doc_id.
 MAX_TRAIN = 16_000
-_HELD = 1_000_000
+_HELD = 500_000
 _GROUP = 1 << 21
 _WORD = regex.compile(r"\w+|[^\w\s]+")
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -53,6 +53,8 @@ class Settings:
     # Power of (other label's rows / own label's rows) by which a row of the rarer label
     # counts more; 0 leaves rows as they are.
     balance: float = 0.0
+    # Rows per row that is kept back to place the constant; 0 leaves it as trained.
+    calibrate: int = 0
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -96,7 +98,7 @@ class _Known(dict):
 
 def features(texts: list[str], grams: Grams) -> tuple[np.ndarray, np.ndarray]:
     """(text number << BITS | feature) sorted and different, and the number of texts' words."""
-    held = tokens.worker_cache()
+    held = tokens.worker_cache("words")
     known = held.setdefault("words", _Known())
     if len(known) > _HELD:
         known = held["words"] = _Known()
@@ -195,6 +197,32 @@ def train(rows: list[tuple[float, np.ndarray]], settings: Settings) -> dict[int,
     return {int(i): float(x) for i, x in zip(at, w) if x}
 
 
+def calibrated(rows: list[tuple[float, np.ndarray]], settings: Settings) -> dict[int, float]:
+    """Train on all rows, with the constant moved to where fewest kept-back rows are wrong.
+
+    The sparse weights of a rare label rank rows well before they are large enough to
+    carry many of them over one half. A model of the other rows tells how far to move.
+    """
+    weights = train(rows, settings)
+    kept = rows[:: settings.calibrate]
+    others = [row for i, row in enumerate(rows) if i % settings.calibrate]
+    part = train(others, settings) if others else {}
+    dense = np.zeros(1 << BITS)
+    dense[list(part)] = list(part.values())
+    margin = np.array([dense[at].sum() for _, at in kept])
+    label = np.array([label for label, _ in kept]) > 0
+    if label.any() and not label.all():
+        order = np.argsort(margin)
+        margin, label = margin[order], label[order]
+        # Cut k calls the k lowest rows 0: wrong are 1s among them and 0s above.
+        wrong = np.concatenate([[0], np.cumsum(label)]) + np.concatenate([np.cumsum(~label[::-1])[::-1], [0]])
+        edges = np.concatenate([[margin[0] - 1], margin, [margin[-1] + 1]])
+        gaps = np.where(wrong == wrong.min(), edges[1:] - edges[:-1], -1)
+        k = int(gaps.argmax())
+        weights[0] = weights.get(0, 0.0) - (edges[k] + edges[k + 1]) / 2
+    return weights
+
+
 def held_out(remainder: int, modulus: int) -> Column:
     """Is crc32 of doc_id, as text, of this remainder? A null doc_id is never held out."""
     crc = F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % modulus
@@ -214,7 +242,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, learn: Column, settings:
     grams = settings.grams
 
     def extract(batches):
-        for batch in batches:
+        for batch in rows.parts(batches, "text"):
             found = []
             for part in grouped(batch.column("text").to_pylist()):
                 keys, counts = features(part, grams)
@@ -231,7 +259,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, learn: Column, settings:
         for batch in batches:
             for label, at in zip(batch.column("_label").to_pylist(), batch.column("_at").to_pylist()):
                 rows.append((label, np.append(0, np.frombuffer(at, "<u4"))))
-        weights = train(rows, settings) if rows else {}
+        learned = calibrated if settings.calibrate else train
+        weights = learned(rows, settings) if rows else {}
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(weights), pa.int64()), pa.array(list(weights.values()), pa.float64())],
             names=["feature", "weight"],
@@ -268,7 +297,7 @@ def scored(docs: DataFrame, weights: dict[int, float], grams: Grams) -> DataFram
     score = scorer(weights, grams)
 
     def run(batches):
-        for batch in batches:
+        for batch in rows.parts(batches, "text"):
             found = score(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found)], names=["doc_id", "score"])
 
@@ -280,7 +309,7 @@ def without(docs: DataFrame, weights: dict[int, float], grams: Grams, threshold:
     score, column = scorer(weights, grams), docs.columns.index("text")
 
     def run(batches):
-        for batch in batches:
+        for batch in rows.parts(batches, "text"):
             texts = [text or "" for text in batch.column(column).to_pylist()]
             yield batch.filter(pa.array(score(texts) < threshold))
 

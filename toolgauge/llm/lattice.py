@@ -170,7 +170,7 @@ def _one(word: bytes, vocabulary: Vocabulary, scores: np.ndarray, both: bool = F
 
 
 def _vocabulary(path: str) -> Vocabulary:
-    held = tokens.worker_cache()
+    held = tokens.worker_cache("lattice")
     if ("lattice", path) not in held:
         held["lattice", path] = Vocabulary(pieces(path))
     return held["lattice", path]

@@ -37,7 +37,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from toolgauge.llm import rows
+from toolgauge.llm import rows, tokens
 from toolgauge.llm.components import components
 from toolgauge.session import settle
 
@@ -98,7 +98,8 @@ def classes(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """place, doc_id, text -> place, doc_id, n_shingles, same (digest of the set), bands, sketch."""
 
     def run(batches):
-        for batch in batches:
+        tokens.worker_cache("none")
+        for batch in rows.parts(batches, "text", 16 << 20):
             seen: dict[bytes, tuple] = {}
             out = []
             for text in batch.column("text").to_pylist():
@@ -125,7 +126,7 @@ def sets(docs: DataFrame, wanted: DataFrame, words: int = WORDS) -> DataFrame:
     """place, text; wanted: place -> node (place), found (the set's hashes)."""
 
     def run(batches):
-        for batch in batches:
+        for batch in rows.parts(batches, "text"):
             found = [shingles(text, words).tobytes() for text in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("place"), pa.array(found, pa.binary())], names=["node", "found"])
 
@@ -137,7 +138,7 @@ def confirmed(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     """a, b -> the pairs whose sets are similar enough."""
 
     def run(batches):
-        for batch in batches:
+        for batch in rows.parts(batches, "one"):
             ok = []
             for one, two in zip(batch.column("one").to_pylist(), batch.column("two").to_pylist()):
                 one, two = np.frombuffer(one, np.uint64), np.frombuffer(two, np.uint64)

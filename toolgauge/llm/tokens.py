@@ -17,16 +17,23 @@ import numpy as np
 # Pieces longer than this are encoded but not remembered.
 _LONG = 64
 # A worker forgets its pieces when it holds this many.
-_HELD = 1_200_000
+_HELD = 1_000_000
 # New words in one call.
 _JOINED = 2048
 # Characters that are looked up together.
 _GROUP = 1 << 21
 
 
-def worker_cache() -> dict:
-    """A dictionary that lives as long as the Python worker."""
-    return sys.__dict__.setdefault("_toolgauge_llm", {})
+def worker_cache(kind: str = "tokens") -> dict:
+    """A dictionary that lives in the Python worker until another kind of work asks for one.
+
+    Workers outlive stages; what one stage remembered must not add to the next one's memory.
+    """
+    held = sys.__dict__.setdefault("_toolgauge_llm", {})
+    if held.get("kind") != kind:
+        held.clear()
+        held["kind"] = kind
+    return held
 
 
 def tokenizer(path: str):

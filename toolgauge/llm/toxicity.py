@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 from toolgauge.llm import ftrl, rows
 
 THRESHOLD = 0.5
-SETTINGS = ftrl.Settings(ftrl.Grams(lower=True, pairs=(1, 2, 3)), alpha=1.0, l1=10.0, balance=0.5)
+SETTINGS = ftrl.Settings(ftrl.Grams(lower=True, pairs=(1, 2, 3)), alpha=1.0, l1=10.0, balance=0.5, calibrate=5)
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> dict[int, float]:
