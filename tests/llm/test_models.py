@@ -179,3 +179,23 @@ def test_language_model_without_training(spark, tmp_path):
     (row,) = lattice.score(rows.texts(docs), PIECES).collect()
     assert (row.n_tokens, row.n_known, row.train_tokens, row.base_score) == (3, 0, 0, 0.0) and row.score < 0
     assert lattice.score(rows.texts(table(spark, tmp_path / "n.parquet", [])), PIECES).count() == 0
+
+
+def test_calibration_moves_only_the_constant():
+    rng = np.random.default_rng(8)
+    rows_ = []
+    for _ in range(2000):
+        label = float(rng.random() < 0.1)
+        own = rng.integers(100, 140, 2) if label else []
+        rows_.append((label, np.concatenate([[0], np.unique(np.concatenate([own, rng.integers(1000, 9000, 20)]))]).astype(np.int64)))
+    settings = ftrl.Settings(ftrl.Grams(), alpha=1.0, l1=10.0, balance=0.5, calibrate=5)
+    plain, moved = ftrl.train(rows_, settings), ftrl.calibrated(rows_, settings)
+    assert {k: v for k, v in plain.items() if k} == {k: v for k, v in moved.items() if k}
+    wrong = lambda w: sum((sum(w.get(i, 0.0) for i in at) >= 0) != label for label, at in rows_)
+    assert wrong(moved) <= max(wrong(plain), 20)
+
+
+def test_calibration_without_one_label():
+    rows_ = [(0.0, np.array([0, 5])), (1.0, np.array([0, 6]))]
+    settings = ftrl.Settings(ftrl.Grams(), calibrate=5)
+    assert ftrl.calibrated(rows_, settings) == ftrl.train(rows_, settings)

@@ -23,6 +23,8 @@ from toolgauge.llm import rows, tokens
 BITS = 20
 # Labelled rows that training takes at most: those with the smallest hash of doc_id.
 MAX_TRAIN = 16_000
+# A clean row called toxic weighs this many toxic rows called clean.
+FALSE_ALARM = 3
 _HELD = 500_000
 _GROUP = 1 << 21
 _WORD = regex.compile(r"\w+|[^\w\s]+")
@@ -214,12 +216,19 @@ def calibrated(rows: list[tuple[float, np.ndarray]], settings: Settings) -> dict
     if label.any() and not label.all():
         order = np.argsort(margin)
         margin, label = margin[order], label[order]
-        # Cut k calls the k lowest rows 0: wrong are 1s among them and 0s above.
-        wrong = np.concatenate([[0], np.cumsum(label)]) + np.concatenate([np.cumsum(~label[::-1])[::-1], [0]])
-        edges = np.concatenate([[margin[0] - 1], margin, [margin[-1] + 1]])
-        gaps = np.where(wrong == wrong.min(), edges[1:] - edges[:-1], -1)
-        k = int(gaps.argmax())
-        weights[0] = weights.get(0, 0.0) - (edges[k] + edges[k + 1]) / 2
+        # Cut k calls the k lowest rows 0: wrong are 1s among them and 0s above, which count
+        # FALSE_ALARM times. Of equal cuts the nearest to the trained constant is taken.
+        missed = np.concatenate([[0], np.cumsum(label)])
+        alarms = np.concatenate([np.cumsum(~label[::-1])[::-1], [0]])
+        edges = np.concatenate([[-np.inf], margin, [np.inf]])
+        low, high = edges[:-1], edges[1:]
+        away = np.maximum(np.maximum(low, -high), 0)
+        k = int(np.lexsort([away, missed + FALSE_ALARM * alarms])[0])
+        if away[k]:
+            middle = (low[k] + high[k]) / 2
+            # Beyond the last row: just past it.
+            move = middle if np.isfinite(middle) else float(np.clip(0, low[k], high[k]))
+            weights[0] = weights.get(0, 0.0) - move
     return weights
 
 
