@@ -37,7 +37,7 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = files.new_folder(spark, "tokens")
     rans.write_documents(rows.texts(documents(spark, sf_dir)), tokenizer_path("word_bpe_49k.json"), folder)
-    return rans.read_files(spark, folder).drop("ids")
+    return rans.read_files(spark, folder, with_ids=False).drop("ids")
 
 
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -237,10 +237,11 @@ def write_files(coded: DataFrame, counts: np.ndarray, folder: str) -> None:
     files.write(folder, "table.bin", counts.astype("<i8").tobytes())
 
 
-def read_files(spark: SparkSession, folder: str) -> DataFrame:
+def read_files(spark: SparkSession, folder: str, with_ids: bool = True) -> DataFrame:
     """One row per document, from the files: doc_id, start, n_tokens, ids_crc32, ids.
 
-    `ids` are the document's ids as unsigned 16-bit little-endian integers.
+    `ids` are the document's ids as unsigned 16-bit little-endian integers; null if not
+    asked for.
     """
     saved = files.contents(spark, folder, "table.bin").first()
     shared = spark.sparkContext.broadcast(np.frombuffer(bytes(saved.content), "<i8"))
@@ -261,7 +262,7 @@ def read_files(spark: SparkSession, folder: str) -> DataFrame:
                             pa.array([header["before"] + int(a) for a, _ in spans], pa.int64()),
                             pa.array([int(b - a) for a, b in spans], pa.int64()),
                             pa.array([zlib.crc32(ids[a:b].astype("<u4").tobytes()) for a, b in spans], pa.int64()),
-                            pa.array([ids[a:b].astype("<u2").tobytes() for a, b in spans], pa.binary()),
+                            pa.array([ids[a:b].astype("<u2").tobytes() if with_ids else None for a, b in spans], pa.binary()),
                         ],
                         names=["part", "doc_id", "inside", "n_tokens", "ids_crc32", "ids"],
                     )
