@@ -46,7 +46,7 @@ PERCENT = 85
 BANDS = 9
 ROWS = 3
 # Rounds of leaders before the complete comparison.
-LEADER_ROUNDS = 2
+LEADER_ROUNDS = 3
 SKETCH = 128
 BLOCK = 512
 
@@ -172,14 +172,20 @@ def _crossing(percent: int):
     def run(table):
         size = table.column("n_shingles").to_numpy()
         node, component = table.column("node").to_numpy(), table.column("component").to_numpy()
+        found = table.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, 2 * BANDS)
+        i, j = table.column("i").to_numpy()[0], table.column("j").to_numpy()[0]
         sketches = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, SKETCH)
         block = table.column("block").to_numpy()
         first, second = table.column("first").to_numpy()[0], table.column("second").to_numpy()[0]
-        pick = lambda at: {"size": size[at], "sketch": sketches[at], "node": node[at], "component": component[at]}
+        pick = lambda at: {"size": size[at], "sketch": sketches[at], "node": node[at], "component": component[at], "bands": found[at]}
         a, b = pick(block == first), pick(block == second)
-        maybe = _possible(a, b, percent) & (a["component"][:, None] != b["component"][None, :])
-        i, j = np.nonzero(maybe)
-        one, two = a["node"][i], b["node"][j]
+        # A pair belongs to the first table in which it meets and is left out in all others.
+        equal = a["bands"][:, None, :] == b["bands"][None, :, :]
+        own = (equal[:, :, :BANDS].argmax(axis=2) == i) & (equal[:, :, BANDS:].argmax(axis=2) == j)
+        own &= a["component"][:, None] != b["component"][None, :]
+        maybe = own & _possible(a, b, percent) if own.any() else own
+        left, right = np.nonzero(maybe)
+        one, two = a["node"][left], b["node"][right]
         return pa.table({"a": np.minimum(one, two), "b": np.maximum(one, two)})
 
     return run
@@ -187,7 +193,7 @@ def _crossing(percent: int):
 
 def connected(docs: DataFrame, found: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
     """place, text; settled classes, one row each -> node, component from confirmed links."""
-    sized = found.select(F.col("place").alias("node"), "n_shingles", "sketch")
+    sized = found.select(F.col("place").alias("node"), "n_shingles", "sketch", "bands")
     split = found.select(
         F.col("place").alias("node"), "n_shingles",
         F.slice("bands", 1, BANDS).alias("u"), F.slice("bands", BANDS + 1, BANDS).alias("v"),
@@ -200,10 +206,10 @@ def connected(docs: DataFrame, found: DataFrame, percent: int = PERCENT, words:
         split.join(company, "node")
         .select("node", F.posexplode("u").alias("i", "x"), "v")
         .select("node", "i", "x", F.posexplode("v").alias("j", "y"))
-        .select("node", F.xxhash64("i", "x", "j", "y").alias("key"))
+        .select("node", "i", "j", F.xxhash64("i", "x", "j", "y").alias("key"))
     )
     shared = keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
-    tables = settle(keys.join(shared, "key").select("key", "node"))
+    tables = settle(keys.join(shared, "key").select("key", "i", "j", "node"))
     full = settle(sets(docs, tables.select(F.col("node").alias("place")).distinct(), words))
     sized = settle(sized.join(full.select("node"), "node"))
 
@@ -219,7 +225,7 @@ def connected(docs: DataFrame, found: DataFrame, percent: int = PERCENT, words:
         if known is None:
             return tables.withColumn("component", F.col("node"))
         return tables.join(known, "node", "left").select(
-            "key", "node", F.coalesce("component", "node").alias("component")
+            "key", "i", "j", "node", F.coalesce("component", "node").alias("component")
         )
 
     done: DataFrame | None = None
@@ -244,15 +250,8 @@ def connected(docs: DataFrame, found: DataFrame, percent: int = PERCENT, words:
 
 def _remaining(members: DataFrame, sized: DataFrame, percent: int) -> DataFrame:
     """Pairs across components that sketches cannot rule out, from blocks of each bucket."""
-    # Buckets with the same members, as their number and 128 bits of their hashes tell, are
-    # compared once; in buckets of two the leaders' round has compared all there is.
-    sizes = (
-        members.groupBy("key").agg(
-            F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("x"),
-            F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"),
-        )
-        .filter("n > 2").groupBy("n", "x", "y").agg(F.min("key").alias("key")).select("key", "n")
-    )
+    # In buckets of two the leaders' round has compared all there is.
+    sizes = members.groupBy("key").agg(F.count("*").alias("n")).filter("n > 2")
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     placed = (
         members.join(sizes, "key").join(sized, "node")
@@ -261,7 +260,7 @@ def _remaining(members: DataFrame, sized: DataFrame, percent: int) -> DataFrame:
     )
     # A member goes to the pairs of its block with every block of the bucket.
     spread = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "key", "node", "component", "n_shingles", "sketch", "block",
+        "key", "i", "j", "node", "component", "n_shingles", "sketch", "bands", "block",
         F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second"),
     )
     # Work follows pairs, not bytes: as many partitions as the session shuffles to.
