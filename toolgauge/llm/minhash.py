@@ -48,7 +48,7 @@ ROWS = 3
 # Rounds of leaders before the complete comparison.
 LEADER_ROUNDS = 3
 SKETCH = 128
-BLOCK = 512
+BLOCK = 1024
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _SALTS = np.random.default_rng(20240229).integers(1, 1 << 63, 2 * BANDS * ROWS).astype(np.uint64) | np.uint64(1)
@@ -161,8 +161,8 @@ def _possible(a: dict, b: dict, percent: int) -> np.ndarray:
     allowed = total - 2 * np.ceil(percent * total / (100 + percent) - 1e-9)
     differ = np.zeros(total.shape, np.int64)
     one, two = a["sketch"].astype(np.int16), b["sketch"].astype(np.int16)
-    for k in range(0, SKETCH, 16):
-        differ += np.abs(one[:, None, k : k + 16] - two[None, :, k : k + 16]).sum(axis=2, dtype=np.int64)
+    for k in range(0, SKETCH, 8):
+        differ += np.abs(one[:, None, k : k + 8] - two[None, :, k : k + 8]).sum(axis=2, dtype=np.int64)
     return differ <= allowed
 
 
