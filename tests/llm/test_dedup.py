@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from llm_cases import awkward, near_components, table
 
-from toolgauge.llm import components, exact_dedup, minhash
+from toolgauge.llm import components, exact_dedup, minhash, weak_rules
 
 
 @pytest.fixture(scope="module")
@@ -75,6 +75,32 @@ def test_near_stage(spark, docs, rows):
     assert kept.count() == len({root for _, root in near_components([r[1] for r in rows], 80, 5)})
 
 
+@pytest.fixture
+def cut_anew(spark):
+    """Scans as one partition at first; calling the fixture cuts later ones differently."""
+    name = "spark.sql.files.minPartitionNum"
+    spark.conf.set(name, "1")
+    yield lambda: spark.conf.set(name, "64")
+    spark.conf.unset(name)
+
+
+def test_near_when_scans_are_cut_anew(spark, tmp_path, cut_anew, monkeypatch):
+    texts = [" ".join(f"w{i // 2}x{k}" for k in range(99 + i % 2)) for i in range(60)]
+    docs = table(spark, tmp_path / "d.parquet", [(i, t, *[None] * 8) for i, t in enumerate(texts)])
+    sets = minhash.sets
+    monkeypatch.setattr(minhash, "sets", lambda *given: cut_anew() or sets(*given))
+    got = {r.doc_id: r.component_id for r in minhash.find_near(docs).collect()}
+    assert got == {i: i - i % 2 for i in range(60)}
+
+
+@pytest.mark.parametrize("stage", [exact_dedup.keep_first, minhash.keep_one, weak_rules.keep_good])
+def test_stages_when_scans_are_cut_anew(spark, docs, cut_anew, stage):
+    expected = Counter(tuple(r) for r in stage(docs).collect())
+    kept = stage(docs)
+    cut_anew()
+    assert Counter(tuple(r) for r in kept.collect()) == expected
+
+
 def test_large_group_of_near_copies(spark, tmp_path):
     """A chain of edits: links through leaders and the complete comparison find all of it."""
     rng = np.random.default_rng(5)

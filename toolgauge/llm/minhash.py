@@ -307,7 +307,7 @@ def _input(docs: DataFrame) -> tuple[DataFrame, DataFrame, str]:
 
 def find_near(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
     """One row per row of `docs`: doc_id, n_shingles, component_id, kept."""
-    found = near_groups(_input(docs)[1], percent, words)
+    found = near_groups(_input(docs.select("doc_id", "text"))[1], percent, words)
     return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from toolgauge.session import settle
+
 
 def fresh(taken, name: str) -> str:
     """A column name that no given column has, whatever its case."""
@@ -14,14 +16,14 @@ def fresh(taken, name: str) -> str:
 
 
 def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
-    """Add each row's place in the scan as a number, under a name that is free.
+    """Write the rows with a number each, under a name that is free, and go on from there.
 
-    Rows may share a doc_id, a text, or everything. Their place in a scan is the same
-    whenever a table is read again, so it tells them apart without a shuffle. `docs`
-    must be a scan of a table or narrow steps over one.
+    Rows may share a doc_id, a text, or everything. How a scan is cut into partitions
+    depends on the cores registered when its job starts, so a place in it can differ from
+    job to job; the numbers are therefore stored with the rows, once.
     """
     name = fresh(docs.columns, "_place")
-    return docs.withColumn(name, F.monotonically_increasing_id()), name
+    return settle(docs.withColumn(name, F.monotonically_increasing_id())), name
 
 
 def only(docs: DataFrame, place: str, chosen: DataFrame) -> DataFrame:

@@ -161,7 +161,7 @@ def plan(pages: DataFrame) -> DataFrame:
 
 def write_archives(pages: DataFrame, folder: str) -> None:
     """page_id, url, html -> *.warc.zst files in `folder`."""
-    placed, place = rows.numbered(pages)
+    placed, place = rows.numbered(pages.select("page_id", "url", "html"))
     placed = placed.select(
         F.col(place).alias("place"),
         F.col("page_id").cast("long").alias("page_id"),
