@@ -116,6 +116,16 @@ def test_large_group_of_near_copies(spark, tmp_path):
     assert got == {i: root for i, (_, root) in enumerate(near_components(texts, 85, 3))}
 
 
+def test_bands_follow_the_threshold(spark, tmp_path):
+    assert minhash.band_count(85) == 9
+    for percent in (50, 80, 85, 90):
+        assert 2 * (1 - (percent / 100) ** minhash.ROWS) ** minhash.band_count(percent) <= 4e-4
+    # 89 of 111 shingles in common, and no table of nine bands where they meet.
+    words = [f"382y{i}" for i in range(115)]
+    docs = table(spark, tmp_path / "d.parquet", [(i, " ".join(words[11 * i :][:104]), *[None] * 8) for i in range(2)])
+    assert minhash.keep_one(docs, percent=80, words=5).count() == 1
+
+
 def test_sketches_never_rule_out_a_link():
     rng = np.random.default_rng(2)
     for _ in range(200):

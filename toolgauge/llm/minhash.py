@@ -1,9 +1,9 @@
 """Near duplicates by MinHash with tensored banding.
 
 A document is the set of its WORDS-word shingles. Two small collections of minhash bands,
-U and V with BANDS bands of ROWS minhashes each, are combined into BANDS * BANDS tables: the
-key of table (i, j) is band i of U together with band j of V. That takes 2 * BANDS * ROWS
-minhashes where independent tables would take BANDS * BANDS * 2 * ROWS.
+U and V with n bands of ROWS minhashes each, are combined into n * n tables: the key of table
+(i, j) is band i of U together with band j of V. That takes 2 * n * ROWS minhashes where
+independent tables would take n * n * 2 * ROWS.
 
 Steps, all on tables in the shared folder:
 
@@ -18,7 +18,8 @@ Steps, all on tables in the shared folder:
 
 So no pair that meets in any bucket is lost, and pairs are never listed for a whole group: a
 large group of near copies is linked through leaders. Two sets with similarity s meet nowhere
-with probability below 2 * (1 - s ** ROWS) ** BANDS: 3e-3 at 0.8, 4e-4 at 0.85, 2e-5 at 0.9.
+with probability below 2 * (1 - s ** ROWS) ** n. n is LEAST_BANDS at least and such that this
+is at most MISS at the similarity asked for: 9 for 0.85, 12 for 0.8.
 
 Defined results: null or empty text, or text without words: no shingles, linked with nothing,
 its own component. Fewer words than WORDS: the whole sequence is the one shingle. A null
@@ -30,6 +31,7 @@ and text are not looked at.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 
 import numpy as np
@@ -43,15 +45,29 @@ from toolgauge.session import settle
 
 WORDS = 3
 PERCENT = 85
-BANDS = 9
 ROWS = 3
+LEAST_BANDS = 9
+# How likely a link at the threshold may meet in no table.
+MISS = 4e-4
 # Rounds of leaders before the complete comparison.
 LEADER_ROUNDS = 3
 SKETCH = 128
 BLOCK = 1024
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
-_SALTS = np.random.default_rng(20240229).integers(1, 1 << 63, 2 * BANDS * ROWS).astype(np.uint64) | np.uint64(1)
+
+
+def band_count(percent: int) -> int:
+    """Bands of U, and of V, that keep the bound on lost links at MISS."""
+    count = LEAST_BANDS
+    while 2 * (1 - (percent / 100) ** ROWS) ** count > MISS:
+        count += 1
+    return count
+
+
+@functools.cache
+def _salts(count: int) -> np.ndarray:
+    return np.random.default_rng(20240229).integers(1, 1 << 63, 2 * count * ROWS).astype(np.uint64) | np.uint64(1)
 
 
 def shingles(text: bytes, words: int = WORDS) -> np.ndarray:
@@ -73,14 +89,15 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def bands(found: np.ndarray) -> np.ndarray:
-    """2 * BANDS hashes: each of ROWS minhashes."""
-    least = np.empty(len(_SALTS), np.uint64)
-    for k, salt in enumerate(_SALTS):
+def bands(found: np.ndarray, count: int) -> np.ndarray:
+    """2 * count hashes: each of ROWS minhashes."""
+    salts = _salts(count)
+    least = np.empty(len(salts), np.uint64)
+    for k, salt in enumerate(salts):
         least[k] = (_odd(found ^ salt) * salt).min()
-    joined = np.zeros(2 * BANDS, np.uint64)
+    joined = np.zeros(2 * count, np.uint64)
     for k in range(ROWS):
-        joined = _mix(joined + least.reshape(2 * BANDS, ROWS)[:, k])
+        joined = _mix(joined + least.reshape(2 * count, ROWS)[:, k])
     return joined.view(np.int64)
 
 
@@ -94,8 +111,9 @@ def sketch(found: np.ndarray) -> bytes:
     return np.minimum(counts, 255).astype(np.uint8).tobytes()
 
 
-def classes(docs: DataFrame, words: int = WORDS) -> DataFrame:
+def classes(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
     """place, doc_id, text -> place, doc_id, n_shingles, same (digest of the set), bands, sketch."""
+    count = band_count(percent)
 
     def run(batches):
         tokens.worker_cache("none")
@@ -106,7 +124,7 @@ def classes(docs: DataFrame, words: int = WORDS) -> DataFrame:
                 if text not in seen:
                     found = shingles(text, words)
                     seen[text] = (
-                        (len(found), hashlib.sha256(found.tobytes()).digest(), bands(found).tolist(), sketch(found))
+                        (len(found), hashlib.sha256(found.tobytes()).digest(), bands(found, count).tolist(), sketch(found))
                         if len(found) else (0, None, None, None)
                     )
                 out.append(seen[text])
@@ -168,11 +186,12 @@ def _possible(a: dict, b: dict, percent: int) -> np.ndarray:
 
 def _crossing(percent: int):
     """Groups (key, first block, second block) of members -> pairs to confirm."""
+    count = band_count(percent)
 
     def run(table):
         size = table.column("n_shingles").to_numpy()
         node, component = table.column("node").to_numpy(), table.column("component").to_numpy()
-        found = table.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, 2 * BANDS)
+        found = table.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, 2 * count)
         i, j = table.column("i").to_numpy()[0], table.column("j").to_numpy()[0]
         sketches = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, SKETCH)
         block = table.column("block").to_numpy()
@@ -181,7 +200,7 @@ def _crossing(percent: int):
         a, b = pick(block == first), pick(block == second)
         # A pair belongs to the first table in which it meets and is left out in all others.
         equal = a["bands"][:, None, :] == b["bands"][None, :, :]
-        own = (equal[:, :, :BANDS].argmax(axis=2) == i) & (equal[:, :, BANDS:].argmax(axis=2) == j)
+        own = (equal[:, :, :count].argmax(axis=2) == i) & (equal[:, :, count:].argmax(axis=2) == j)
         own &= a["component"][:, None] != b["component"][None, :]
         maybe = own & _possible(a, b, percent) if own.any() else own
         left, right = np.nonzero(maybe)
@@ -193,10 +212,11 @@ def _crossing(percent: int):
 
 def connected(docs: DataFrame, found: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
     """place, text; settled classes, one row each -> node, component from confirmed links."""
+    count = band_count(percent)
     sized = found.select(F.col("place").alias("node"), "n_shingles", "sketch", "bands")
     split = found.select(
         F.col("place").alias("node"), "n_shingles",
-        F.slice("bands", 1, BANDS).alias("u"), F.slice("bands", BANDS + 1, BANDS).alias("v"),
+        F.slice("bands", 1, count).alias("u"), F.slice("bands", count + 1, count).alias("v"),
     )
     # Alone in all its U bands, a class is alone in all tables.
     banded = split.select("node", F.posexplode("u").alias("i", "band"))
@@ -271,7 +291,7 @@ def _remaining(members: DataFrame, sized: DataFrame, percent: int) -> DataFrame:
 
 def near_groups(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
     """place, doc_id, text -> doc_id, n_shingles, component_id, place, first (one row per component)."""
-    every = settle(classes(docs, words))
+    every = settle(classes(docs, percent, words))
     placed = F.struct("place", "n_shingles", "bands", "sketch")
     found = settle(
         every.filter("n_shingles > 0").groupBy("same").agg(F.min(placed).alias("one"))
