@@ -101,6 +101,18 @@ def test_models_take_awkward_rows(spark, docs, data, tmp_path):
     assert toxicity.score(none, labels).count() == 0 and weak_rules.judge(rows.texts(none)).count() == 0
 
 
+def test_training_takes_documents_that_are_there_once(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ftrl, "MAX_TRAIN", 40)
+    rows_ = [(i, f"{'bad awful' if i % 2 else 'good fine'} w{i % 5} x{i % 3}", *[None] * 8) for i in range(60)]
+    docs = table(spark, tmp_path / "d.parquet", rows_)
+    present = spark.range(60).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("toxic"))
+    absent = spark.range(1000, 3000).select(F.col("id").alias("doc_id"), F.lit(1).alias("toxic"))
+    expected = toxicity.fit(docs, present)
+    assert expected and toxicity.fit(docs, present.union(absent)) == expected
+    assert toxicity.fit(docs.union(docs.filter("doc_id < 9")), present) == expected
+    assert toxicity.keep_clean(docs, absent).count() == 60
+
+
 def test_held_out_rows_teach_nothing(spark, docs):
     """Other labels for held-out rows leave all scores as they are."""
     labels = spark.range(200).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("toxic"))

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from toolgauge.llm import rows, tokens
 
 BITS = 20
-# Labelled rows that training takes at most: those with the smallest hash of doc_id.
+# Labelled documents that training takes at most: those with the smallest hash of doc_id.
 MAX_TRAIN = 16_000
 # A clean row called toxic weighs this many toxic rows called clean.
 FALSE_ALARM = 3
@@ -239,15 +239,22 @@ def held_out(remainder: int, modulus: int) -> Column:
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str, learn: Column, settings: Settings) -> dict[int, float]:
-    """Train on labelled rows of doc_id, text for which `learn` holds."""
+    """Train on labelled documents of doc_id, text for which `learn` holds, one row for each.
+
+    Empty without any such document. Of several texts for one doc_id the largest is taken.
+    """
     chosen = (
         labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & learn)
         .groupBy("doc_id").agg(F.max(label).cast("double").alias("_label"))
+        .join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
         .withColumn("_order", F.xxhash64("doc_id"))
         .orderBy("_order", "doc_id").limit(MAX_TRAIN)
     )
     # At most MAX_TRAIN rows.
-    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    sample = (
+        docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+        .groupBy("doc_id", "_order", "_label").agg(F.max("text").alias("text"))
+    )
     grams = settings.grams
 
     def extract(batches):

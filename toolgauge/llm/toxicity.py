@@ -33,5 +33,6 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of `docs`, all columns, that are not predicted to be toxic."""
-    return ftrl.without(docs, fit(docs, labels), SETTINGS.grams, THRESHOLD)
+    """The rows of `docs`, all columns, that are not predicted to be toxic; all without a model."""
+    weights = fit(docs, labels)
+    return ftrl.without(docs, weights, SETTINGS.grams, THRESHOLD) if weights else docs
