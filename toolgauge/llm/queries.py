@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from toolgauge.llm import bpe, exact_dedup, files, lattice, minhash, packing, quality_model, rans, rows, toxicity, warc, weak_rules
+from toolgauge.llm import (
+    alignment, bpe, exact_dedup, files, lattice, minhash, packing, quality_model, rans, resampling, rows, site_text,
+    toxicity, warc, weak_rules,
+)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,4 +80,24 @@ def op7_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice.score(rows.texts(documents(spark, sf_dir)), tokenizer_path("piece_bpe_32k.model"))
 
 
-QUERIES = {query.__name__: query for query in (op1_exact_dedup, op2_bpe, op3_quality_model, op4_warc, op5_packing, op6_near_dedup, op7_lattice_lm, op8_token_files, op9_toxicity, op10_quality_rules,)}
+def op11_site_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return site_text.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = rows.texts(spark.read.parquet(f"{sf_dir}/benchmark.parquet"), "item_id")
+    return resampling.draw(rows.texts(documents(spark, sf_dir)), target)
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = map(tokenizer_path, ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.align(rows.texts(documents(spark, sf_dir)), *paths)
+
+
+QUERIES = {
+    query.__name__: query
+    for query in (
+        op1_exact_dedup, op2_bpe, op3_quality_model, op4_warc, op5_packing, op6_near_dedup, op7_lattice_lm,
+        op8_token_files, op9_toxicity, op10_quality_rules, op11_site_text, op12_resampling, op13_alignment,
+    )
+}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from toolgauge.llm import weak_rules as rules
+from toolgauge.llm import resampling, weak_rules as rules
 
 
 def _op10() -> str:
@@ -91,4 +91,57 @@ SELECT page_id, n::BIGINT AS payload_bytes, sha1(payload) AS payload_digest,
   CASE WHEN n >= 1000 AND page_id <> last THEN last END AS refers_to
 FROM q"""
 
-SQL = {"op4_warc": OP4, "op1_exact_dedup": OP1, "op10_quality_rules": _op10()}
+
+
+def _op12() -> str:
+    """CRC-32 from its polynomial, byte by byte, once for each different word."""
+    table = []
+    for value in range(256):
+        for _ in range(8):
+            value = value >> 1 ^ (0xEDB88320 if value & 1 else 0)
+        table.append(value)
+    n, z = resampling.BUCKETS, "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    return f"""
+WITH t AS MATERIALIZED (
+  SELECT 0 AS kind, row_number() OVER () AS i, doc_id, coalesce(text, '') AS text FROM documents
+  UNION ALL SELECT 1, row_number() OVER (), item_id, coalesce(text, '') FROM benchmark),
+w AS MATERIALIZED (
+  SELECT kind, i, unnest(list_filter(
+    regexp_split_to_array(translate(text, '{upper}', '{lower}'), '{z}'), lambda x: x <> '')) AS word FROM t),
+x AS (SELECT word, hex(encode(word)) AS h FROM (SELECT DISTINCT word FROM w)),
+crc AS MATERIALIZED (
+  SELECT word, xor(list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(generate_series(1, length(h) // 2),
+      lambda k: (16 * (strpos('0123456789ABCDEF', substr(h, 2 * k - 1, 1)) - 1)
+        + strpos('0123456789ABCDEF', substr(h, 2 * k, 1)) - 1)::BIGINT)),
+    lambda state, byte: xor(state >> 8, ({table}::BIGINT[])[(xor(state, byte) & 255) + 1])),
+    4294967295::BIGINT) % {n} AS bucket FROM x),
+f AS MATERIALIZED (SELECT kind, i, bucket FROM w JOIN crc USING (word)),
+b AS (
+  SELECT buckets.range AS bucket, count(*) FILTER (kind = 0) AS s, count(*) FILTER (kind = 1) AS t
+  FROM range({n}) AS buckets LEFT JOIN f ON f.bucket = buckets.range GROUP BY buckets.range),
+a AS (SELECT sum(s)::DOUBLE AS all_s, sum(t)::DOUBLE AS all_t FROM b),
+g AS (
+  SELECT bucket, floor(1000 * ln((t::DOUBLE + 1) * (all_s + {n}) / ((s::DOUBLE + 1) * (all_t + {n}))))::BIGINT AS gain
+  FROM b CROSS JOIN a),
+d AS (
+  SELECT f.i, count(*) AS n_features, floor(sum(gain) / count(*))::BIGINT AS weight
+  FROM f JOIN g USING (bucket) WHERE kind = 0 GROUP BY f.i),
+h AS (
+  SELECT i, doc_id, list_reduce(list_transform(generate_series(1, 8),
+      lambda k: (strpos('0123456789abcdef', substr(sha256('{resampling.SEED}:' || doc_id), k, 1)) - 1)::BIGINT),
+    lambda x, y: 16 * x + y) AS h FROM t WHERE kind = 0),
+s AS (
+  SELECT doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM h LEFT JOIN d USING (i)),
+r AS (
+  SELECT *, n_features >= {resampling.LEAST_WORDS} AS eligible,
+    row_number() OVER (PARTITION BY n_features >= {resampling.LEAST_WORDS} ORDER BY score DESC, doc_id) AS place,
+    count(*) FILTER (n_features >= {resampling.LEAST_WORDS}) OVER () AS n FROM s)
+SELECT doc_id, n_features, weight, score,
+  CASE WHEN eligible AND place <= {resampling.PERCENT} * n // 100 THEN place END AS rank FROM r"""
+
+
+SQL = {"op12_resampling": _op12(), "op4_warc": OP4, "op1_exact_dedup": OP1, "op10_quality_rules": _op10()}
