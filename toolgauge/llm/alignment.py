@@ -34,16 +34,21 @@ from pyspark.sql import DataFrame, Window, functions as F
 from toolgauge.llm import bpe, rows, tokens
 from toolgauge.session import settle
 
-# Bytes of remembered pieces and what is known about them, roughly, before a worker forgets.
-_HELD = 96 << 20
+# Bytes of remembered pieces and what is known about them, roughly, after which a worker forgets
+# those not asked for since the last time. It holds twice as much at most.
+_HELD = 64 << 20
 # Pieces of more characters are not remembered.
 _LONG = 256
 # Pieces of more characters go without offsets.
 _SILENT = 1 << 20
+# Pieces that are encoded in one call.
+_JOINED = 2048
 # Links of a group that are written down one by one; beyond, its different ids are counted.
 _PLAIN = 1 << 12
 
+# Where a text may be cut, and whether some of its spaces are no such place.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
+_ODD = re.compile(r"\A\s| \s|\s |\s\Z")
 
 
 def vocabulary_bytes(path: str) -> list[bytes]:
@@ -97,73 +102,72 @@ class Aligner:
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[str, tuple] = {}
+        """Keep what was asked for since the last time only."""
+        self.before: dict[str, tuple | None] = getattr(self, "known", {})
+        self.known: dict[str, tuple | None] = {}
         self.held = 0
 
-    def spans(self, pieces: list[str], at: np.ndarray) -> tuple[tuple, tuple]:
-        """For both: ids, numbers of ids per piece, where tokens end by their spans, and whether
-        a span says so: inside a character it does not. `at` are the bytes before characters."""
-        coded = self.a.encode_batch([f" {piece}" for piece in pieces], add_special_tokens=False)
-        n_a = np.fromiter(map(len, coded), np.int64, len(pieces))
-        ids_a = np.fromiter(chain.from_iterable(one.ids for one in coded), np.int64, int(n_a.sum()))
-        flat = chain.from_iterable(chain.from_iterable(one.offsets for one in coded))
-        offsets = np.fromiter(flat, np.int64, 2 * len(ids_a)).reshape(-1, 2)
-        lengths = np.fromiter(map(len, pieces), np.int64, len(pieces)) + 1
-        first = np.cumsum(lengths) - lengths
-        offsets += np.repeat(first, n_a)[:, None]
+    def spans(self, text: str, at: np.ndarray) -> tuple[tuple, tuple]:
+        """For both: ids, where tokens end by their spans, and whether a span says so: inside a
+        character it does not. `at` are the bytes before each character of a space and the text."""
+        coded = self.a.encode(f" {text}", add_special_tokens=False)
+        offsets = np.fromiter(chain.from_iterable(coded.offsets), np.int64, 2 * len(coded)).reshape(-1, 2)
         # A token that shares its last character with the next one ends inside it.
-        clear_a = np.append(offsets[1:, 0] >= offsets[:-1, 1], True)[: len(ids_a)]
-        found = self.b.encode(pieces, return_type="proto", num_threads=1)
-        n_b = np.fromiter((len(one.pieces) for one in found), np.int64, len(pieces))
-        flat = chain.from_iterable((part.id, part.begin, part.end) for one in found for part in one.pieces)
-        ids_b, begin, end = np.fromiter(flat, np.int64, 3 * int(n_b.sum())).reshape(-1, 3).T
+        clear = np.append(offsets[1:, 0] >= offsets[:-1, 1], True)[: len(offsets)]
+        flat = chain.from_iterable((part.id, part.begin, part.end) for part in self.b.encode(text, return_type="proto").pieces)
+        ids, begin, end = np.fromiter(flat, np.int64).reshape(-1, 3).T
         # Byte-fallback pieces but the last of a character have empty spans. The space counts.
-        ends_b = end + np.repeat(at[first], n_b) + 1
-        return (ids_a, n_a, at[offsets[:, 1]], clear_a), (ids_b, n_b, ends_b, begin < end)
+        return (np.array(coded.ids, np.int64), at[offsets[:, 1]], clear), (ids, end + 1, begin < end)
 
-    def silent(self, piece: str) -> tuple[tuple, tuple]:
-        """The same for one piece without spans."""
-        coded = self.a.encode(f" {piece}", add_special_tokens=False).ids, self.b.encode(piece, return_type=int)
-        ids = [np.array(one, np.int64) for one in coded]
-        return tuple((one, np.array([len(one)]), np.zeros_like(one), np.zeros(len(one), bool)) for one in ids)
+    def silent(self, text: str) -> tuple[tuple, tuple]:
+        """The same without spans."""
+        coded = self.a.encode(f" {text}", add_special_tokens=False).ids, self.b.encode(text, return_type=int)
+        return tuple((np.array(ids, np.int64), np.zeros(len(ids), np.int64), np.zeros(len(ids), bool)) for ids in coded)
 
     def layout(self, pieces: list[str]) -> list[tuple | None]:
-        """For each: numbers of A's and B's tokens, groups and links, its id pairs and how often
-        each is linked, the groups as text; None where the tokens do not make up the piece."""
-        if any(len(piece) > _SILENT for piece in pieces) and len(pieces) > 1:
-            return [one for piece in pieces for one in self.layout([piece])]
-        joined = " " + " ".join(pieces)
-        data = np.frombuffer(joined.encode(), np.uint8)
-        codes = np.frombuffer(joined.encode("utf-32-le"), "<u4")
+        """For each: numbers of A's and B's tokens, groups and links, its linked id pairs (and how
+        often each, if not once), the groups as text; None where the tokens do not make it up."""
+        found: dict[str, tuple | None] = {}
+        plain, alone = [], []
+        for piece in pieces:
+            if "▁" in piece:
+                found[piece] = None  # a space to B
+            elif len(piece) > _SILENT or piece[0].isspace() or piece[-1].isspace():
+                alone.append(piece)
+            else:
+                plain.append(piece)
+        for k in range(0, len(plain), _JOINED):
+            chunk = plain[k : k + _JOINED]
+            layouts = self._together(chunk)
+            if layouts is None:
+                alone += chunk
+            else:
+                found.update(zip(chunk, layouts))
+        for piece in alone:
+            found[piece] = (self._together([piece]) or [None])[0]
+        return [found[piece] for piece in pieces]
+
+    def _together(self, pieces: list[str]) -> list[tuple] | None:
+        """Layouts of pieces that can be read as one text; None where its tokens do not make it up."""
+        text = " ".join(pieces)
+        data = np.frombuffer(f" {text}".encode(), np.uint8)
+        codes = np.frombuffer(f" {text}".encode("utf-32-le"), "<u4")
         at = np.concatenate([[0], np.cumsum(1 + (codes >= 0x80) + (codes >= 0x800) + (codes >= 0x10000))])
         stops = at[np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)) + 1)]
-        starts = np.concatenate([[0], stops[:-1]])
-        both = self.silent(pieces[0]) if len(pieces[0]) > _SILENT else self.spans(pieces, at)
-        whole = np.ones(len(pieces), bool)
-        fine = []
-        for (ids, n, _, _), (sizes, place, content) in zip(both, (self.table_a, self.table_b)):
-            owner, size = np.repeat(np.arange(len(pieces)), n), sizes[ids]
-            ends = np.cumsum(size)
-            before = np.concatenate([[0], ends])[np.cumsum(n) - n]
-            total = np.concatenate([[0], ends])[np.cumsum(n)] - before
-            fits = total == stops - starts
-            ends += np.repeat(starts - before, n)
-            good = fits[owner]
-            same = data[_runs((ends - size)[good], size[good])] == content[_runs(place[ids][good], size[good])]
-            whole &= fits
-            whole[np.repeat(owner[good], size[good])[~same]] = False
-            fine.append((owner, ends))
+        both = self.silent(text) if len(text) > max(_SILENT, 64 * _JOINED) else self.spans(text, at)
         sides = []
-        for (ids, _, coarse, clear), (owner, ends) in zip(both, fine):
+        for (ids, coarse, clear), (sizes, place, content) in zip(both, (self.table_a, self.table_b)):
+            size = sizes[ids]
+            ends = np.cumsum(size)
+            if not len(ids) or ends[-1] != len(data) or (content[_runs(place[ids], size)] != data).any():
+                return None
             # Spans are coarse cuts; where they are silent, or trimmed, the bytes say where a token ends.
-            ends = np.where(clear & (coarse == ends), coarse, ends)
-            kept = whole[owner]
-            sides.append((ids[kept], owner[kept], ends[kept]))
-        return self._grouped(sides, stops, whole)
+            sides.append((ids, np.where(clear & (coarse == ends), coarse, ends)))
+        return self._grouped(sides, stops)
 
     @staticmethod
-    def _grouped(sides, stops, whole) -> list[tuple | None]:
-        (ids_a, owner_a, ends_a), (ids_b, _, ends_b) = sides
+    def _grouped(sides, stops) -> list[tuple]:
+        (ids_a, ends_a), (ids_b, ends_b) = sides
         cuts = np.intersect1d(ends_a, ends_b, assume_unique=True)
         of_a, of_b = np.searchsorted(cuts, ends_a), np.searchsorted(cuts, ends_b)
         size_a, size_b = np.bincount(of_a, minlength=len(cuts)), np.bincount(of_b, minlength=len(cuts))
@@ -175,59 +179,55 @@ class Aligner:
         runs = size_b[of_a[chosen]]
         start_b = np.cumsum(size_b) - size_b
         pairs = [np.repeat(ids_a[chosen], runs) << 32 | ids_b[_runs(start_b[of_a[chosen]], runs)]]
-        times, owners = [np.ones(len(pairs[0]), np.int64)], [np.repeat(owner_a[chosen], runs)]
+        times, owners = [np.ones(len(pairs[0]), np.int64)], [np.repeat(owner[of_a[chosen]], runs)]
         for group in np.flatnonzero(~plain).tolist():
             a, n = np.unique(ids_a[of_a == group], return_counts=True)
             b, m = np.unique(ids_b[of_b == group], return_counts=True)
             pairs.append((a[:, None] << 32 | b[None, :]).ravel())
             times.append((n[:, None] * m[None, :]).ravel())
             owners.append(np.full(len(pairs[-1]), owner[group]))
-        different, number = np.unique(np.concatenate(pairs), return_inverse=True)
-        keys, where = np.unique(np.concatenate(owners) * len(different) + number, return_inverse=True)
-        counts = np.zeros(len(keys), np.int64)
-        np.add.at(counts, where, np.concatenate(times))
-        pieces = np.arange(len(whole) + 1)
-        key_at = np.searchsorted(keys, pieces * len(different)).tolist()
-        keys = different[keys % max(1, len(different))]
+        pairs, times, owners = map(np.concatenate, (pairs, times, owners))
+        if not plain.all():
+            order = np.argsort(owners, kind="stable")
+            pairs, times, owners = pairs[order], times[order], owners[order]
+        pieces = np.arange(len(stops) + 1)
+        pair_at = np.searchsorted(owners, pieces).tolist()
         group_at = np.searchsorted(owner, pieces).tolist()
         links = np.concatenate([[0], np.cumsum(product)])[group_at].tolist()
         a_at, b_at = [0, *np.cumsum(size_a).tolist()], [0, *np.cumsum(size_b).tolist()]
         a, b = list(map(str, ids_a.tolist())), list(map(str, ids_b.tolist()))
         said = [f"{','.join(a[i:j])}|{','.join(b[k:m])}" for i, j, k, m in zip(a_at, a_at[1:], b_at, b_at[1:])]
-        out = []
-        for k, ok in enumerate(whole.tolist()):
-            i, j, u, v = group_at[k], group_at[k + 1], key_at[k], key_at[k + 1]
-            out.append(
-                (a_at[j] - a_at[i], b_at[j] - b_at[i], j - i, links[k + 1] - links[k],
-                 keys[u:v].copy(), counts[u:v].copy(), ";".join(said[i:j]).encode())
-                if ok else None
-            )
-        return out
-
-    def documents(self, texts: list[str]) -> list[tuple | None]:
+        return [
+            (a_at[j] - a_at[i], b_at[j] - b_at[i], j - i, last - first,
+             pairs[u:v].copy(), times[u:v].copy() if last - first != v - u else None, ";".join(said[i:j]).encode())
+            for i, j, u, v, first, last in zip(group_at, group_at[1:], pair_at, pair_at[1:], links, links[1:])
+        ]
+
+    def documents(self, texts: list[str]) -> list[list[tuple] | None]:
         """For each text the layouts of its pieces; None where it has no tokens."""
-        split = []
-        for text in texts:
-            pieces = text.split(" ")
-            if any(not piece or piece[0].isspace() or piece[-1].isspace() for piece in pieces):
-                pieces = _CUT.split(text)
-            split.append(pieces if text else [])
-        new = [piece for piece in dict.fromkeys(chain.from_iterable(split)) if piece not in self.known]
-        for k in range(0, len(new), 4096):
-            part = new[k : k + 4096]
-            for piece, found in zip(part, self.layout(part)):
-                self.known[piece] = found
-                self.held += 600 + 40 * len(piece)
+        split = [(_CUT.split(text) if _ODD.search(text) else text.split(" ")) if text else [] for text in texts]
+        new = []
+        for piece in set(chain.from_iterable(split)) - self.known.keys():
+            if piece in self.before:
+                self._keep(piece, self.before[piece])
+            else:
+                new.append(piece)
+        for piece, found in zip(new, self.layout(new)):
+            self._keep(piece, found)
         known = self.known
         out = [list(map(known.__getitem__, pieces)) for pieces in split]
         for piece in new:
             if len(piece) > _LONG:
-                self.held -= 600 + 40 * len(piece)
                 del known[piece]
         if self.held > _HELD:
             self.forget()
         return [None if not layouts or any(one is None for one in layouts) else layouts for layouts in out]
 
+    def _keep(self, piece: str, found: tuple | None) -> None:
+        self.known[piece] = found
+        if len(piece) <= _LONG:
+            self.held += 400 + 30 * len(piece)
+
 
 def load(path_a: str, path_b: str) -> Aligner:
     held = tokens.worker_cache("alignment")
@@ -259,9 +259,14 @@ def aligned_blocks(texts: DataFrame, path_a: str, path_b: str) -> DataFrame:
             for layouts in aligner.documents(texts):
                 found.append(tuple(sum(column) for column in zip(*(one[:4] for one in layouts))) if layouts else (0,) * 4)
                 if layouts:
-                    keys, where = np.unique(np.concatenate([one[4] for one in layouts]), return_inverse=True)
-                    # Sums of whole numbers; exact in doubles far beyond any text that fits in memory.
-                    counts = np.bincount(where, np.concatenate([one[5] for one in layouts]), len(keys)).astype(np.int64)
+                    linked = np.concatenate([one[4] for one in layouts])
+                    if all(one[5] is None for one in layouts):
+                        keys, counts = np.unique(linked, return_counts=True)
+                    else:
+                        keys, where = np.unique(linked, return_inverse=True)
+                        counts = np.zeros(len(keys), np.int64)
+                        often = [np.ones(len(one[4]), np.int64) if one[5] is None else one[5] for one in layouts]
+                        np.add.at(counts, where, np.concatenate(often))
                     hashes.append(hashlib.sha256(b";".join(one[6] for one in layouts)).hexdigest())
                 else:
                     keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
