@@ -114,10 +114,27 @@ class Head:
         return np.concatenate(found)[order], np.bincount(owners, minlength=len(sizes)), sizes
 
 
+def most_frequent(counted: DataFrame, most: int) -> list:
+    """Rows with the highest `n`: all from some count on, and at most `most`.
+
+    The count is read off a histogram, so tasks send no more than these rows and a few bins
+    to the driver. Each bin holds counts within a twentieth of each other.
+    """
+    counted = settle(counted)
+    step = F.floor(F.log2("n") * 16)
+    bins = counted.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("rows")).collect()
+    total, lowest = 0, None
+    for step_, n in sorted(((row["step"], row["rows"]) for row in bins), reverse=True):
+        total += n
+        if total > most:
+            break
+        lowest = step_
+    return [] if lowest is None else counted.filter(step >= lowest).collect()
+
+
 def head_of(texts: DataFrame, runs: int, buckets: int, most: int = HEAD) -> Head:
     """The head of a corpus, from counts over all of it."""
-    counted = count_words(texts).orderBy(F.desc("n"), "word").limit(most)
-    head = Head([row["word"] for row in counted.collect()], buckets)
+    head = Head([row["word"] for row in most_frequent(count_words(texts), most)], buckets)
     if runs == 2:
         sent = texts.sparkSession.sparkContext.broadcast(head)
 
@@ -137,8 +154,8 @@ def head_of(texts: DataFrame, runs: int, buckets: int, most: int = HEAD) -> Head
                 yield pa.RecordBatch.from_arrays([*taken, pa.array(n, pa.int64())], names=["a", "b", "n"])
 
         pairs = texts.select("text").mapInArrow(run, "a string, b string, n long").groupBy("a", "b")
-        chosen = pairs.agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "a", "b").limit(most)
-        head.learn_pairs((row["a"], row["b"]) for row in chosen.collect())
+        chosen = most_frequent(pairs.agg(F.sum("n").alias("n")), most)
+        head.learn_pairs((row["a"], row["b"]) for row in chosen)
     return head
 
 
@@ -197,7 +214,6 @@ def weigh(features: DataFrame, gained: np.ndarray) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            # A Python sum of chunks would do; one row's features are summed at once.
             sums = [int(sent.value[np.frombuffer(data, "<u2")].sum()) for data in batch.column("buckets").to_pylist()]
             sizes = batch.column("n_features").to_pylist()
             weights = pa.array([s // n if n else 0 for s, n in zip(sums, sizes)], pa.int64())
