@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
@@ -43,6 +44,28 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+# Lists that note the tables settled while they are open.
+_noting: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def noted_tables():
+    """The paths of all tables settled inside the block, as a list that grows."""
+    paths: list[str] = []
+    _noting.append(paths)
+    try:
+        yield paths
+    finally:
+        _noting.remove(paths)
+
+
+def remove_tables(spark: SparkSession, paths: list[str]) -> None:
+    """Remove settled tables that nothing will read again."""
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def settle(rows: DataFrame) -> DataFrame:
     """Write rows to a table in the shared folder and go on from there.
 
@@ -51,5 +74,7 @@ def settle(rows: DataFrame) -> DataFrame:
     sizes behind: later joins see how large the table really is.
     """
     path = f"{shared_folder(rows.sparkSession)}/tables/{uuid.uuid4().hex}"
+    for paths in _noting:
+        paths.append(path)
     rows.write.parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
