@@ -145,3 +145,31 @@ def test_empty_tables(spark, tmp_path):
     folder = files.new_folder(spark, "tokens")
     rans.write_documents(none, WORD, folder)
     assert rans.read_files(spark, folder).count() == 0
+
+
+def test_round_trip_is_the_library(spark, docs, data):
+    """Digests of ids and of the decoded text, as the library makes them."""
+    import hashlib
+
+    reader = Tokenizer.from_file(BYTE)
+    want = Counter()
+    for doc_id, text, *_ in data:
+        ids = library(BYTE, text)
+        coded = hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+        decoded = hashlib.sha256(reader.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+        want[doc_id, len(ids), coded, decoded] += 1
+    assert Counter(map(tuple, bpe.round_trip(rows.texts(docs), BYTE).collect())) == want
+
+
+def test_names_of_token_files_say_their_sizes(spark, docs, tmp_path, monkeypatch):
+    """Several files per part: starts come from the names alone and are gapless."""
+    monkeypatch.setattr(rans, "FILE_TOKENS", 500)
+    folder = f"file://{tmp_path}/files"
+    rans.write_documents(rows.texts(docs), WORD, folder)
+    got = sorted(rans.read_files(spark, folder, with_ids=False).collect(), key=lambda r: (r.start, r.n_tokens))
+    assert len(list((tmp_path / "files").glob("part-*.rans"))) > len({p.name[:11] for p in (tmp_path / "files").glob("part-*.rans")})
+    assert [r.start for r in got] == [0, *np.cumsum([r.n_tokens for r in got])[:-1].tolist()]
+    for file in (tmp_path / "files").glob("part-000000-*.rans"):
+        file.rename(str(file)[:-6] + "9.rans" if str(file)[-6] != "9" else str(file)[:-6] + "8.rans")
+    with pytest.raises(Exception, match="the name of a file does not fit"):
+        rans.read_files(spark, folder).collect()

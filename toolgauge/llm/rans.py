@@ -213,7 +213,9 @@ def write_files(coded: DataFrame, counts: np.ndarray, folder: str) -> None:
         part, before, docs, ids, size, n = None, 0, [], [], 0, 0
 
         def close():
-            name = f"part-{part:06d}-{before:015d}.rans"
+            # The name says where the ids stand and how many they are, so that starts can be
+            # summed up without opening a file.
+            name = f"part-{part:06d}-{before:015d}-{size:010d}.rans"
             files.write(folder, name, encode_file(part, before, docs, np.concatenate(ids), table))
 
         for batch in batches:
@@ -249,8 +251,10 @@ def read_files(spark: SparkSession, folder: str, with_ids: bool = True) -> DataF
     def read(batches):
         table = Table(shared.value)
         for batch in batches:
-            for data in batch.column("content"):
-                header, docs, ids = decode_file(data.as_py(), table)
+            for path, data in zip(batch.column("path").to_pylist(), map(lambda one: one.as_py(), batch.column("content"))):
+                header, docs, ids = decode_file(data, table)
+                if not path.endswith(f"-{header['before']:015d}-{len(ids):010d}.rans"):
+                    raise ValueError("the name of a file does not fit what is in it")
                 ends = np.cumsum(docs["ids"].astype(np.int64))
                 for k in range(0, len(docs), 2000):
                     some = slice(k, k + 2000)
@@ -270,12 +274,16 @@ def read_files(spark: SparkSession, folder: str, with_ids: bool = True) -> DataF
     found = files.contents(spark, folder, "part-*.rans").mapInArrow(
         read, "part int, doc_id long, inside long, n_tokens long, ids_crc32 long, ids binary"
     )
-    return _starts(found)
+    return _starts(found, files.contents(spark, folder, "part-*.rans").select("path"))
 
 
-def _starts(found: DataFrame) -> DataFrame:
+def _starts(found: DataFrame, names: DataFrame) -> DataFrame:
     """Turn places inside a part into places among all ids: one sum per part runs along."""
-    sizes = found.groupBy("part").agg(F.sum("n_tokens").alias("_size"))
+
+    def number(group):
+        return F.regexp_extract("path", r"part-(\d+)-\d+-(\d+)\.rans$", group)
+
+    sizes = names.groupBy(number(1).cast("int").alias("part")).agg(F.sum(number(2).cast("long")).alias("_size"))
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     base = sizes.select("part", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_base"))
     # One row per part, at most as many as the writer's shuffle had partitions.
