@@ -14,6 +14,7 @@ Columns besides doc_id and text are not looked at.
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import json
 
@@ -32,10 +33,10 @@ WORDS = (
 )
 OWN_BYTES = (*range(33, 127), *range(161, 173), *range(174, 256))
 
-# Checked pairs that a worker remembers.
-_PAIRS = 500_000
-# Pieces of texts that a worker remembers.
-_HELD = 800_000
+# Checked pairs that a worker remembers (some 130 bytes each).
+_PAIRS = 250_000
+# Bytes of pieces of texts that a worker remembers.
+_HELD = 80 << 20
 
 
 class Bpe:
@@ -52,6 +53,8 @@ class Bpe:
         self.bytes = [names.get(i, b"") for i in range(max(*names, *self.added.values()) + 1)]
         for name, i in self.added.items():
             self.bytes[i] = name.encode()
+        if len(self.bytes) > 1 << 16:
+            raise ValueError(f"ids of {path} do not fit in 16 bits")
         numbers = {name: i for i, name in names.items()}
         self.single = [numbers[bytes([b])] for b in range(256)]
         self.merges = {}
@@ -202,3 +205,24 @@ def decode(coded: DataFrame, path: str) -> DataFrame:
             )
 
     return coded.mapInArrow(run, "doc_id long, n_tokens long, ids binary, text string")
+
+
+def round_trip(docs: DataFrame, path: str) -> DataFrame:
+    """doc_id, text -> doc_id, n_tokens, ids_sha256, decoded_sha256.
+
+    Encodes and decodes in one pass; only the digests leave the task.
+    """
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+
+    def run(batches):
+        model = load(path)
+        encoder = tokens.Encoder(f"own {path}", model.strings, model.spaced, _HELD)
+        for batch in rows.parts(batches, "text"):
+            found = encoder(batch.column("text").to_pylist())
+            coded = [hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest() for ids in found]
+            decoded = [hashlib.sha256(model.decode(ids).encode()).hexdigest() for ids in found]
+            sizes = pa.array(list(map(len, found)), pa.int64())
+            columns = [batch.column("doc_id"), sizes, pa.array(coded, pa.string()), pa.array(decoded, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from toolgauge.llm import (
     alignment, bpe, exact_dedup, files, lattice, minhash, packing, quality_model, rans, resampling, rows, site_text,
@@ -44,14 +44,7 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = tokenizer_path("byte_bpe_50k.json")
-    coded = bpe.decode(bpe.encode(rows.texts(documents(spark, sf_dir)), path), path)
-    return coded.select(
-        "doc_id",
-        "n_tokens",
-        F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2(F.encode("text", "UTF-8"), 256).alias("decoded_sha256"),
-    )
+    return bpe.round_trip(rows.texts(documents(spark, sf_dir)), tokenizer_path("byte_bpe_50k.json"))
 
 
 def op3_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:

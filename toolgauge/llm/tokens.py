@@ -16,8 +16,10 @@ import numpy as np
 
 # Pieces longer than this are encoded but not remembered.
 _LONG = 64
-# A worker forgets its pieces when it holds this many.
-_HELD = 1_000_000
+# A worker forgets its pieces when they take about this many bytes, with _EACH for every one
+# besides its characters.
+_HELD = 160 << 20
+_EACH = 140
 # New words in one call.
 _JOINED = 2048
 # Characters that are looked up together.
@@ -48,6 +50,8 @@ def tokenizer(path: str):
         loaded = Tokenizer.from_file(path)
         loaded.no_padding()
         loaded.no_truncation()
+        if loaded.get_vocab_size(with_added_tokens=True) > 1 << 16:
+            raise ValueError(f"ids of {path} do not fit in 16 bits")
         held[path] = loaded
     return held[path]
 
@@ -117,11 +121,16 @@ class Encoder:
         self.held = worker_cache().setdefault(("pieces", key), {})
         if not self.held:
             self._forget()
+            # What _learn takes as given about commas and full stops.
+            flat, sizes = strings(["a,", "é.", "z.", "a", ",", "é", ".", "z", "."])
+            first = int(sizes[:3].sum())
+            if flat[:first].tolist() != flat[first:].tolist():
+                raise ValueError("this vocabulary joins letters and punctuation")
 
     def _forget(self) -> None:
         # Pieces are keyed by themselves; one that starts a text by a tuple of itself.
         self.held.update(
-            place=_Places(), used=0, flat=np.zeros(1 << 20, np.uint16),
+            place=_Places(), used=0, bytes=0, flat=np.zeros(1 << 20, np.uint16),
             start=np.zeros(1 << 16, np.int64), size=np.zeros(1 << 16, np.int32),
         )
 
@@ -142,6 +151,7 @@ class Encoder:
         held = self.held
         place = held["place"]
         words, starts, at_words, at_starts, stops = [], [], [], [], []
+        held["bytes"] += sum(map(len, place.new)) + _EACH * len(place.new)
         begin = place.count - len(place.new)
         for number, piece in enumerate(place.new, begin):  # grows by stems that are new
             if type(piece) is tuple:
@@ -192,7 +202,7 @@ class Encoder:
     def _together(self, texts: list[str]) -> list[np.ndarray]:
         if not texts:
             return []
-        if self.held["place"].count > self.most:
+        if self.held["bytes"] > self.most:
             self._forget()
         held = self.held
         split = [text.split(" ") for text in texts]
