@@ -13,29 +13,59 @@ from pyspark.sql import DataFrame, SparkSession
 
 from toolgauge.llm import exact_dedup, minhash, packing, rows, toxicity, weak_rules
 from toolgauge.llm.queries import tokenizer_path
-from toolgauge.session import shared_folder
+from toolgauge.session import noted_tables, remove_tables, shared_folder
 
+# Tables in the shared folder behind the last stage's result, by session.
+_behind: dict[str, list[str]] = {}
 
+
+def _stage(stage):
+    """A stage that removes what the one before it left in the shared folder.
+
+    A stage is given its predecessor's result as it was written. Nothing reads the tables
+    behind that any more, unless the documents given come from them; then they stay.
+    """
+
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        session = spark.sparkContext.applicationId
+        left = _behind.pop(session, [])
+        names = [path.rsplit("/", 1)[-1] for path in left]
+        if left and not any(name in file for file in docs.inputFiles() for name in names):
+            remove_tables(spark, left)
+        with noted_tables() as paths:
+            result = stage(spark, docs, sf_dir)
+        _behind[session] = paths
+        return result
+
+    run_stage.__name__, run_stage.__doc__ = stage.__name__, stage.__doc__
+    return run_stage
+
+
+@_stage
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the weighed rules accept."""
     return weak_rules.keep_good(docs)
 
 
+@_stage
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model, trained on those that came here, lets pass."""
     return toxicity.keep_clean(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+@_stage
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first document of each group of equal texts."""
     return exact_dedup.keep_first(docs)
 
 
+@_stage
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: shingles of five words, 0.8 similar."""
     return minhash.keep_one(docs, percent=80, words=5)
 
 
+@_stage
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents that are left, with their sequences."""
     return packing.pack_documents(rows.texts(docs), tokenizer_path("byte_bpe_50k.json"))
