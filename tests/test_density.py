@@ -34,10 +34,10 @@ def labels(members):
         (BLOBS, {}),
         (COPIES, {"block_rows": 16}),
         (GRID, {"block_rows": 16}),
-        (BLOBS, {"block_rows": 16, "max_local": 0}),
-        (GRID, {"max_local": 0}),
+        (BLOBS, {"block_rows": 16}),
+        (GRID, {}),
     ],
-    ids=["one block", "copies", "ties", "rounds", "ties by rounds"],
+    ids=["one block", "copies", "ties", "blocks", "ties in one block"],
 )
 def test_clusters_match_brute_force(spark, x, options):
     want = hdbscan(x.astype(np.float64), 5)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from toolgauge.operators import clusters, neighbors
 from toolgauge.operators.forest import spanning_tree
-from toolgauge.operators.hierarchy import MAX_LOCAL_SPLITS, leaf_clusters, select_clusters
+from toolgauge.operators.hierarchy import leaf_clusters, select_clusters
 from toolgauge.operators.neighbors import BLOCK_ROWS, Cells
 from toolgauge.operators.ranking import dense_positions
 from toolgauge.session import settle
@@ -62,7 +62,6 @@ def tree_of(cells: Cells) -> tuple[DataFrame, DataFrame]:
 def cluster_members(
     failures: DataFrame,
     block_rows: int = BLOCK_ROWS,
-    max_local: int = MAX_LOCAL_SPLITS,
 ) -> DataFrame:
     """Failures (with `ord` and `embedding`) plus `cluster_id`; -1 is noise.
 
@@ -84,7 +83,7 @@ def cluster_members(
     failures = failures.withColumn("_vec", F.col("embedding").cast("array<float>"))
     cells = cells_of(failures.select("ord", F.col("_vec").alias("embedding")), m, block_rows)
     cores, tree = tree_of(cells)
-    chosen = select_clusters(leaf_clusters(tree, cores, m), max_local)
+    chosen = select_clusters(leaf_clusters(tree, cores, m))
     named = cells.points.select("pid", "vec").join(chosen, "pid").transform(settle)
     firsts = (
         named.filter(F.col("cluster").isNotNull())

@@ -12,20 +12,15 @@ arranged in a hierarchy. Equal distances count as simultaneous.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from toolgauge.functions.stage import computed
-from toolgauge.operators.clusters import NOISE
 from toolgauge.operators.forest import chain_ends, contract
+from toolgauge.operators.ranking import in_pieces, running
 from toolgauge.session import settle
 
-# A hierarchy of at most this many splits is arranged on the driver and shipped to
-# tasks (about 30 MB); a larger one is arranged by rounds on tables.
-MAX_LOCAL_SPLITS = 200_000
-
 # Stands in for distance zero, whose density is infinite.
 _TINY = 1e-150
 # A parent cluster wins against its children unless they are better by more than this.
@@ -143,210 +138,221 @@ def leaf_clusters(tree: DataFrame, cores: DataFrame, m: int) -> Leaves:
     return Leaves(points.transform(settle), splits.transform(settle))
 
 
-def select_clusters(leaves: Leaves, max_local: int = MAX_LOCAL_SPLITS) -> DataFrame:
+def select_clusters(leaves: Leaves) -> DataFrame:
     """(pid, cluster): the selected cluster of each point, NULL for noise.
 
     Cluster names are arbitrary but the same for all points of a cluster. The whole
     set is never selected, so without any split all points are noise.
     """
-    splits = leaves.splits.count()
-    if splits == 0:
-        return leaves.points.select("pid", F.lit(None).cast("string").alias("cluster"))
-    if splits <= max_local:
-        return _select_small(leaves)
-    return _select_by_rounds(leaves)
+    points = leaves.points
+    rounds = _Rounds(
+        live=settle(
+            leaves.splits.select(F.col("a").cast("string").alias("a"), F.col("b").cast("string").alias("b"), "w", "u", "v")
+        ),
+        waiting=settle(
+            points.groupBy("leaf", "t")
+            .agg(F.sum("weight").alias("weight"))
+            .withColumn("node", F.col("leaf").cast("string"))
+        ),
+        clusters=points.select(F.col("leaf").cast("string").alias("node"))
+        .distinct()
+        .select(
+            "node", F.lit(0).cast("bigint").alias("below"), F.lit(0.0).alias("inner"), F.lit(0.0).alias("born")
+        )
+        .transform(settle),
+    )
+    while not rounds.live.isEmpty():
+        rounds.merge()
+    if not rounds.nodes:
+        return points.select("pid", F.lit(None).cast("string").alias("cluster"))
+    labels = _topmost(_all(rounds.nodes).transform(settle))
+    return (
+        points.join(_all(rounds.placed), ["leaf", "t"], "left")
+        .join(labels, "node", "left")
+        .select("pid", "cluster")
+    )
 
 
-# -- a hierarchy of bounded size ------------------------------------------------
+def _all(parts: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionAll, parts)
 
 
-def _merge_order(splits: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sorted leaf ids, and per node its parent and the distance of its merge.
+def _density(distance) -> Column:
+    return F.lit(1.0) / F.greatest(distance, F.lit(_TINY))
 
-    Nodes are the leaves followed by one node per split, lightest first.
-    """
-    leaf_ids = np.unique(splits[["a", "b"]].to_numpy())
-    ordered = splits.sort_values(["w", "u", "v"])
-    a = np.searchsorted(leaf_ids, ordered["a"].to_numpy())
-    b = np.searchsorted(leaf_ids, ordered["b"].to_numpy())
-    count = len(leaf_ids)
-    parent = np.full(count + len(ordered), -1, dtype=np.int64)
-    death = np.full(count + len(ordered), np.inf)
-    top = np.arange(count)  # union-find over leaves
-    node = np.arange(count)
-
-    def find(x: int) -> int:
-        while top[x] != x:
-            top[x] = top[top[x]]
-            x = top[x]
-        return x
-
-    for i, (x, y, w) in enumerate(zip(a, b, ordered["w"].to_numpy())):
-        x, y = find(x), find(y)
-        new = count + i
-        for child in (node[x], node[y]):
-            parent[child], death[child] = new, w
-        top[x] = y
-        node[y] = new
-    return leaf_ids, parent, death
-
-
-def _select_small(leaves: Leaves) -> DataFrame:
-    leaf_ids, parent, death = _merge_order(leaves.splits.toPandas())
-    up = np.where(parent < 0, np.arange(len(parent)), parent)
-    jumps = [up]
-    while not np.array_equal(jumps[-1], jumps[-1][jumps[-1]]):
-        jumps.append(jumps[-1][jumps[-1]])
-
-    def place(batches):
-        # Lowest node above the leaf that still exists when the point joins.
-        for batch in batches:
-            t = batch["t"].to_numpy()
-            at = np.searchsorted(leaf_ids, batch["leaf"].to_numpy())
-            for jump in reversed(jumps):
-                # Distances grow upwards: a node that is gone by then has only such below it.
-                at = np.where(t >= death[jump[at]], jump[at], at)
-            at = np.where(t >= death[at], up[at], at)
-            yield pd.DataFrame({"pid": batch["pid"], "weight": batch["weight"], "t": t, "node": at})
-
-    placed = leaves.points.mapInPandas(
-        place, "pid bigint, weight bigint, t double, node int"
-    ).transform(settle)
-    mass = (
-        placed.groupBy("node")
-        .agg(
-            F.sum("weight").alias("n"),
-            F.sum(F.col("weight") / F.greatest("t", F.lit(_TINY))).alias("s"),
-        )
-        .toPandas()
-    )
-    size = np.zeros(len(parent))
-    own = np.zeros(len(parent))
-    size[mass["node"]], own[mass["node"]] = mass["n"], mass["s"]
-    label = _excess_of_mass(parent, death, size, own)
-    names = leaves.points.sparkSession.createDataFrame(
-        pd.DataFrame({"node": np.arange(len(label), dtype=np.int32), "cluster": label.astype(str)})
-    )
-    # As many rows as the hierarchy has nodes: bounded by the check above.
-    return placed.join(F.broadcast(names), "node").select(
-        "pid", F.when(F.col("cluster") != str(NOISE), F.col("cluster")).alias("cluster")
-    )
+
+def _name() -> Column:
+    return F.concat_ws("_", F.col("u").cast("string"), F.col("v").cast("string"))
 
 
-def _excess_of_mass(
-    parent: np.ndarray, death: np.ndarray, size: np.ndarray, own: np.ndarray
-) -> np.ndarray:
-    """Label of every node: its selected cluster, or NOISE."""
-    count = len(parent)
-    below, inner, value = np.zeros(count), np.zeros(count), np.zeros(count)
-    chosen = np.zeros(count, dtype=bool)
-    lam = 1.0 / np.maximum(death, _TINY)
-    born = np.zeros(count)
-    for node in range(count - 1):  # children come before their parent; the root is last
-        total = size[node] + below[node]
-        stability = own[node] + below[node] * born[node] - total * lam[node]
-        chosen[node] = inner[node] <= stability * (1 + _TIE)
-        value[node] = max(stability, inner[node])
-        up = parent[node]
-        below[up] += total
-        inner[up] += value[node]
-        born[up] = lam[node]
-    label = np.full(count, NOISE, dtype=np.int64)
-    for node in range(count - 2, -1, -1):
-        above = label[parent[node]]
-        label[node] = above if above != NOISE else (node if chosen[node] else NOISE)
-    return label
-
-
-# -- a hierarchy of any size ------------------------------------------------------
-
-
-def _select_by_rounds(leaves: Leaves) -> DataFrame:
-    """Merge, in every round, all pairs that are each other's closest neighbour.
-
-    Such a pair merges next whatever happens elsewhere, so its two clusters are final:
-    the points that join them by then are known, and so are stability and value.
+class _Rounds:
+    """The hierarchy of leaf clusters, from its leaves up, in rounds of contraction.
+
+    Every cluster first merges along its lightest split. So the splits that are the
+    lightest of one of their ends fall into trees, in each of which clusters join one
+    growing core, one after the other by weight. What else is known about a tree is the
+    lightest split that leaves it without being anyone's lightest: up to that weight the
+    core grows undisturbed, which is one round for any number of clusters. The
+    grown cores go on as clusters of the next round; at least every second one of those
+    with a split to another core merges then, so rounds grow with the logarithm of their number,
+    on a star as on a chain.
+
+    Along a growing core, totals are running sums, and the value of the best selection is
+
+        V(i) = max(stability(i), V(i-1) + v(i)) = P(i) + max(0, max over j <= i of stability(j) - P(j)),
+
+    v(i) being the value of what joins and P its running sum: nothing walks the
+    hierarchy node by node, and no table but the rounds' own is as long as a chain.
     """
-    name = F.concat_ws("_", F.col("u").cast("string"), F.col("v").cast("string"))
-    live = leaves.splits.select(
-        F.col("a").cast("string").alias("a"), F.col("b").cast("string").alias("b"), "w", "u", "v"
-    ).transform(settle)
-    waiting = (
-        leaves.points.groupBy("leaf", "t")
-        .agg(F.sum("weight").alias("weight"))
-        .withColumn("node", F.col("leaf").cast("string"))
-        .transform(settle)
-    )
-    comps = (
-        leaves.points.select(F.col("leaf").cast("string").alias("node"))
-        .distinct()
-        .select(
-            "node", F.lit(0).cast("bigint").alias("below"), F.lit(0.0).alias("inner"), F.lit(0.0).alias("born")
+
+    def __init__(self, live: DataFrame, waiting: DataFrame, clusters: DataFrame):
+        self.live = live  # a, b (clusters), w, u, v
+        self.waiting = waiting  # leaf, t, weight, node: points that join this cluster or a later one
+        self.clusters = clusters  # node, below (rows of its children), inner (their value), born (density)
+        self.nodes: list[DataFrame] = []  # node, parent, chosen
+        self.placed: list[DataFrame] = []  # leaf, t, node
+
+    def merge(self) -> None:
+        joins = self._joins().transform(settle)
+        looked = (
+            self.waiting.join(joins.select("node", "core", F.col("w").alias("death")), "node", "left")
+            .withColumn("inside", F.coalesce(F.col("t") < F.col("death"), F.lit(False)))
+            .transform(settle)
         )
-        .transform(settle)
-    )
-    done, placed = None, None
-    while not live.isEmpty():
-        pick = F.struct("w", "u", "v", "a", "b")
+        final = self._finished(joins, looked).transform(settle)
+        events = self._events(final, looked)
+        merges = events.filter("kind = 0")
+        core = self._core(merges, events.filter("kind = 1")).transform(settle)
+        grown = core.filter(F.col("death").isNotNull())
+        tips = core.filter(F.col("death").isNull()).select(
+            "core", F.col("node").alias("tip"), "below", "inner", F.col("lam").alias("born")
+        )
+        parent = F.col("parent")
+        self.nodes.append(final.select("node", _name().alias("parent"), "chosen"))
+        self.nodes.append(
+            grown.select("node", parent, (F.col("inner") <= F.col("stability") * (1 + _TIE)).alias("chosen"))
+        )
+        self.placed.append(looked.filter("inside").select("leaf", "t", "node"))
+        at = events.filter("kind = 1").select("core", "leaf", F.col("at").alias("t"), "weight", "i")
+        reached = at.join(core.select("core", "i", "node", "death"), ["core", "i"]).transform(settle)
+        self.placed.append(reached.filter(F.col("death").isNotNull()).select("leaf", "t", "node"))
+        self.waiting = (
+            looked.filter(F.col("death").isNull())
+            .select("leaf", "t", "weight", "node")
+            .unionByName(reached.filter(F.col("death").isNull()).select("leaf", "t", "weight", "node"))
+            .transform(settle)
+        )
+        self.clusters = (
+            self.clusters.join(joins, "node", "left_anti")
+            .unionByName(tips.select(F.col("tip").alias("node"), "below", "inner", "born"))
+            .transform(settle)
+        )
+        moved = joins.join(tips.select("core", "tip"), "core").select("node", "tip")
+        self.live = (
+            self.live.join(joins.select("u", "v"), ["u", "v"], "left_anti")
+            .join(moved.toDF("a", "ta"), "a", "left")
+            .join(moved.toDF("b", "tb"), "b", "left")
+            .select(F.coalesce("ta", "a").alias("a"), F.coalesce("tb", "b").alias("b"), "w", "u", "v")
+            .transform(settle)
+        )
+
+    def _joins(self) -> DataFrame:
+        """(node, core, w, u, v): clusters that join a core in this round, and by which split."""
+        pick = F.struct("w", "u", "v", "a", "b").alias("p")
         picks = (
-            live.select(F.col("a").alias("node"), pick.alias("p"))
-            .unionAll(live.select("b", pick.alias("p")))
+            self.live.select(F.col("a").alias("node"), pick)
+            .unionAll(self.live.select("b", pick))
             .groupBy("node")
             .agg(F.min("p").alias("p"))
+            .select("node", "p.*")
+            .transform(settle)
         )
-        merges = picks.groupBy("p").agg(F.count("*").alias("n")).filter(F.col("n") == 2).select("p.*")
-        ends = (
-            merges.select(F.explode(F.array("a", "b")).alias("node"), F.col("w").alias("death"), name.alias("parent"))
-        ).transform(settle)
-
-        looked = waiting.join(ends, "node", "left")
-        inside = F.col("death").isNotNull() & (F.col("t") < F.col("death"))
-        looked = looked.withColumn("_in", inside).transform(settle)
-        joined = looked.filter("_in").select("leaf", "t", "node", "weight")
-        waiting = looked.filter(~F.col("_in")).select(
-            "leaf", "t", "weight", F.coalesce("parent", "node").alias("node")
+        other = F.when(F.col("node") == F.col("a"), F.col("b")).otherwise(F.col("a"))
+        # The split that both its ends pick is the lightest of its tree; the smaller end is the root.
+        both = picks.groupBy("u", "v").agg(F.count("*").alias("n"))
+        pointers = picks.join(both, ["u", "v"]).select(
+            "node",
+            F.when((F.col("n") == 2) & (F.col("node") < other), F.col("node")).otherwise(other).alias("up"),
+        )
+        core = chain_ends(pointers).toDF("node", "core")
+        weight = F.struct("w", "u", "v")
+        leaving = self.live.join(picks.select("u", "v"), ["u", "v"], "left_anti").select(
+            F.explode(F.array("a", "b")).alias("node"), weight.alias("first")
+        )
+        first = leaving.join(core, "node").groupBy("core").agg(F.min("first").alias("first"))
+        return (
+            picks.join(core, "node")
+            .join(first, "core", "left")
+            .filter(F.col("first").isNull() | (weight < F.col("first")))
+            .select("node", "core", "w", "u", "v")
         )
-        mass = joined.groupBy("node").agg(
-            F.sum("weight").alias("n"),
-            F.sum(F.col("weight") / F.greatest("t", F.lit(_TINY))).alias("s"),
+
+    def _finished(self, joins: DataFrame, looked: DataFrame) -> DataFrame:
+        """Totals, value and choice of clusters that end by joining a core."""
+        mass = looked.filter("inside").groupBy("node").agg(
+            F.sum("weight").alias("n"), F.sum(F.col("weight") * _density(F.col("t"))).alias("s")
         )
-        lam = F.lit(1.0) / F.greatest("death", F.lit(_TINY))
-        final = (
-            ends.join(comps, "node")
+        stability = F.coalesce("s", F.lit(0.0)) + F.col("below") * F.col("born") - F.col("total") * _density(F.col("w"))
+        return (
+            joins.join(self.clusters, "node")
             .join(mass, "node", "left")
             .withColumn("total", F.col("below") + F.coalesce("n", F.lit(0)))
-            .withColumn(
-                "stability",
-                F.coalesce("s", F.lit(0.0)) + F.col("below") * F.col("born") - F.col("total") * lam,
-            )
+            .withColumn("stability", stability)
             .withColumn("chosen", F.col("inner") <= F.col("stability") * (1 + _TIE))
             .withColumn("value", F.greatest("stability", "inner"))
-            .withColumn("lam", lam)
-            .transform(settle)
+            .select("node", "core", "w", "u", "v", "total", "value", "chosen")
         )
-        merged = final.groupBy(F.col("parent").alias("node")).agg(
-            F.sum("total").alias("below"), F.sum("value").alias("inner"), F.max("lam").alias("born")
+
+    @staticmethod
+    def _events(final: DataFrame, looked: DataFrame) -> DataFrame:
+        """What happens along each core by distance: merges (kind 0), then points that join (1).
+
+        `i` merges have happened by then, with `below` rows and children worth `worth` in all.
+        """
+        merges = final.groupBy("core", F.col("w").alias("at"), "u", "v").agg(
+            F.sum("total").alias("weight"), F.sum("value").alias("value")
         )
-        comps = comps.join(ends, "node", "left_anti").unionByName(merged).transform(settle)
-        nodes = final.select("node", "parent", "chosen")
-        done = nodes if done is None else done.unionAll(nodes)
-        places = joined.select("leaf", "t", "node")
-        placed = places if placed is None else placed.unionAll(places)
-
-        gone = ends.select("node", "parent")
-        live = (
-            live.join(merges.select("u", "v"), ["u", "v"], "left_anti")
-            .join(gone.toDF("a", "pa"), "a", "left")
-            .join(gone.toDF("b", "pb"), "b", "left")
-            .select(F.coalesce("pa", "a").alias("a"), F.coalesce("pb", "b").alias("b"), "w", "u", "v")
-            .transform(settle)
+        joining = looked.filter(F.col("death").isNotNull() & ~F.col("inside"))
+        events = merges.withColumn("kind", F.lit(0)).unionByName(
+            joining.select("core", F.col("t").alias("at"), "weight", "leaf", F.lit(1).alias("kind")),
+            allowMissingColumns=True,
         )
-    labels = _topmost(done.transform(settle))
-    return (
-        leaves.points.join(placed, ["leaf", "t"], "left")
-        .join(labels, "node", "left")
-        .select("pid", "cluster")
-    )
+        order = ["core", "at", "kind", "u", "v", "leaf"]
+        return running(
+            in_pieces(events, order),
+            ["core"],
+            order[1:],
+            sums={
+                "below": F.col("weight"),
+                "worth": F.coalesce("value", F.lit(0.0)),
+                "i": F.when(F.col("kind") == 0, 1).otherwise(0),
+            },
+        ).transform(settle)
+
+    @staticmethod
+    def _core(merges: DataFrame, joining: DataFrame) -> DataFrame:
+        """One row per state of a core: after merge `i` until `death`, which a tip has yet to meet."""
+        mass = joining.groupBy("core", "i").agg(
+            F.sum("weight").alias("n"), F.sum(F.col("weight") * _density(F.col("at"))).alias("s")
+        )
+        after = merges.select("core", (F.col("i") - 1).alias("i"), F.col("at").alias("death"), _name().alias("parent"))
+        total = F.col("below") + F.coalesce("n", F.lit(0))
+        states = (
+            merges.select("core", "i", "_piece", "at", "below", "worth", _name().alias("node"))
+            .join(after, ["core", "i"], "left")
+            .join(mass, ["core", "i"], "left")
+            .withColumn("lam", _density(F.col("at")))
+            .withColumn(
+                "stability",
+                F.when(
+                    F.col("death").isNotNull(),
+                    F.coalesce("s", F.lit(0.0)) + F.col("below") * F.col("lam") - total * _density(F.col("death")),
+                ),
+            )
+        )
+        gain = {"gain": F.col("stability") - F.col("worth")}
+        best = running(states, ["core"], ["i"], highest=gain, until=-1)
+        return best.withColumn("inner", F.col("worth") + F.greatest("gain", F.lit(0.0)))
 
 
 def _topmost(nodes: DataFrame) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Exact global positions without a single-task window."""
+"""Exact global positions and running aggregates without a single-task window."""
 
 from __future__ import annotations
 
@@ -6,6 +6,48 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from toolgauge.session import settle
+
+
+def in_pieces(rows: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Rows cut along a total order into pieces of about equal size, numbered `_piece`.
+
+    Where the cuts fall depends on a sample, so the numbers are stored with the rows.
+    """
+    return settle(rows.repartitionByRange(*order).withColumn("_piece", F.spark_partition_id()))
+
+
+def running(
+    pieces: DataFrame,
+    group: Sequence[str],
+    order: Sequence[str],
+    sums: dict[str, Column] | None = None,
+    highest: dict[str, Column] | None = None,
+    until: int = 0,
+) -> DataFrame:
+    """Add running sums and maxima along `order` within each group, up to the row `until`.
+
+    A group of any size is spread over its pieces: rows run within theirs, and one row per
+    piece carries what the earlier ones add. `until` is 0 (inclusive) or -1 (exclusive).
+    """
+    steps = [(F.sum, name, column) for name, column in (sums or {}).items()]
+    steps += [(F.max, name, column) for name, column in (highest or {}).items()]
+    inside = Window.partitionBy(*group, "_piece").orderBy(*order).rowsBetween(Window.unboundedPreceding, until)
+    before = Window.partitionBy(*group).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = pieces.groupBy(*group, "_piece").agg(
+        *[step(column).alias(f"_{name}") for step, name, column in steps]
+    ).select(*group, "_piece", *[step(f"_{name}").over(before).alias(f"_{name}") for step, name, _ in steps])
+    joined = pieces.select("*", *[step(column).over(inside).alias(name) for step, name, column in steps]).join(
+        earlier, [*group, "_piece"]
+    )
+    for step, name, _ in steps:
+        if step is F.sum:
+            both = F.coalesce(name, F.lit(0)) + F.coalesce(f"_{name}", F.lit(0))
+        else:
+            both = F.greatest(name, f"_{name}")
+        joined = joined.withColumn(name, both).drop(f"_{name}")
+    return joined
+
 
 def dense_positions(
     rows: DataFrame,
