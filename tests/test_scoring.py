@@ -110,6 +110,28 @@ def test_evaluations_do_not_share_predictions(spark):
     assert {r.iteration: r.error_type for r in scored} == {1: "", 2: "malformed_json"}
 
 
+def test_expectations_with_foreign_numbers_are_rejects(spark):
+    """+Infinity and INF are numbers to the reader, but no JSON."""
+    calls = [TWO.replace('"7"', number) for number in ("+Infinity", "-INF", "NaN", "7")]
+    rows = [(i, str(i), call, call) for i, call in enumerate(calls)]
+    frame = spark.createDataFrame(rows, "ord int, id string, expected_tool_call string, predicted string")
+    assert sorted(r["ord"] for r in scoring.score_calls(frame).collect()) == [2, 3]
+    assert sorted(r["ord"] for r in scoring.example_rejects(frame).collect()) == [0, 1]
+
+
+def test_grid_of_evaluations(spark):
+    """Each example once per evaluation of its run; what is absent there counts as malformed there."""
+    examples = spark.createDataFrame([(i, i % 2, 9, ONE) for i in range(4)], "ord int, run_id int, iteration int, expected_tool_call string")
+    evaluations = spark.createDataFrame([(0, 1), (0, 2), (1, 1)], "run_id int, iteration int")
+    predictions = spark.createDataFrame([(0, 0, 1, ONE), (2, 0, 2, ONE), (1, 1, 1, ONE)], "ord int, run_id int, iteration int, predicted string")
+    grid = scoring.evaluation_grid(examples, evaluations, ["run_id"], "iteration")
+    scored = scoring.score_calls(scoring.with_predictions(grid, predictions, ["run_id", "iteration"]))
+    assert sorted((r["run_id"], r["iteration"], r["ord"], r["error_type"]) for r in scored.collect()) == [
+        (0, 1, 0, ""), (0, 1, 2, "malformed_json"), (0, 2, 0, "malformed_json"), (0, 2, 2, ""),
+        (1, 1, 1, ""), (1, 1, 3, "malformed_json"),
+    ]
+
+
 def test_negatives_and_rejects_are_not_scored(spark):
     rows = [(0, None), (1, "null"), (2, '{"arguments": {}}'), (3, "[1]"), (4, "{broken"), (5, BARE)]
     examples = spark.createDataFrame(rows, "ord long, expected_tool_call string")

@@ -52,6 +52,30 @@ def test_catalog_refuses(spark, spec):
         catalog.tool_catalog(specs(spark, spec)).collect()
 
 
+def test_required_as_text(spark):
+    """Truth values in words count; numbers and truth values are no types."""
+    given = {w: {"type": "t", "description": "d", "required": w} for w in ("false", "No", "off", "0", "true", "YES", "1")}
+    spec = json.dumps({"name": "a", "parameters": given})
+    (row,) = catalog.tool_catalog(specs(spark, spec)).collect()
+    assert [p["required"] for p in row.parameters] == [False] * 4 + [True] * 3
+    for value in (5, True, 1.5):
+        with pytest.raises(Exception, match="number or truth value"):
+            catalog.tool_catalog(specs(spark, json.dumps({"name": "a", "parameters": {"x": value}}))).collect()
+    with pytest.raises(Exception, match="unclear `required`"):
+        catalog.tool_catalog(specs(spark, spec.replace('"YES"', '"perhaps"'))).collect()
+
+
+def test_calls_held_in_strings(spark):
+    """A call given as a string stays a string, the text null included."""
+    answers = [
+        '[{"user_query": "q", "expected_tool_call": "{\\"name\\": \\"a\\"}"}, {"user_query": "q", "expected_tool_call": {"name": "a"}}]',
+        '[{"user_query": "q", "expected_tool_call": "null"}, {"user_query": "q", "expected_tool_call": null}]',
+    ]
+    frame = spark.createDataFrame([(str(i), a) for i, a in enumerate(answers)], "prompt_id string, raw string")
+    rows = sorted(responses.ingest_responses(frame).collect(), key=lambda r: (r.prompt_id, r.pos))
+    assert [r.expected_tool_call for r in rows] == ['"{\\"name\\": \\"a\\"}"', '{"name":"a"}', '"null"', None]
+
+
 def test_schema(spark):
     tools = catalog.tool_catalog(specs(spark, TOOL, '{"name": "b"}'))
     listed = lambda t: spark.range(1).select(catalog.schema_list(t).alias("s")).first().s

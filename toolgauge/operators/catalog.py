@@ -8,6 +8,11 @@ from toolgauge.functions import json_text as J
 from toolgauge.functions.stage import computed
 
 
+# Texts that stand for a truth value.
+TRUE_WORDS = ("true", "t", "yes", "y", "on", "1")
+FALSE_WORDS = ("false", "f", "no", "n", "off", "0")
+
+
 def tool_catalog(specs: DataFrame) -> DataFrame:
     """Normalise rows of (tool_ord, spec JSON) into the catalog.
 
@@ -38,7 +43,15 @@ def tool_catalog(specs: DataFrame) -> DataFrame:
         _given=J.object_fields(fields["parameters"]),
         _has_params=has_params,
     )
+    # A bare value must be a string: 5 and true print as texts, too.
+    kinds = F.map_entries(F.from_json("spec", "parameters map<string,variant>", J.OPTIONS)["parameters"])
+    unquoted = F.exists(
+        kinds, lambda e: ~F.schema_of_variant(e["value"]).rlike("^(STRING|OBJECT|ARRAY|VOID)")
+    )
     params = F.when(
+        F.col("_has_params") & F.coalesce(unquoted, F.lit(False)),
+        F.raise_error(F.concat(F.lit("a parameter is a number or truth value in "), F.col("name"))),
+    ).when(
         F.col("_has_params"),
         _must(
             J.unique_entries(F.col("_given")),
@@ -56,8 +69,9 @@ def _must(value: Column, message: Column) -> Column:
 
 def _parameter(entry: Column) -> Column:
     given = F.from_json(
-        entry["value"], "type string, description string, required boolean", J.OPTIONS
+        entry["value"], "type string, description string, required string", J.OPTIONS
     )
+    word = F.lower(given["required"])
     bare = ~F.startswith(F.coalesce(entry["value"], F.lit("")), F.lit("{"))
     listed = F.startswith(F.coalesce(entry["value"], F.lit("")), F.lit("["))
     is_list = F.concat(F.lit("parameter "), entry["key"], F.lit(" is no object but a list"))
@@ -77,7 +91,11 @@ def _parameter(entry: Column) -> Column:
         .alias("type"),
         F.when(bare, F.lit("")).otherwise(field("description")).alias("description"),
         F.when(bare, F.lit(True))
-        .otherwise(F.coalesce(given["required"], F.lit(True)))
+        .otherwise(
+            F.when(word.isNull() | word.isin(*TRUE_WORDS), True)
+            .when(word.isin(*FALSE_WORDS), False)
+            .otherwise(F.raise_error(F.concat(F.lit("unclear `required` of parameter "), entry["key"])))
+        )
         .alias("required"),
     )
 

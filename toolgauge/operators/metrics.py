@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from toolgauge.session import settle
 
 
 def _ratio(part: Column, whole: Column) -> Column:
@@ -54,14 +55,22 @@ def tool_history(
 ) -> DataFrame:
     """`per_tool_accuracy` for every evaluation, one row per evaluation and tool.
 
-    Kept long, like the run log. Every evaluation pairs with every catalog tool, which is
-    the result itself; both sides of that join are as small as the counts.
+    Kept long, like the run log. Rows are scored and counted once; all else reads the counts.
+    """
+    return history_of_counts(settle(tool_counts(scored, keys)), catalog, keys)
+
+
+def history_of_counts(counts: DataFrame, catalog: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The same from stored counts per evaluation and tool.
+
+    Every evaluation pairs with every catalog tool, which is the result itself: the names
+    are one value, generated next to each evaluation.
     """
     keys = list(keys)
-    known = catalog.select(F.col("name").alias("tool"), F.lit(0).alias("_one")).distinct()
-    counts = tool_counts(scored, keys)
-    runs = counts.select(*keys, F.lit(0).alias("_one")).distinct()
-    none = runs.join(known, "_one").select(*keys, "tool", F.lit(0).alias("total"), F.lit(0).alias("correct"))
+    names = catalog.agg(F.collect_set("name").alias("names")).scalar()
+    none = counts.select(*keys).distinct().select(
+        *keys, F.explode(names).alias("tool"), F.lit(0).alias("total"), F.lit(0).alias("correct")
+    )
     return (
         counts.unionByName(none)
         .groupBy(*keys, "tool")
@@ -70,6 +79,17 @@ def tool_history(
     )
 
 
+def run_log(scored: DataFrame, catalog: DataFrame) -> DataFrame:
+    """One row per run, iteration and tool, with the iteration's and the run's best accuracy."""
+    keys = ["run_id", "iteration"]
+    counts = settle(tool_counts(scored, keys))
+    whole = counts.groupBy(*keys).agg(F.sum("total").alias("total"), F.sum("correct").alias("correct"))
+    history = whole.withColumn("overall_accuracy", _ratio(F.col("correct"), F.col("total")))
+    return history_of_counts(counts, catalog, keys).join(best_of_runs(history), keys).select(
+        *keys, "overall_accuracy", "best_accuracy", "tool", "accuracy"
+    )
+
+
 def iteration_summary(
     scored: DataFrame, patch_rows: DataFrame, keys: Sequence[str] = ("run_id", "iteration")
 ) -> DataFrame:

@@ -40,9 +40,20 @@ def _parse_items(cleaned: DataFrame) -> DataFrame:
     items = F.when(closed, F.get("_objects", F.lit(0))).when(
         F.startswith(F.ltrim(text), F.lit("[")) & J.is_json(text), _mixed_items(text)
     )
-    return computed(computed(parsed, _items=items), _usable=_first_bad(F.col("_items"))).drop(
-        "_objects"
-    )
+    return computed(
+        computed(parsed, _items=items), _usable=_first_bad(F.col("_items")), _quoted=_quoted_calls(text)
+    ).drop("_objects")
+
+
+def _quoted_calls(text: Column) -> Column:
+    """Per item, whether its call is a string (that may hold JSON) and no object.
+
+    NULL where the text shows no such call, which spares the second parse.
+    """
+    variants = F.get(_array_of(text, _VARIANTS, '"1"'), F.lit(0))
+    call = F.transform(variants, lambda item: F.try_variant_get(item, "$.expected_tool_call", "variant"))
+    quoted = F.transform(call, lambda one: F.coalesce(F.schema_of_variant(one) == "STRING", F.lit(False)))
+    return F.when(text.rlike(r'"expected_tool_call"\s*:\s*"'), quoted)
 
 
 def _mixed_items(text: Column) -> Column:
@@ -75,16 +86,19 @@ def _first_bad(items: Column) -> Column:
 
 def _examples(kept: DataFrame, columns: list[str]) -> DataFrame:
     """One row per item: a single user message and the expected call."""
-    rows = kept.select(*columns, F.posexplode("_items").alias("pos", "_fields")).withColumn(
+    rows = kept.select(*columns, "_quoted", F.posexplode("_items").alias("pos", "_fields")).withColumn(
         "_item", J.unique_fields(F.col("_fields"))
     )
     query = F.col("_item")["user_query"]
+    call = F.col("_item")["expected_tool_call"]
+    is_text = F.coalesce(F.get("_quoted", F.col("pos")), F.lit(False))
     return rows.select(
         *columns,
         "pos",
         F.array(F.struct(F.lit("user").alias("role"), query.alias("content"))).alias("messages"),
         query.alias("user_query"),
-        F.col("_item")["expected_tool_call"].alias("expected_tool_call"),
+        # A call given as a string stays one: quoted text, and no call that could be scored.
+        F.when(is_text, J.json_string(call)).otherwise(call).alias("expected_tool_call"),
     )
 
 

@@ -41,7 +41,10 @@ def expected_lanes(examples: DataFrame) -> DataFrame:
                 | (F.trim("expected_tool_call") == "null"),
                 F.lit("negative"),
             )
-            .when(~J.call_closed(call) | F.col("tool").isNull(), F.lit("reject"))
+            .when(
+                ~J.call_closed(call) | F.col("tool").isNull() | J.foreign_numbers(F.col("expected_tool_call")),
+                F.lit("reject"),
+            )
             .otherwise(F.lit("scored")),
         )
         .drop("_expected_call")
@@ -58,6 +61,21 @@ def example_rejects(examples: DataFrame) -> DataFrame:
     return expected_lanes(examples).filter(F.col("lane") == "reject").drop("lane", "tool")
 
 
+def evaluation_grid(examples: DataFrame, evaluations: DataFrame, shared: Sequence[str], key: str) -> DataFrame:
+    """Each example once for every evaluation of the set it belongs to, under `key`.
+
+    `shared` names the set (e.g. the run), `key` tells the evaluations of one set apart (e.g.
+    the iteration). A set's evaluations are as many as the iteration limit allows, so they
+    travel as one short list per set; the copies of an example are generated next to it and
+    then meet their predictions by (shared, key, ord). Sets without an evaluation have no rows.
+    """
+    shared = list(shared)
+    lists = evaluations.groupBy(*shared).agg(F.sort_array(F.collect_set(key)).alias("_keys"))
+    return (
+        examples.drop(key).join(lists, shared).withColumn(key, F.explode("_keys")).drop("_keys")
+    )
+
+
 def with_predictions(
     examples: DataFrame, predictions: DataFrame, keys: Sequence[str] = ()
 ) -> DataFrame:
@@ -94,7 +112,9 @@ def score_calls(pairs: DataFrame) -> DataFrame:
         "_text",
         (J.call_closed(F.col("_p")) & ~J.foreign_numbers(F.col("_text"))).alias("_p_closed"),
         predicted["name"].alias("_p_name"),
-        F.when(J.call_closed(F.col("_e")), expected["name"]).alias("tool"),
+        F.when(
+            J.call_closed(F.col("_e")) & ~J.foreign_numbers(F.col("expected_tool_call")), expected["name"]
+        ).alias("tool"),
         J.unique_fields(predicted["arguments"]).alias("_p_args"),
         J.unique_entries(expected["arguments"]).alias("_e_args"),
     )

@@ -13,6 +13,8 @@ from toolgauge.functions.stage import computed
 
 EVENTS_PER_RUN = 1000
 ITERATIONS = 10
+# A run's set is evaluated in so many iterations at most.
+EVALUATIONS = 3
 
 _MESSAGES = "array(named_struct('role', 'user', 'content', user_query)) AS messages"
 
@@ -75,12 +77,35 @@ def mixed_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a model answered to every example: sixteen kinds of right and wrong text."""
+    return _predicted(_event_fields(spark, sf_dir).withColumn("kind", F.expr("event_id % 16"))).select(
+        "ord", "predicted"
+    )
+
+
+def evaluations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which iterations each run had: one to EVALUATIONS of them."""
+    runs = table(spark, sf_dir, "events").selectExpr(f"event_id DIV {EVENTS_PER_RUN} AS run_id").distinct()
+    return runs.selectExpr("run_id", f"explode(sequence(1, CAST(run_id % {EVALUATIONS} + 1 AS INT))) AS iteration")
+
+
+def iteration_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Answers of each iteration to the set of its run: other kinds each time, some absent."""
+    asked = _event_fields(spark, sf_dir).drop("iteration").join(evaluations(spark, sf_dir), "run_id")
+    answered = asked.filter("(event_id + iteration) % 11 <> 0").withColumn(
+        "kind", F.expr("(event_id + 5 * iteration) % 16")
+    )
+    return _predicted(answered).select("run_id", "iteration", "ord", "predicted")
+
+
+def _predicted(events: DataFrame) -> DataFrame:
+    """Events with `ord` and the text `predicted` for their `kind`."""
     web = """if(channel = '', '', ', "channel": "WEB"')"""
     fence = "```"
     return (
-        _event_fields(spark, sf_dir)
-        .selectExpr("*", f"{_call('event_type', 'k', 'cents')} AS exact", "event_id % 16 AS kind")
+        events
+        .selectExpr("*", f"{_call('event_type', 'k', 'cents')} AS exact")
         .selectExpr(
+            "*",
             "event_id AS ord",
             f"""CASE
             WHEN kind <= 5 THEN exact

@@ -87,6 +87,29 @@ scored AS (
 )"""
 )
 
+# The whole set of a run in each of its iterations; what was not answered is empty text.
+_ANSWERED = "(event_id + it) % 11 <> 0"
+EVALUATED = (
+    SCORED.replace("event_id % 16", "(event_id + 5 * it) % 16")
+    .replace("SELECT ord, run_id, iteration, id, user_query", "SELECT ord, run_id, it AS iteration, id, user_query")
+    .replace("CASE WHEN (event_id + 5 * it) % 16 <= 5", f"CASE WHEN NOT ({_ANSWERED}) THEN '' WHEN (event_id + 5 * it) % 16 <= 5")
+    .replace(
+        "FROM ex WHERE expected_tool_call IS NOT NULL",
+        "FROM (SELECT *, unnest(generate_series(1, run_id % 3 + 1)) AS it FROM ex) WHERE expected_tool_call IS NOT NULL",
+    )
+)
+EVALUATED_HISTORY = (
+    EVALUATED
+    + """,
+history AS (
+  SELECT run_id, iteration, count(*) AS total, count(*) FILTER (is_correct) AS correct,
+         count(*) FILTER (NOT is_correct) AS failure_count,
+         CAST(count(*) FILTER (is_correct) AS DOUBLE) / count(*) AS overall_accuracy,
+         count(*) FILTER (predicted = '') AS absent
+  FROM scored GROUP BY ALL
+)"""
+)
+
 HISTORY = (
     SCORED
     + """,
@@ -207,6 +230,32 @@ ranked AS MATERIALIZED (
 ),
 core AS MATERIALIZED (SELECT ord, dist AS core FROM ranked WHERE place = 5)"""
 
+# The same with no more rows than the neighbours that are asked for.
+NEAREST = NEIGHBORS.replace(
+    "FROM vec a JOIN vec b ON a.ord <> b.ord", "FROM vec a JOIN vec b ON a.ord <> b.ord QUALIFY place <= 5"
+)
+
+_TOOL_HISTORY = """
+runs AS (SELECT DISTINCT run_id, iteration FROM scored),
+wanted AS (
+  SELECT run_id, iteration, name AS tool FROM runs, tools
+  UNION SELECT run_id, iteration, tool FROM scored
+)
+SELECT run_id, iteration, tool, count(s.ord) AS total, count(*) FILTER (s.is_correct) AS correct,
+       coalesce(CAST(count(*) FILTER (s.is_correct) AS DOUBLE) / nullif(count(s.ord), 0), 0.0) AS accuracy
+FROM wanted LEFT JOIN scored s USING (run_id, iteration, tool) GROUP BY ALL"""
+
+_PROGRESS = """,
+p AS (
+  SELECT run_id, iteration, overall_accuracy,
+         greatest(max(overall_accuracy) OVER (PARTITION BY run_id ORDER BY iteration), 0.0) AS best_accuracy,
+         max(overall_accuracy) OVER (PARTITION BY run_id ORDER BY iteration
+             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS earlier
+  FROM history
+)
+SELECT run_id, iteration, overall_accuracy, best_accuracy,
+       overall_accuracy > coalesce(earlier, 0.0) AS improved FROM p"""
+
 _SCHEMA_HEAD = """'{"type":"function","function":{"name":"' || name || '","description":"' || description || '","parameters":{"type":"object","properties":{'"""
 
 SQL: dict[str, str] = {
@@ -322,30 +371,30 @@ FROM ex WHERE expected_tool_call IS NOT NULL""",
     "eval_prompts": """
 SELECT conv_id, '<|im_start|>user' || chr(10) || text || '<|im_end|>' || chr(10) || '<|im_start|>assistant' || chr(10) AS prompt
 FROM conversations QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn) = 1""",
-    "tool_history": f"""WITH {SCORED}, {EVENT_CATALOG},
-runs AS (SELECT DISTINCT run_id, iteration FROM scored),
-wanted AS (
-  SELECT run_id, iteration, name AS tool FROM runs, tools
-  UNION SELECT run_id, iteration, tool FROM scored
-)
-SELECT run_id, iteration, tool, count(s.ord) AS total, count(*) FILTER (s.is_correct) AS correct,
-       coalesce(CAST(count(*) FILTER (s.is_correct) AS DOUBLE) / nullif(count(s.ord), 0), 0.0) AS accuracy
-FROM wanted LEFT JOIN scored s USING (run_id, iteration, tool) GROUP BY ALL""",
+    "tool_history": f"WITH {SCORED}, {EVENT_CATALOG}, {_TOOL_HISTORY}",
+    "evaluation_history": f"WITH {EVALUATED}, {EVENT_CATALOG}, {_TOOL_HISTORY}",
+    "evaluation_summary": f"WITH {EVALUATED_HISTORY} SELECT * FROM history",
+    "evaluation_progress": f"WITH {EVALUATED_HISTORY}{_PROGRESS}",
+    "clusters_over_iterations": """
+WITH vf AS (
+  SELECT vec_id AS ord, vec_id % 3 + 1 AS iteration,
+         ['wrong_tool', 'missing_param', 'wrong_param_value', 'hallucinated_param'][(label + vec_id % 3) % 4 + 1] AS error_type,
+         CASE WHEN label = 9 THEN -1 ELSE label END AS cluster_id
+  FROM embeddings),
+errors AS (
+  SELECT iteration, cluster_id, error_type,
+         row_number() OVER (PARTITION BY iteration, cluster_id ORDER BY count(*) DESC, error_type) AS place
+  FROM vf GROUP BY iteration, cluster_id, error_type)
+SELECT iteration, cluster_ord, cluster_id,
+       CASE WHEN cluster_id = -1 THEN 'noise_outliers' ELSE 'Cluster_' || cluster_id || '_' || error_type END AS label
+FROM (SELECT iteration, cluster_id, min(ord) AS cluster_ord FROM vf GROUP BY ALL) JOIN errors USING (iteration, cluster_id)
+WHERE place = 1""",
     "iteration_summary": f"""WITH {HISTORY}, {RESPONSES.split(EVENTS + ',', 1)[1]},
 added AS (SELECT run_id, iteration, count(*) AS n FROM patches GROUP BY ALL)
 SELECT run_id, iteration, total, correct, failure_count, overall_accuracy,
        coalesce(n, 0) AS appended_rows, 'maker-model-3b-v' || iteration AS checkpoint
 FROM history LEFT JOIN added USING (run_id, iteration)""",
-    "run_progress": f"""WITH {HISTORY},
-p AS (
-  SELECT run_id, iteration, overall_accuracy,
-         greatest(max(overall_accuracy) OVER (PARTITION BY run_id ORDER BY iteration), 0.0) AS best_accuracy,
-         max(overall_accuracy) OVER (PARTITION BY run_id ORDER BY iteration
-             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS earlier
-  FROM history
-)
-SELECT run_id, iteration, overall_accuracy, best_accuracy,
-       overall_accuracy > coalesce(earlier, 0.0) AS improved FROM p""",
+    "run_progress": f"WITH {HISTORY}{_PROGRESS}",
     "stop_decision": f"""WITH {HISTORY},
 s AS (
   SELECT *, CASE WHEN overall_accuracy >= CAST(0.6 AS DOUBLE) THEN 'target_reached'
@@ -357,11 +406,11 @@ SELECT run_id, iteration, overall_accuracy, failure_count, stop_reason FROM s
 WHERE iteration <= coalesce((SELECT min(iteration) FROM s t WHERE t.run_id = s.run_id AND t.stop_reason <> 'continue'), 8)""",
     "cluster_summary": f"WITH {VECTOR_FAILURES} SELECT cluster_id, label, size, cluster_ord FROM summary",
     "clusters_handled": f"WITH {VECTOR_FAILURES} SELECT cluster_ord, cluster_id, label FROM summary",
-    "core_distances": f"WITH {NEIGHBORS} SELECT ord, round(core, 6) AS core_distance FROM core",
-    "mutual_reachability": f"""WITH {NEIGHBORS}
+    "core_distances": f"WITH {NEAREST} SELECT ord, round(core, 6) AS core_distance FROM core",
+    "mutual_reachability": f"""WITH {NEAREST}
 SELECT r.ord, r.neighbor, round(r.dist, 6) AS distance,
        round(greatest(r.dist, a.core, b.core), 6) AS reachability
-FROM ranked r JOIN core a ON a.ord = r.ord JOIN core b ON b.ord = r.neighbor WHERE r.place <= 5""",
+FROM ranked r JOIN core a ON a.ord = r.ord JOIN core b ON b.ord = r.neighbor""",
     "mst_weights": f"""WITH RECURSIVE {NEIGHBORS},
 reach AS MATERIALIZED (
   SELECT r.ord AS a, r.neighbor AS b, greatest(r.dist, x.core, y.core) AS w

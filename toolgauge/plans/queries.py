@@ -152,10 +152,7 @@ def patch_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log as rows: per run, iteration and tool, with the best accuracy of the run."""
-    best = metrics.best_of_runs(_history(spark, sf_dir))
-    return tool_history(spark, sf_dir).join(best, ["run_id", "iteration"]).select(
-        "run_id", "iteration", "overall_accuracy", "best_accuracy", "tool", "accuracy"
-    )
+    return metrics.run_log(_scored(spark, sf_dir), _event_catalog(spark, sf_dir))
 
 
 def failure_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -191,6 +188,40 @@ def stop_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.stop_decision(_history(spark, sf_dir), TARGET, MAX_ITERATIONS)
 
 
+def _evaluated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole set of a run scored in each of its iterations, predicted or not."""
+    grid = scoring.evaluation_grid(
+        inputs.eval_examples(spark, sf_dir), inputs.evaluations(spark, sf_dir), ["run_id"], "iteration"
+    )
+    predictions = inputs.iteration_predictions(spark, sf_dir)
+    return scoring.score_calls(scoring.with_predictions(grid, predictions, ["run_id", "iteration"]))
+
+
+def evaluation_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accuracy per tool of one set in several iterations; an absent prediction is a failure."""
+    return metrics.tool_history(_evaluated(spark, sf_dir), _event_catalog(spark, sf_dir))
+
+
+def evaluation_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accuracy per iteration of one set, and how many of its examples were not answered."""
+    scored = _evaluated(spark, sf_dir).withColumn("absent", F.col("predicted").isNull().cast("long"))
+    keys = ["run_id", "iteration"]
+    scored = settle(scored.select(*keys, "is_correct", "absent"))
+    absent = scored.groupBy(*keys).agg(F.sum("absent").alias("absent"))
+    return metrics.overall_accuracy(scored, keys).join(absent, keys)
+
+
+def evaluation_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best accuracy so far over the iterations of one set."""
+    return metrics.run_progress(metrics.overall_accuracy(_evaluated(spark, sf_dir), ["run_id", "iteration"]))
+
+
+def clusters_over_iterations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clusters patched in each iteration, in order; a label may come again in a later one."""
+    members = inputs.vector_failures(spark, sf_dir).withColumn("iteration", F.col("ord") % inputs.EVALUATIONS + 1)
+    return clusters.handled(clusters.summarise(members, "iteration"), "iteration")
+
+
 def cluster_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clusters.summarise(inputs.vector_failures(spark, sf_dir))
 
@@ -281,8 +312,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         iteration_summary,
         run_progress,
         stop_decision,
+        evaluation_history,
+        evaluation_summary,
+        evaluation_progress,
         cluster_summary,
         clusters_handled,
+        clusters_over_iterations,
         patch_prompts,
         failure_vectors,
         core_distances,
