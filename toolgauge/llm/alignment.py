@@ -35,8 +35,9 @@ from toolgauge.llm import bpe, rows, tokens
 from toolgauge.session import settle
 
 # Bytes of remembered pieces and what is known about them, roughly, after which a worker forgets
-# those not asked for since the last time. It holds twice as much at most.
-_HELD = 64 << 20
+# those that were asked for only once; _EACH for every piece besides its texts and pairs.
+_HELD = 160 << 20
+_EACH = 260
 # Pieces of more characters are not remembered.
 _LONG = 256
 # Pieces of more characters go without offsets.
@@ -99,13 +100,29 @@ class Aligner:
                 raise ValueError("a piece reaches across a space: texts cannot be cut there")
             self.bytes_b.append(bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode())
         self.table_a, self.table_b = _table(self.bytes_a), _table(self.bytes_b)
+        self.names: list[str] = []
+        self._new: list[tuple] = []
         self.forget()
 
     def forget(self) -> None:
-        """Keep what was asked for since the last time only."""
-        self.before: dict[str, tuple | None] = getattr(self, "known", {})
-        self.known: dict[str, tuple | None] = {}
-        self.held = 0
+        """Start anew with the pieces that were asked for more than once since the last time."""
+        kept = [i for i in np.flatnonzero(self.uses >= 2).tolist() if len(self.names[i]) <= _LONG] if self.names else []
+        names, facts, flat, said, heavy = (
+            ([], np.zeros((0, 6), np.int64), np.zeros(0, np.int64), [], {})
+            if not kept
+            else (self.names, self.facts, self.flat, self.said, self.heavy)
+        )
+        at = np.array(kept, np.int64)
+        self.names = [names[i] for i in kept]
+        self.place = {name: i for i, name in enumerate(self.names)}
+        self.said = [said[i] for i in kept]
+        # Per piece: tokens of A (-1: none) and B, groups, links, different runs of pairs: start and size.
+        self.facts = facts[at]
+        self.flat = flat[_runs(self.facts[:, 4], self.facts[:, 5])]
+        self.facts[:, 4] = np.cumsum(self.facts[:, 5]) - self.facts[:, 5]
+        self.heavy = {i: heavy[k] for i, k in enumerate(kept) if k in heavy}
+        self.uses = np.zeros(len(kept), np.int64)
+        self.held = sum(map(len, self.said)) + sum(map(len, self.names)) + _EACH * len(kept)
 
     def spans(self, text: str, at: np.ndarray) -> tuple[tuple, tuple]:
         """For both: ids, where tokens end by their spans, and whether a span says so: inside a
@@ -124,31 +141,46 @@ class Aligner:
         coded = self.a.encode(f" {text}", add_special_tokens=False).ids, self.b.encode(text, return_type=int)
         return tuple((np.array(ids, np.int64), np.zeros(len(ids), np.int64), np.zeros(len(ids), bool)) for ids in coded)
 
-    def layout(self, pieces: list[str]) -> list[tuple | None]:
-        """For each: numbers of A's and B's tokens, groups and links, its linked id pairs (and how
-        often each, if not once), the groups as text; None where the tokens do not make it up."""
-        found: dict[str, tuple | None] = {}
+    def learn(self, pieces: list[str]) -> None:
+        """Lay out new pieces and remember them."""
         plain, alone = [], []
         for piece in pieces:
             if "▁" in piece:
-                found[piece] = None  # a space to B
+                self._add([piece], None)  # a space to B
             elif len(piece) > _SILENT or piece[0].isspace() or piece[-1].isspace():
                 alone.append(piece)
             else:
                 plain.append(piece)
         for k in range(0, len(plain), _JOINED):
             chunk = plain[k : k + _JOINED]
-            layouts = self._together(chunk)
-            if layouts is None:
+            found = self._together(chunk)
+            if found is None:
                 alone += chunk
             else:
-                found.update(zip(chunk, layouts))
+                self._add(chunk, found)
         for piece in alone:
-            found[piece] = (self._together([piece]) or [None])[0]
-        return [found[piece] for piece in pieces]
-
-    def _together(self, pieces: list[str]) -> list[tuple] | None:
-        """Layouts of pieces that can be read as one text; None where its tokens do not make it up."""
+            self._add([piece], self._together([piece]))
+        if self._new:
+            self.facts = np.concatenate([self.facts, *(facts for facts, _ in self._new)])
+            self.flat = np.concatenate([self.flat, *(pairs for _, pairs in self._new)])
+            self.facts[:, 4] = np.cumsum(self.facts[:, 5]) - self.facts[:, 5]
+            self.uses = np.concatenate([self.uses, np.zeros(len(self.facts) - len(self.uses), np.int64)])
+            self._new = []
+
+    def _add(self, pieces: list[str], found: tuple | None) -> None:
+        if found is None:
+            found = np.tile([-1, 0, 0, 0, 0, 0], (len(pieces), 1)), np.zeros(0, np.int64), [b""] * len(pieces), {}
+        facts, pairs, said, heavy = found
+        first = len(self.names)
+        self.place.update(zip(pieces, range(first, first + len(pieces))))
+        self.names += pieces
+        self.said += said
+        self.heavy.update((first + i, times) for i, times in heavy.items())
+        self._new.append((facts, pairs))
+        self.held += sum(map(len, said)) + sum(map(len, pieces)) + 8 * len(pairs) + _EACH * len(pieces)
+
+    def _together(self, pieces: list[str]) -> tuple | None:
+        """Layout of pieces that can be read as one text; None where its tokens do not make it up."""
         text = " ".join(pieces)
         data = np.frombuffer(f" {text}".encode(), np.uint8)
         codes = np.frombuffer(f" {text}".encode("utf-32-le"), "<u4")
@@ -166,7 +198,9 @@ class Aligner:
         return self._grouped(sides, stops)
 
     @staticmethod
-    def _grouped(sides, stops) -> list[tuple]:
+    def _grouped(sides, stops) -> tuple:
+        """Facts about each piece, its linked id pairs, its groups as text, and for pieces with
+        long groups how often each pair is linked."""
         (ids_a, ends_a), (ids_b, ends_b) = sides
         cuts = np.intersect1d(ends_a, ends_b, assume_unique=True)
         of_a, of_b = np.searchsorted(cuts, ends_a), np.searchsorted(cuts, ends_b)
@@ -191,42 +225,61 @@ class Aligner:
             order = np.argsort(owners, kind="stable")
             pairs, times, owners = pairs[order], times[order], owners[order]
         pieces = np.arange(len(stops) + 1)
-        pair_at = np.searchsorted(owners, pieces).tolist()
-        group_at = np.searchsorted(owner, pieces).tolist()
-        links = np.concatenate([[0], np.cumsum(product)])[group_at].tolist()
-        a_at, b_at = [0, *np.cumsum(size_a).tolist()], [0, *np.cumsum(size_b).tolist()]
+        pair_at, group_at = np.searchsorted(owners, pieces), np.searchsorted(owner, pieces)
+        a_at, b_at = np.concatenate([[0], np.cumsum(size_a)]), np.concatenate([[0], np.cumsum(size_b)])
+        links = np.concatenate([[0], np.cumsum(product)])
+        facts = np.stack(
+            [np.diff(a_at[group_at]), np.diff(b_at[group_at]), np.diff(group_at), np.diff(links[group_at]),
+             pair_at[:-1], np.diff(pair_at)], axis=1,
+        )
+        heavy = {i: times[pair_at[i] : pair_at[i + 1]] for i in np.flatnonzero(facts[:, 3] != facts[:, 5]).tolist()}
         a, b = list(map(str, ids_a.tolist())), list(map(str, ids_b.tolist()))
+        a_at, b_at, group_at = a_at.tolist(), b_at.tolist(), group_at.tolist()
         said = [f"{','.join(a[i:j])}|{','.join(b[k:m])}" for i, j, k, m in zip(a_at, a_at[1:], b_at, b_at[1:])]
-        return [
-            (a_at[j] - a_at[i], b_at[j] - b_at[i], j - i, last - first,
-             pairs[u:v].copy(), times[u:v].copy() if last - first != v - u else None, ";".join(said[i:j]).encode())
-            for i, j, u, v, first, last in zip(group_at, group_at[1:], pair_at, pair_at[1:], links, links[1:])
-        ]
-
-    def documents(self, texts: list[str]) -> list[list[tuple] | None]:
-        """For each text the layouts of its pieces; None where it has no tokens."""
+        joined = [";".join(said[i:j]).encode() for i, j in zip(group_at, group_at[1:])]
+        return facts, pairs, joined, heavy
+
+    def documents(self, texts: list[str]) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray, np.ndarray]:
+        """Per text: numbers of A's and B's tokens, groups and links; the digest of its groups.
+        Per text and different linked pair, in order: number of the text, pair, how often."""
         split = [(_CUT.split(text) if _ODD.search(text) else text.split(" ")) if text else [] for text in texts]
-        new = []
-        for piece in set(chain.from_iterable(split)) - self.known.keys():
-            if piece in self.before:
-                self._keep(piece, self.before[piece])
-            else:
-                new.append(piece)
-        for piece, found in zip(new, self.layout(new)):
-            self._keep(piece, found)
-        known = self.known
-        out = [list(map(known.__getitem__, pieces)) for pieces in split]
-        for piece in new:
-            if len(piece) > _LONG:
-                del known[piece]
+        new = list(dict.fromkeys(chain.from_iterable(split)).keys() - self.place.keys())
+        if new:
+            self.learn(new)
+        counts = np.fromiter(map(len, split), np.int64, len(split))
+        at = np.fromiter(map(self.place.__getitem__, chain.from_iterable(split)), np.int64, int(counts.sum()))
+        self.uses += np.bincount(at, minlength=len(self.uses))
+        owner = np.repeat(np.arange(len(texts)), counts)
+        whole = counts > 0
+        whole[owner[self.facts[at, 0] < 0]] = False
+        at, owner = at[whole[owner]], owner[whole[owner]]
+        totals = np.zeros((len(texts), 4), np.int64)
+        if len(at):
+            first = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
+            totals[owner[first]] = np.add.reduceat(self.facts[at, :4], first, axis=0)
+        begin = np.cumsum(np.where(whole, counts, 0)).tolist()
+        numbers = list(map(self.said.__getitem__, at.tolist()))
+        hashes = [
+            hashlib.sha256(b";".join(numbers[i:j])).hexdigest() if ok else ""
+            for i, j, ok in zip([0, *begin], begin, whole.tolist())
+        ]
+        sizes = self.facts[at, 5]
+        linked = self.flat[_runs(self.facts[at, 4], sizes)]
+        owners = np.repeat(owner, sizes)
+        different, number = np.unique(linked, return_inverse=True)
+        if self.heavy and (hot := np.flatnonzero(np.isin(at, list(self.heavy)))).size:
+            often, starts = np.ones(len(linked), np.int64), np.cumsum(sizes) - sizes
+            for j in hot.tolist():
+                often[starts[j] : starts[j] + sizes[j]] = self.heavy[int(at[j])]
+            found, where = np.unique(owners * len(different) + number, return_inverse=True)
+            times = np.zeros(len(found), np.int64)
+            np.add.at(times, where, often)
+        else:
+            found, times = np.unique(owners * len(different) + number, return_counts=True)
+        owners, number = np.divmod(found, max(1, len(different)))
         if self.held > _HELD:
             self.forget()
-        return [None if not layouts or any(one is None for one in layouts) else layouts for layouts in out]
-
-    def _keep(self, piece: str, found: tuple | None) -> None:
-        self.known[piece] = found
-        if len(piece) <= _LONG:
-            self.held += 400 + 30 * len(piece)
+        return totals, hashes, owners, different[number], times
 
 
 def load(path_a: str, path_b: str) -> Aligner:
@@ -255,32 +308,11 @@ def aligned_blocks(texts: DataFrame, path_a: str, path_b: str) -> DataFrame:
         block = TaskContext.get().partitionId() << 32
         for batch in rows.parts(batches, "text", 2 << 20):
             texts = batch.column("text").to_pylist()
-            found, sizes, pairs, times, hashes = [], [], [], [], []
-            for layouts in aligner.documents(texts):
-                found.append(tuple(sum(column) for column in zip(*(one[:4] for one in layouts))) if layouts else (0,) * 4)
-                if layouts:
-                    linked = np.concatenate([one[4] for one in layouts])
-                    if all(one[5] is None for one in layouts):
-                        keys, counts = np.unique(linked, return_counts=True)
-                    else:
-                        keys, where = np.unique(linked, return_inverse=True)
-                        counts = np.zeros(len(keys), np.int64)
-                        often = [np.ones(len(one[4]), np.int64) if one[5] is None else one[5] for one in layouts]
-                        np.add.at(counts, where, np.concatenate(often))
-                    hashes.append(hashlib.sha256(b";".join(one[6] for one in layouts)).hexdigest())
-                else:
-                    keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
-                    hashes.append("")
-                sizes.append(len(keys))
-                pairs.append(keys)
-                times.append(counts)
-            flat = np.concatenate([np.zeros(0, np.int64), *pairs])
-            pair, which, holders = np.unique(flat, return_inverse=True, return_counts=True)
-            columns = list(zip(*found)) or [()] * 4
+            totals, hashes, owner, linked, times = aligner.documents(texts)
+            pair, which, holders = np.unique(linked, return_inverse=True, return_counts=True)
             row = [
-                block, batch.column("doc_id").to_pylist(), *map(list, columns), hashes, sizes,
-                which.astype("<u4").tobytes(), np.concatenate([np.zeros(0, np.int64), *times]).astype("<i8").tobytes(),
-                pair, holders,
+                block, batch.column("doc_id").to_pylist(), *totals.T, hashes, np.bincount(owner, minlength=len(texts)),
+                which.astype("<u4").tobytes(), times.astype("<i8").tobytes(), pair, holders,
             ]
             block += 1
             yield pa.RecordBatch.from_arrays([pa.array([value], field.type) for value, field in zip(row, arrow)], schema=arrow)
