@@ -154,18 +154,23 @@ def tokenize(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
         part, before = TaskContext.get().partitionId(), 0
         counts = np.zeros(1 << 16, np.int64)
         for batch in rows.parts(batches, "text"):
-            low, high, starts, all_ids = [], [], [], []
-            for ids in encode(batch.column("text").to_pylist()):
-                ids = np.append(ids, np.uint16(end_id))
-                pair = ids.astype("<u2").view(np.uint8)
-                low.append(pair[0::2].tobytes())
-                high.append(pair[1::2].tobytes())
-                starts.append(before)
-                before += len(ids)
-                all_ids.append(ids)
-            counts += np.bincount(np.concatenate(all_ids), minlength=1 << 16)
-            n = len(low)
-            columns = ([part] * n, starts, batch.column("doc_id"), low, high, [None] * n)
+            found = encode(batch.column("text").to_pylist())
+            # All ids of the batch, each document's followed by the end id.
+            ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) + 1)
+            flat = np.full(int(ends[-1]) if len(ends) else 0, end_id, np.uint16)
+            inside = np.ones(len(flat), bool)
+            inside[ends - 1] = False
+            flat[inside] = np.concatenate(found)
+            counts += np.bincount(flat, minlength=1 << 16)
+            n, places = len(found), np.concatenate([[0], ends])
+            halves = [
+                pa.Array.from_buffers(
+                    pa.binary(), n, [None, pa.py_buffer(places.astype("<i4")), pa.py_buffer(half.astype(np.uint8))]
+                )
+                for half in (flat & 0xFF, flat >> 8)
+            ]
+            columns = ([part] * n, before + places[:-1], batch.column("doc_id"), *halves, [None] * n)
+            before += len(flat)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
         columns = ([part], [before], [None], [None], [None], [counts.astype("<i8").tobytes()])
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)

@@ -18,7 +18,7 @@ import numpy as np
 _LONG = 64
 # A worker forgets its pieces when they take about this many bytes, with _EACH for every one
 # besides its characters.
-_HELD = 160 << 20
+_HELD = 224 << 20
 _EACH = 140
 # New words in one call.
 _JOINED = 2048
