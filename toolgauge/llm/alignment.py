@@ -36,7 +36,7 @@ from toolgauge.session import settle
 
 # Bytes of remembered pieces and what is known about them, roughly, after which a worker forgets
 # those that were asked for only once; _EACH for every piece besides its texts and pairs.
-_HELD = 160 << 20
+_HELD = 128 << 20
 _EACH = 260
 # Pieces of more characters are not remembered.
 _LONG = 256
@@ -349,8 +349,9 @@ def align(texts: DataFrame, path_a: str, path_b: str) -> DataFrame:
     kept = "doc_id n_a n_b n_groups n_links groups_sha256".split()
 
     def run(batches):
+        tokens.worker_cache("none")  # what the first pass remembered
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in chain.from_iterable(batch.slice(k, 1).to_pylist() for k in range(batch.num_rows)):
                 owner = np.repeat(np.arange(len(row["doc_id"])), row["n_pairs"])
                 which, times = np.frombuffer(row["which"], "<u4"), np.frombuffer(row["times"], "<i8")
                 documents = np.array(row["documents"] or [], np.int64)
