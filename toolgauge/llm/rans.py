@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import json
 import struct
+import uuid
 import zlib
 
 import numpy as np
@@ -300,7 +301,7 @@ def _starts(found: DataFrame, names: DataFrame) -> DataFrame:
 def write_documents(docs: DataFrame, path: str, folder: str) -> None:
     """Encode doc_id, text with a tokenizer file and write part files to `folder`."""
     spark = docs.sparkSession
-    kept = f"{shared_folder(spark)}/tables/{folder.rsplit('/', 1)[-1]}"
+    kept = f"{shared_folder(spark)}/tables/{uuid.uuid4().hex}"
     coded = tokenize(docs, path)
     coded.write.option("compression", "zstd").parquet(kept)
     coded = spark.read.schema(coded.schema).parquet(kept)
