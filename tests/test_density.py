@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from brute_hdbscan import core_and_reach, hdbscan, tree_weight
 
-from toolgauge.operators import density, neighbors
+from toolgauge.operators import density, neighbors, vector_index
 
 RNG = np.random.default_rng(1)
 BLOBS = np.concatenate(
@@ -56,8 +56,8 @@ def test_cores_and_tree_are_exact(spark, block_rows):
     x = RNG.normal(0, 1, (120, 2)).astype(np.float32)
     x[60:] += 40  # far cells, so that pairs of cells and points of pairs get left out
     core, reach = core_and_reach(x.astype(np.float64), 5)
-    cells = density.cells_of(rows(spark, x).select("ord", "embedding"), 5, block_rows)
-    cores, tree = density.tree_of(cells)
+    index = density.index_of(rows(spark, x).select("ord", "embedding"), 5, block_rows)
+    cores, tree = density.tree_of(index)
     got = {r.pid: r.core for r in cores.collect()}
     assert np.allclose([got[i] for i in range(len(x))], core, atol=1e-9)
     edges = tree.collect()
@@ -66,23 +66,12 @@ def test_cores_and_tree_are_exact(spark, block_rows):
     assert all(np.isclose(r.w, reach[r.u, r.v]) for r in edges)
 
 
-def test_far_cells_are_never_compared(spark):
-    x = np.concatenate([RNG.normal(0, 1, (64, 2)), RNG.normal(500, 1, (64, 2))]).astype(np.float32)
-    cells = density.cells_of(rows(spark, x).select("ord", "embedding"), 5, 16)
-    seen = []
-    original = neighbors._block_pairs
-
-    def spy(*args):
-        seen.append(original(*args))
-        return seen[-1]
-
-    neighbors._block_pairs = spy
-    try:
-        neighbors.nearest(cells)
-    finally:
-        neighbors._block_pairs = original
-    blocks = cells.points.select("block").distinct().count()
-    assert seen[0].count() < blocks * blocks * 0.75
+def test_far_blocks_are_never_compared(spark):
+    x = np.concatenate([RNG.normal(c, 1, (64, 2)) for c in (0, 500, 1000, 1500)]).astype(np.float32)
+    index = density.index_of(rows(spark, x).select("ord", "embedding"), 5, 16)
+    points = neighbors._with_bounds(index)
+    share = vector_index.compared_share(index, neighbors._pairs_for_neighbors(index, points))
+    assert 0 < share < 0.25
 
 
 @pytest.mark.parametrize("n", [0, 4, 5, 6, 9, 10])

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from toolgauge.operators import clusters, neighbors
-from toolgauge.operators.forest import spanning_tree
+from toolgauge.operators import clusters, neighbors, vector_index
+from toolgauge.operators.forest import contract
 from toolgauge.operators.hierarchy import leaf_clusters, select_clusters
-from toolgauge.operators.neighbors import BLOCK_ROWS, Cells
 from toolgauge.operators.ranking import dense_positions
+from toolgauge.operators.vector_index import BLOCK_ROWS, Index
 from toolgauge.session import settle
 
 # Fewer failures than this form one cluster without a look at their vectors.
@@ -31,10 +31,10 @@ def usable(rows: DataFrame) -> Column:
     return F.coalesce((F.size(embedding) == usual) & ~broken, F.lit(False))
 
 
-def cells_of(vectors: DataFrame, m: int, block_rows: int = BLOCK_ROWS) -> Cells:
-    """Distinct vectors in cells; `m` is both minimum cluster size and neighbour count."""
-    points = neighbors.distinct_points(vectors).transform(settle)
-    return neighbors.make_cells(points, m, block_rows)
+def index_of(vectors: DataFrame, m: int, block_rows: int = BLOCK_ROWS) -> Index:
+    """Index of distinct vectors; `m` is both minimum cluster size and neighbour count."""
+    points = vector_index.distinct_points(vectors).transform(settle)
+    return vector_index.build(points, m, block_rows)
 
 
 def mutual_reachability(found: DataFrame, cores: DataFrame) -> DataFrame:
@@ -52,11 +52,16 @@ def mutual_reachability(found: DataFrame, cores: DataFrame) -> DataFrame:
     )
 
 
-def tree_of(cells: Cells) -> tuple[DataFrame, DataFrame]:
-    """Core distances and the spanning tree under mutual reachability."""
-    cores = neighbors.core_distances(cells, neighbors.nearest(cells)).transform(settle)
-    tree = spanning_tree(neighbors.candidate_edges(cells, cores), cores.count())
-    return cores, tree
+def tree_of(index: Index) -> tuple[DataFrame, DataFrame]:
+    """Core distances and the spanning tree under mutual reachability.
+
+    Of edges of equal weight that with the smaller (u, v) is taken, so the tree is unique.
+    """
+    found = settle(neighbors.nearest(index))
+    cores = neighbors.core_distances(index, found).transform(settle)
+    edges = settle(neighbors.known_edges(index, found, cores))
+    tree, _ = contract(edges, neighbors.edge_search(index, cores))
+    return cores, tree.transform(settle)
 
 
 def cluster_members(
@@ -81,10 +86,10 @@ def cluster_members(
     m = min_cluster_size(count)
     # Vectors are compared, and matched to their labels, as 32-bit numbers.
     failures = failures.withColumn("_vec", F.col("embedding").cast("array<float>"))
-    cells = cells_of(failures.select("ord", F.col("_vec").alias("embedding")), m, block_rows)
-    cores, tree = tree_of(cells)
+    index = index_of(failures.select("ord", F.col("_vec").alias("embedding")), m, block_rows)
+    cores, tree = tree_of(index)
     chosen = select_clusters(leaf_clusters(tree, cores, m))
-    named = cells.points.select("pid", "vec").join(chosen, "pid").transform(settle)
+    named = index.points.select("pid", "vec").join(chosen, "pid").transform(settle)
     firsts = (
         named.filter(F.col("cluster").isNotNull())
         .groupBy("cluster")

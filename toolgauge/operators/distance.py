@@ -25,52 +25,3 @@ def pairwise(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     distances = np.sqrt(squares)
     distances[i, j] = direct(a[i], b[j])
     return distances
-
-
-def spanning_edges(x: np.ndarray, core: np.ndarray) -> np.ndarray:
-    """Prim's spanning tree of one block under mutual reachability: index pairs.
-
-    Distances are computed one row at a time, so memory is linear in the block.
-    """
-    n = len(x)
-    squares = np.sum(x * x, axis=1)
-    best = np.full(n, np.inf)
-    link = np.zeros(n, dtype=np.int64)
-    outside = np.ones(n, dtype=bool)
-    edges = np.empty((max(n - 1, 0), 2), dtype=np.int64)
-    at = 0
-    outside[0] = False
-    for step in range(n - 1):
-        row = np.maximum(squares + squares[at] - 2.0 * (x @ x[at]), 0.0)
-        near = np.nonzero(row <= _CANCELLATION * (squares + squares[at]))[0]
-        row = np.sqrt(row)
-        row[near] = np.sqrt(np.sum((x[near] - x[at]) ** 2, axis=1))
-        reach = np.maximum(np.maximum(core, core[at]), row)
-        closer = outside & (reach < best)
-        best[closer] = reach[closer]
-        link[closer] = at
-        at = int(np.argmin(np.where(outside, best, np.inf)))
-        outside[at] = False
-        edges[step] = (link[at], at)
-    return edges
-
-
-def minimax(weights: np.ndarray) -> np.ndarray:
-    """Smallest possible largest step on a path between each pair of a small graph."""
-    n = len(weights)
-    result = np.zeros((n, n))
-    best, link = weights[0].copy(), np.zeros(n, dtype=np.int64)
-    inside = [0]
-    outside = np.ones(n, dtype=bool)
-    outside[0] = False
-    for _ in range(n - 1):
-        at = int(np.argmin(np.where(outside, best, np.inf)))
-        reach = np.maximum(result[link[at], inside], best[at])
-        result[at, inside] = reach
-        result[inside, at] = reach
-        outside[at] = False
-        inside.append(at)
-        closer = outside & (weights[at] < best)
-        best[closer] = weights[at][closer]
-        link[closer] = at
-    return result

@@ -8,6 +8,8 @@ a lost executor costs one round, not the run.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, functions as F
 
 from toolgauge.session import settle
@@ -55,13 +57,23 @@ def _relabel(edges: DataFrame, roots: DataFrame) -> DataFrame:
     )
 
 
-def contract(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Minimum spanning forest (u, v, w) and the component (node, up) of each vertex."""
+def contract(
+    edges: DataFrame, search: Callable[[DataFrame, DataFrame], DataFrame] | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Minimum spanning forest (u, v, w) and the component (node, up) of each vertex.
+
+    With `search` the edges need not be all there are, as long as they connect all vertices:
+    it is given the components (node, up) and the lightest known edge (node, w) out of each,
+    and returns (a, b, w, u, v), all lighter ones or at least the lightest out of each.
+    """
     live = edges.select(F.col("u").alias("a"), F.col("v").alias("b"), "w", "u", "v")
     vertices = live.select(F.col("a").alias("node")).unionAll(live.select("b")).distinct()
     labels = vertices.select("node", F.col("node").alias("up"))
     forest = edges.select("u", "v", "w").limit(0)
     while not live.isEmpty():
+        if search is not None:
+            known = _lightest(live).select("node", F.col("pick.w").alias("w"))
+            live = live.unionByName(search(labels, known)).transform(settle)
         picks = _lightest(live).transform(settle)
         forest = forest.unionAll(picks.select("pick.u", "pick.v", "pick.w").distinct())
         hooked = picks.select(
@@ -91,13 +103,5 @@ def contract(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     return forest, labels
 
 
-def spanning_tree(edges: DataFrame, vertices: int) -> DataFrame:
-    """Minimum spanning tree of a connected graph."""
-    edges = edges.transform(settle)
-    if edges.count() == vertices - 1:
-        return edges
-    return contract(edges)[0].transform(settle)
-
-
 def chain_ends(pointers: DataFrame) -> DataFrame:
     return _roots(pointers)

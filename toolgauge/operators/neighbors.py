@@ -1,189 +1,126 @@
-"""Exact nearest neighbours and spanning-tree edges over blocks of vectors.
+"""Exact nearest neighbours and lightest outgoing edges over blocks of vectors.
 
-Points are assigned to the nearest of a bounded set of pivots. The triangle
-inequality on pivot distances and cell radii tells which pairs of cells can hold a
-neighbour or a tree edge; only those pairs are compared. A cell of any size is cut
-into blocks of bounded size, so every task holds two blocks at most. Rows leave a
-task only as results: k neighbours per point, or the edges of a spanning tree.
+The index tells which pairs of blocks can hold a neighbour or an edge that is still wanted;
+only those are compared, and only the rows of them that can take part are shipped. A task
+holds two blocks at most and returns results only: neighbours per point, or one edge per
+component.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
 from toolgauge.operators import distance
+from toolgauge.operators.vector_index import SLACK, Index, at_most, close_pairs, span
 from toolgauge.session import settle
 
-# At most this many pivots are ever collected and shipped to tasks.
-MAX_PIVOTS = 1024
-BLOCK_ROWS = 2048
-# Bounds are compared with this slack, so rounding never drops a pair.
-_SLACK = 1e-9
+# Distances of the product form are this close to exact ones, relatively.
+_ROUGH = 1e-7
+_EXACT_AT_ONCE = 65_536
 
 
-@dataclass(frozen=True)
-class Cells:
-    """Points with their cell and block, and the bounded facts about the cells."""
+def _nearest_of(x: np.ndarray, y: np.ndarray, same: np.ndarray | None, k: int):
+    """(row of x, row of y, distance): the k rows of y nearest to each row of x, exactly.
 
-    points: DataFrame  # pid, weight, vec, cell, radius, block
-    pivot_ids: np.ndarray
-    gaps: np.ndarray  # pivot x pivot distances
-    block_rows: int
-    k: int
-
-
-def distinct_points(vectors: DataFrame) -> DataFrame:
-    """One row per different vector: smallest `ord` as id, and its number of copies.
-
-    Copies lie at distance zero from each other. As a weight they change counts, not
-    geometry, and a vector that fills a third of the table stays one row.
+    What the product form ranks close to the k-th place is measured again.
     """
-    return vectors.groupBy(F.col("embedding").alias("vec")).agg(
-        F.min("ord").alias("pid"), F.count("*").alias("weight")
+    found = []
+    for start in range(0, len(x), 512):
+        d = distance.pairwise(x[start : start + 512], y)
+        if same is not None:
+            d[np.arange(len(d)), same[start : start + 512]] = np.inf
+        take = min(k, d.shape[1])
+        edge = np.partition(d, take - 1, axis=1)[:, take - 1 : take]
+        rows, cols = np.nonzero((d <= edge * (1 + _ROUGH)) & np.isfinite(d))
+        for at in range(0, len(rows), _EXACT_AT_ONCE):
+            r, c = rows[at : at + _EXACT_AT_ONCE], cols[at : at + _EXACT_AT_ONCE]
+            found.append(pd.DataFrame({"row": r + start, "col": c, "dist": distance.direct(x[r + start], y[c])}))
+    if not found:
+        return pd.DataFrame({"row": np.empty(0, np.int64), "col": np.empty(0, np.int64), "dist": np.empty(0)})
+    return pd.concat(found, ignore_index=True)
+
+
+def _with_bounds(index: Index) -> DataFrame:
+    """Points with the neighbours that their own block holds, and the k-th distance among them."""
+    k = index.k
+
+    def own(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("pid", ignore_index=True)
+        x, ids, weights = distance.matrix(rows["vec"]), rows["pid"].to_numpy(), rows["weight"].to_numpy()
+        pairs = _nearest_of(x, x, np.arange(len(x)), k).sort_values(["row", "dist", "col"])
+        pairs = pairs[pairs.groupby("row").cumcount() < k]
+        near = [[] for _ in range(len(x))]
+        for row, col, dist in zip(pairs["row"], pairs["col"], pairs["dist"]):
+            near[row].append({"neighbor": int(ids[col]), "dist": float(dist), "neighbor_weight": int(weights[col])})
+        bound = [found[k - 1]["dist"] if len(found) >= k else np.inf for found in near]
+        return rows.assign(near=near, bound=bound)[["pid", "weight", "vec", "block", "near", "bound"]]
+
+    schema = (
+        "pid bigint, weight bigint, vec array<float>, block string,"
+        " near array<struct<neighbor:bigint,dist:double,neighbor_weight:bigint>>, bound double"
     )
+    found = index.points.groupBy("block").applyInPandas(own, schema)
+    wide = index.levels[-1].select(F.col("node").alias("block"), "wide")
+    return found.join(wide, "block").withColumn("bound", F.least("bound", "wide")).drop("wide").transform(settle)
 
 
-def make_cells(points: DataFrame, k: int, block_rows: int = BLOCK_ROWS) -> Cells:
-    count = points.count()
-    wanted = min(MAX_PIVOTS, max(1, -(-count // block_rows)))
-    # Hash order picks pivots all over the table and picks the same ones again.
-    chosen = points.orderBy(F.xxhash64("pid"), "pid").limit(wanted).select("pid", "vec").collect()
-    pivot_ids = np.array([row.pid for row in chosen], dtype=np.int64)
-    pivots = distance.matrix(row.vec for row in chosen)
-
-    def assign(batches):
-        for batch in batches:
-            if len(batch):
-                x = distance.matrix(batch["vec"])
-                cell = np.argmin(distance.pairwise(x, pivots), axis=1)
-                yield batch.assign(
-                    cell=cell.astype(np.int32), radius=distance.direct(x, pivots[cell])
-                )
-
-    schema = "vec array<float>, pid bigint, weight bigint, cell int, radius double"
-    assigned = points.select("vec", "pid", "weight").mapInPandas(assign, schema)
-    sizes = assigned.groupBy("cell").agg(
-        F.ceil(F.count("*") / F.lit(block_rows)).alias("blocks")
-    )
-    # One row per cell: at most MAX_PIVOTS.
-    blocked = assigned.join(F.broadcast(sizes), "cell").withColumn(
-        "block",
-        F.col("cell").cast("long") * (1 << 32) + F.pmod(F.xxhash64("pid"), F.col("blocks")),
-    )
-    return Cells(
-        blocked.drop("blocks").transform(settle),
-        pivot_ids,
-        distance.pairwise(pivots, pivots),
-        block_rows,
-        k,
-    )
-
+def _pairs_for_neighbors(index: Index, points: DataFrame) -> DataFrame:
+    """Ordered pairs of blocks in which b may hold a neighbour of a point of a."""
+    facts = points.groupBy("block").agg(F.max("bound").alias("limit"))
+    near = lambda gap: at_most(gap, F.col("a_limit"))
+    return close_pairs(index, facts, {"limit": F.max}, near, ordered=True).filter("a != b")
 
-def _block_pairs(
-    cells: Cells, needed: np.ndarray, radius: np.ndarray, limit: np.ndarray, base: np.ndarray
-) -> DataFrame:
-    """Needed pairs of cells as pairs of blocks, for distances up to `limit`.
 
-    Points too close to their own pivot for such a distance stay out of a pair:
-    `left_floor` and `right_floor` are the radii they must have. `base` is handed on.
-    There are at most MAX_PIVOTS^2 pairs of cells, whatever the number of points.
-    """
-    i, j = np.nonzero(needed)
-    gaps, far = cells.gaps[i, j], limit[i, j] * (1 + _SLACK) + _SLACK
-    pairs = cells.points.sparkSession.createDataFrame(
-        pd.DataFrame(
-            {
-                "i": i.astype(np.int32),
-                "j": j.astype(np.int32),
-                "base": base[i],
-                "left_floor": gaps - radius[j] - far,
-                "right_floor": gaps - radius[i] - far,
-            }
-        )
-    )
-    blocks = cells.points.select("cell", "block").distinct()
-    return (
-        pairs.join(blocks.select(F.col("cell").alias("i"), F.col("block").alias("a")), "i")
-        .join(blocks.select(F.col("cell").alias("j"), F.col("block").alias("b")), "j")
-        .select(
-            "a", "b", "base", "left_floor", "right_floor", (F.col("i") == F.col("j")).alias("same")
-        )
-    )
+def _meet(left: DataFrame, right: DataFrame, task, schema: str) -> DataFrame:
+    left, right = left.toDF(*left.columns), right.toDF(*right.columns)
+    return left.groupBy("a", "b").cogroup(right.groupBy("a", "b")).applyInPandas(task, schema)
 
 
-def nearest(cells: Cells) -> DataFrame:
+def nearest(index: Index) -> DataFrame:
     """(pid, neighbor, dist, neighbor_weight): the k nearest other points of each point."""
-    k = cells.k
-    inner = Window.partitionBy("cell").orderBy("radius", "pid")
-    closest = (
-        cells.points.withColumn("_r", F.row_number().over(inner))
-        .filter(F.col("_r") <= k + 1)
-        .groupBy("cell")
-        .agg(F.max("radius").alias("reach"), F.count("*").alias("n"))
+    k = index.k
+    points = _with_bounds(index)
+    pairs = settle(_pairs_for_neighbors(index, points))
+    left = (
+        pairs.select("a", "b", "b_middle", "b_radius")
+        .join(points.withColumnRenamed("block", "a"), "a")
+        .filter(at_most(span("vec", "b_middle") - F.col("b_radius"), F.col("bound")))
+        .select("a", "b", "pid", "vec", "bound")
     )
-    facts = (
-        cells.points.groupBy("cell")
-        .agg(F.max("radius").alias("radius"))
-        .join(closest, "cell")
-        .collect()
+    right = (
+        pairs.select("a", "b", "a_middle", "a_radius", "a_limit")
+        .join(points.withColumnRenamed("block", "b"), "b")
+        .filter(at_most(span("vec", "a_middle") - F.col("a_radius"), F.col("a_limit")))
+        .select("a", "b", "pid", "vec", "weight")
     )
-    size = len(cells.pivot_ids)
-    radius, reach = np.full(size, -np.inf), np.full(size, np.inf)
-    for row in facts:
-        radius[row.cell] = row.radius
-        if row.n > k:
-            reach[row.cell] = row.reach
-    # k + 1 points lie within `reach` of pivot j, hence k others within `base` plus its own
-    # radius of any point of cell i.
-    base = np.min(cells.gaps + reach[None, :], axis=1)
-    limit = np.repeat((radius + base)[:, None], size, axis=1)
-    lower = np.maximum(cells.gaps - radius[:, None] - radius[None, :], 0.0)
-    needed = lower <= limit * (1 + _SLACK) + _SLACK
-    filled = np.isfinite(radius)
-    needed &= filled[:, None] & filled[None, :]
-    pairs = _block_pairs(cells, needed, radius, limit, base)
 
     def compare(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if right.empty:
-            left = left.head(0)
-        x, ids = distance.matrix(right["vec"]), right["pid"].to_numpy()
-        weights = right["weight"].to_numpy()
-        for start in range(0, len(left), 512):
-            part = left.iloc[start : start + 512]
-            y, own = distance.matrix(part["vec"]), part["pid"].to_numpy()
-            d = distance.pairwise(y, x)
-            d[own[:, None] == ids[None, :]] = np.inf
-            take = min(k, d.shape[1])
-            best = np.argpartition(d, take - 1, axis=1)[:, :take]
-            rows = np.repeat(np.arange(len(part)), take)
-            cols = best.ravel()
-            keep = np.isfinite(d[rows, cols])
-            rows, cols = rows[keep], cols[keep]
-            exact = distance.direct(y[rows], x[cols])
-            reached = (part["radius"] + part["base"]).to_numpy()[rows]
-            near = exact <= reached * (1 + _SLACK) + _SLACK
-            out.append(
-                pd.DataFrame(
-                    {
-                        "pid": own[rows],
-                        "neighbor": ids[cols],
-                        "dist": exact,
-                        "neighbor_weight": weights[cols],
-                    }
-                )[near]
-            )
-        return pd.concat(out) if out else _no_rows("pid", "neighbor", "dist", "neighbor_weight")
+        if left.empty or right.empty:
+            return _no_rows("pid", "neighbor", "dist", "neighbor_weight")
+        found = _nearest_of(distance.matrix(left["vec"]), distance.matrix(right["vec"]), None, k)
+        own, other = found["row"].to_numpy(), found["col"].to_numpy()
+        out = pd.DataFrame(
+            {
+                "pid": left["pid"].to_numpy()[own],
+                "neighbor": right["pid"].to_numpy()[other],
+                "dist": found["dist"],
+                "neighbor_weight": right["weight"].to_numpy()[other],
+            }
+        )[found["dist"].to_numpy() <= left["bound"].to_numpy()[own] * (1 + SLACK) + SLACK]
+        out = out.sort_values(["pid", "dist", "neighbor"])
+        return out[out.groupby("pid").cumcount() < k]
 
     schema = "pid bigint, neighbor bigint, dist double, neighbor_weight bigint"
-    found = _compare_blocks(cells, pairs, ["pid", "weight", "vec"], compare, schema)
+    met = _meet(left, right, compare, schema)
+    own = points.select("pid", F.inline("near")).select("pid", "neighbor", "dist", "neighbor_weight")
     ranked = Window.partitionBy("pid").orderBy("dist", "neighbor")
     return (
-        found.withColumn("_rank", F.row_number().over(ranked))
+        met.unionAll(own)
+        .withColumn("_rank", F.row_number().over(ranked))
         .filter(F.col("_rank") <= k)
         .drop("_rank")
     )
@@ -193,32 +130,13 @@ def _no_rows(*columns: str) -> pd.DataFrame:
     return pd.DataFrame({c: np.empty(0, np.float64 if c in ("dist", "w") else np.int64) for c in columns})
 
 
-def _compare_blocks(cells, pairs, columns, compare, schema) -> DataFrame:
-    """Bring the points of two blocks that may matter to each other into one task."""
-    source = cells.points.select("block", "radius", *columns)
-    left = (
-        pairs.select("a", "b", "base", "left_floor")
-        .join(source.withColumnRenamed("block", "a"), "a")
-        .filter(F.col("radius") >= F.col("left_floor"))
-        .select("a", "b", "base", "radius", *columns)
-    )
-    right = (
-        pairs.select("a", "b", "right_floor")
-        .join(source.withColumnRenamed("block", "b"), "b")
-        .filter(F.col("radius") >= F.col("right_floor"))
-        .select("a", "b", *columns)
-    )
-    left, right = left.toDF(*left.columns), right.toDF(*right.columns)
-    return left.groupBy("a", "b").cogroup(right.groupBy("a", "b")).applyInPandas(compare, schema)
-
-
-def core_distances(cells: Cells, neighbors: DataFrame) -> DataFrame:
+def core_distances(index: Index, neighbors: DataFrame) -> DataFrame:
     """(pid, core): distance to the k-th other row, copies counted one by one."""
     nearest_first = F.array_sort(
         F.collect_list(F.struct("dist", "neighbor", "neighbor_weight"))
     )
     lists = neighbors.groupBy("pid").agg(nearest_first.alias("near"))
-    missing = F.lit(cells.k) - (F.col("weight") - 1)
+    missing = F.lit(index.k) - (F.col("weight") - 1)
     walked = F.aggregate(
         F.col("near"),
         F.struct(missing.cast("bigint").alias("missing"), F.lit(0.0).alias("core")),
@@ -228,58 +146,101 @@ def core_distances(cells: Cells, neighbors: DataFrame) -> DataFrame:
         ),
     )
     return (
-        cells.points.select("pid", "weight")
+        index.points.select("pid", "weight")
         .join(lists, "pid", "left")
         .select("pid", "weight", F.coalesce(walked["core"], F.lit(0.0)).alias("core"))
     )
 
 
-def candidate_edges(cells: Cells, cores: DataFrame) -> DataFrame:
-    """(u, v, w), u < v: edges that contain a minimum spanning tree of all points.
+def known_edges(index: Index, neighbors: DataFrame, cores: DataFrame) -> DataFrame:
+    """(u, v, w), u < v: edges whose lengths are known already, enough to connect all points.
 
-    `w` is the mutual reachability distance. A pair of blocks adds the crossing edges
-    of the spanning tree of their union, a single block its own spanning tree: any
-    other edge closes a circle in which it is the heaviest. A pair of cells is left
-    out when their points are connected by smaller steps than any between them.
+    `w` is the mutual reachability distance. They give every component of a round an edge that
+    leaves it, hence a bound on its lightest one.
     """
-    points = cells.points.join(cores.select("pid", "core"), "pid")
-    size = len(cells.pivot_ids)
-    facts = points.groupBy("cell").agg(
-        F.max("radius").alias("radius"), F.max("core").alias("top"), F.min("core").alias("low")
-    ).collect()
-    pivot_core = np.zeros(size)
-    place = {int(p): i for i, p in enumerate(cells.pivot_ids)}
-    for row in cores.filter(F.col("pid").isin([int(p) for p in cells.pivot_ids])).collect():
-        pivot_core[place[row.pid]] = row.core
-    radius, top, low = np.full(size, -np.inf), np.zeros(size), np.zeros(size)
-    for row in facts:
-        radius[row.cell], top[row.cell], low[row.cell] = row.radius, row.top, row.low
-    steps = np.maximum(cells.gaps, np.maximum(pivot_core[:, None], pivot_core[None, :]))
-    inside = np.maximum(np.maximum(radius, top), pivot_core)
-    bound = np.maximum(distance.minimax(steps), np.maximum(inside[:, None], inside[None, :]))
-    lower = np.maximum(
-        cells.gaps - radius[:, None] - radius[None, :], np.maximum(low[:, None], low[None, :])
+    seen = neighbors.select(F.col("pid").alias("u"), F.col("neighbor").alias("v"), "dist").unionAll(index.anchors)
+    own = cores.select(F.col("pid").alias("u"), F.col("core").alias("core_u"))
+    other = cores.select(F.col("pid").alias("v"), F.col("core").alias("core_v"))
+    return (
+        seen.groupBy(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
+        .agg(F.min("dist").alias("dist"))
+        .join(own, "u")
+        .join(other, "v")
+        .select("u", "v", F.greatest("dist", "core_u", "core_v").alias("w"))
     )
-    filled = np.isfinite(radius)
-    needed = (lower <= bound * (1 + _SLACK) + _SLACK) & filled[:, None] & filled[None, :]
-    pairs = _block_pairs(cells, np.triu(needed), radius, bound, np.zeros(size))
-    # Within one cell every two blocks meet once.
-    pairs = pairs.filter(~F.col("same") | (F.col("a") <= F.col("b")))
 
-    def span(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if left.empty or right.empty:
-            return _no_rows("u", "v", "w")
-        single = key[0] == key[1]
-        both = left if single else pd.concat([left, right])
-        x, core = distance.matrix(both["vec"]), both["core"].to_numpy()
-        ids = both["pid"].to_numpy()
-        edges = distance.spanning_edges(x, core)
-        if not single:
-            first = np.arange(len(both)) < len(left)
-            edges = edges[first[edges[:, 0]] != first[edges[:, 1]]]
-        p, q = edges[:, 0], edges[:, 1]
-        w = np.maximum(np.maximum(core[p], core[q]), distance.direct(x[p], x[q]))
-        return pd.DataFrame({"u": np.minimum(ids[p], ids[q]), "v": np.maximum(ids[p], ids[q]), "w": w})
-
-    with_core = Cells(points, cells.pivot_ids, cells.gaps, cells.block_rows, cells.k)
-    return _compare_blocks(with_core, pairs, ["pid", "vec", "core"], span, "u bigint, v bigint, w double")
+
+def _lightest_met(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    """The lightest edge from each component in one block to others in the other block."""
+    if left.empty or right.empty:
+        return _no_rows("a", "b", "w", "u", "v")
+    x, y = distance.matrix(left["vec"]), distance.matrix(right["vec"])
+    core_x, core_y = left["core"].to_numpy(), right["core"].to_numpy()
+    in_x, of_x = np.unique(left["part"].to_numpy(), return_inverse=True)
+    in_y, of_y = np.unique(right["part"].to_numpy(), return_inverse=True)
+    rough = np.maximum(np.maximum(core_x[:, None], core_y[None, :]), distance.pairwise(x, y))
+    rough[in_x[of_x][:, None] == in_y[of_y][None, :]] = np.inf
+    # Nothing above what a component has already, or meets here, can be its lightest edge.
+    limit_x, limit_y = np.full(len(in_x), np.inf), np.full(len(in_y), np.inf)
+    np.minimum.at(limit_x, of_x, np.minimum(left["reach"].to_numpy(), rough.min(axis=1)))
+    np.minimum.at(limit_y, of_y, np.minimum(right["reach"].to_numpy(), rough.min(axis=0)))
+    close = rough <= limit_x[of_x][:, None] * (1 + _ROUGH)
+    close |= rough <= limit_y[of_y][None, :] * (1 + _ROUGH)
+    rows, cols = np.nonzero(close & np.isfinite(rough))
+    exact = np.empty(len(rows))
+    for at in range(0, len(rows), _EXACT_AT_ONCE):
+        part = slice(at, at + _EXACT_AT_ONCE)
+        exact[part] = distance.direct(x[rows[part]], y[cols[part]])
+    p, q = left["pid"].to_numpy()[rows], right["pid"].to_numpy()[cols]
+    edges = pd.DataFrame(
+        {
+            "a": in_x[of_x[rows]],
+            "b": in_y[of_y[cols]],
+            "w": np.maximum(np.maximum(core_x[rows], core_y[cols]), exact),
+            "u": np.minimum(p, q),
+            "v": np.maximum(p, q),
+        }
+    ).sort_values(["w", "u", "v"])
+    return pd.concat([edges.drop_duplicates("a"), edges.drop_duplicates("b")]).drop_duplicates()
+
+
+def edge_search(index: Index, cores: DataFrame) -> Callable[[DataFrame, DataFrame], DataFrame]:
+    """The search of one round: lightest edges out of components, given a bound for each.
+
+    A pair of nodes is opened only if its least mutual reachability distance does not exceed
+    the bound of a component in it, and never if both lie in one and the same component.
+    """
+    placed = index.points.select("pid", "vec", "block").join(cores.select("pid", "core"), "pid").transform(settle)
+    merge = {"reach": F.max, "low": F.min, "first": F.min, "last": F.max}
+
+    def near(gap):
+        inside = (F.col("a_first") == F.col("a_last")) & (F.col("b_first") == F.col("b_last"))
+        inside &= F.col("a_first") == F.col("b_first")
+        least = F.greatest(gap, F.col("a_low"), F.col("b_low"))
+        return ~inside & at_most(least, F.greatest("a_reach", "b_reach"))
+
+    def search(labels: DataFrame, bounds: DataFrame) -> DataFrame:
+        parts = labels.select(F.col("node").alias("pid"), F.col("up").alias("part"))
+        reach = bounds.select(F.col("node").alias("part"), F.col("w").alias("reach"))
+        points = settle(placed.join(parts.join(reach, "part"), "pid"))
+        facts = points.groupBy("block").agg(
+            F.max("reach").alias("reach"), F.min("core").alias("low"), F.min("part").alias("first"), F.max("part").alias("last")
+        )
+        pairs = settle(close_pairs(index, facts, merge, near, ordered=False))
+
+        def side(own: str, other: str) -> DataFrame:
+            facts = [f"{other}_{name}" for name in ("middle", "radius", *merge)]
+            least = F.greatest(
+                span("vec", f"{other}_middle") - F.col(f"{other}_radius"), F.col("core"), F.col(f"{other}_low")
+            )
+            inside = (F.col("part") == F.col(f"{other}_first")) & (F.col("part") == F.col(f"{other}_last"))
+            return (
+                pairs.select("a", "b", *facts)
+                .join(points.withColumnRenamed("block", own), own)
+                .filter(~inside & at_most(least, F.greatest("reach", f"{other}_reach")))
+                .select("a", "b", "pid", "vec", "core", "part", "reach")
+            )
+
+        return _meet(side("a", "b"), side("b", "a"), _lightest_met, "a bigint, b bigint, w double, u bigint, v bigint")
+
+    return search

@@ -18,6 +18,7 @@ from toolgauge.operators import (
     split,
     vectors,
 )
+from toolgauge.operators.vector_index import Index
 from toolgauge.plans import inputs
 from toolgauge.session import settle
 from toolgauge.sources import jsonl
@@ -241,22 +242,22 @@ def failure_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.embed_failures(failure_text(spark, sf_dir)).select("ord", "embedding")
 
 
-def _cells(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, neighbors.Cells]:
+def _index(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Index]:
     rows = inputs.vector_failures(spark, sf_dir).select("ord", "embedding")
-    return rows, density.cells_of(rows, density.min_cluster_size(rows.count()), BLOCK_ROWS)
+    return rows, density.index_of(rows, density.min_cluster_size(rows.count()), BLOCK_ROWS)
 
 
 def core_distances(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows, cells = _cells(spark, sf_dir)
-    cores = neighbors.core_distances(cells, neighbors.nearest(cells))
-    named = cells.points.select("pid", F.col("vec").alias("embedding")).join(cores, "pid")
+    rows, index = _index(spark, sf_dir)
+    cores = neighbors.core_distances(index, neighbors.nearest(index))
+    named = index.points.select("pid", F.col("vec").alias("embedding")).join(cores, "pid")
     return rows.join(named, "embedding").select("ord", F.round("core", 6).alias("core_distance"))
 
 
 def mutual_reachability(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, cells = _cells(spark, sf_dir)
-    found = settle(neighbors.nearest(cells))
-    reach = density.mutual_reachability(found, neighbors.core_distances(cells, found))
+    _, index = _index(spark, sf_dir)
+    found = settle(neighbors.nearest(index))
+    reach = density.mutual_reachability(found, neighbors.core_distances(index, found))
     return reach.select(
         F.col("pid").alias("ord"),
         "neighbor",
@@ -266,8 +267,8 @@ def mutual_reachability(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mst_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, cells = _cells(spark, sf_dir)
-    return density.tree_of(cells)[1].select("u", "v", F.round("w", 6).alias("reachability"))
+    _, index = _index(spark, sf_dir)
+    return density.tree_of(index)[1].select("u", "v", F.round("w", 6).alias("reachability"))
 
 
 def mst_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
