@@ -33,7 +33,7 @@ SLACK = 1e-9
 @dataclass(frozen=True)
 class Index:
     points: DataFrame  # pid, weight, vec, block
-    levels: list[DataFrame]  # node, parent, middle, radius, wide; the last level are the blocks
+    levels: list[DataFrame]  # node, parent, middle, radius, wide; those of the last are blocks
     anchors: DataFrame  # u, v, dist: connects every point to its centres, hence all points
     k: int
 
@@ -120,7 +120,8 @@ def build(points: DataFrame, k: int, block_rows: int = BLOCK_ROWS) -> Index:
         levels.append(nodes.drop("n"))
         links = at.select(F.col("pid").alias("u"), F.col("center").alias("v"), F.col("radius").alias("dist"))
         large = nodes.filter(F.col("n") > block_rows)
-        if level == depth or large.isEmpty():
+        fits = large.isEmpty()
+        if level == depth or fits:
             anchors = links if anchors is None else anchors.unionAll(links)
             break
         sized = at.join(nodes.select("node", "n", "wide"), "node")
@@ -166,6 +167,9 @@ def build(points: DataFrame, k: int, block_rows: int = BLOCK_ROWS) -> Index:
         )
         kept = sized.filter(F.col("n") <= block_rows).select("pid", "weight", "vec", stay.alias("node"), "center", "radius")
         at = moved.select(*columns).unionAll(kept.select(*columns))
+    anchors = anchors.filter(F.col("u") != F.col("v"))
+    if fits:
+        return Index(at.select("pid", "weight", "vec", F.col("node").alias("block")), levels, anchors, k)
     pieces = F.ceil(F.col("n") / block_rows)
     placed = settle(
         at.join(nodes.select("node", "n"), "node").select(
@@ -185,7 +189,7 @@ def build(points: DataFrame, k: int, block_rows: int = BLOCK_ROWS) -> Index:
             blocks.join(of_block, "parent").select(F.col("block").alias("node"), "parent", "middle", "radius", "wide")
         )
     )
-    return Index(placed.drop("radius"), levels, anchors.filter(F.col("u") != F.col("v")), k)
+    return Index(placed.drop("radius"), levels, anchors, k)
 
 
 def close_pairs(
@@ -202,9 +206,12 @@ def close_pairs(
     a node must be accepted whenever one of its blocks is. Unless `ordered`, a pair and its
     reverse come once.
     """
-    spark = facts.sparkSession
-    pairs = spark.range(1).select(F.lit("").alias("a"), F.lit("").alias("b"))
-    for level, nodes in enumerate(index.levels):
+    facts = settle(facts)
+    # The pair of the root with itself is always opened, unless the root is a block.
+    top = 1 if len(index.levels) > 1 else 0
+    root = F.lit("0" if top else "")
+    pairs = facts.sparkSession.range(1).select(root.alias("a"), root.alias("b"))
+    for level, nodes in list(enumerate(index.levels))[top:]:
         merged = facts.groupBy(F.substring_index("block", ".", level + 1).alias("node")).agg(
             *[how(name).alias(name) for name, how in merge.items()]
         )
