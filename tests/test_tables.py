@@ -257,8 +257,8 @@ def test_run_log(spark, tmp_path):
     path = str(tmp_path / "log")
     h = history(spark, (1, 1, 0.5, 5), (1, 2, 0.75, 2)).drop("run_id")
     tools = spark.createDataFrame([(1, "a", 0.5), (1, "b", 0.0), (2, "a", 0.75)], "iteration long, tool string, accuracy double")
-    assert [jsonl.append_run_log(spark, h, tools, path) for _ in range(2)] == [1, 2]
-    assert jsonl.append_run_log(spark, h, tools, path, run_id=2) == 2  # a repeated write
+    assert [jsonl.append_run_log(spark, h, tools, path, token) for token in ("first", "second")] == [1, 2]
+    assert jsonl.append_run_log(spark, h, tools, path, "second") == 2  # a repeated write
     rows = jsonl.read_run_log(spark, path).orderBy("run_id", "iteration").collect()
     assert [(r.run_id, r.iteration, r.best_accuracy) for r in rows] == [(1, 1, 0.75), (1, 2, 0.75), (2, 1, 0.75), (2, 2, 0.75)]
     logged = jsonl.read_tool_log(spark, path).filter("run_id = 2").collect()

@@ -427,3 +427,6 @@ grown(ord, dist, inside) USING KEY (ord) AS (
 )
 SELECT round(dist, 6) AS reachability, count(*) AS edges FROM grown WHERE dist >= 0 GROUP BY 1""",
 }
+
+# What is read back is what was written.
+SQL["logged_runs"] = SQL["run_log"]

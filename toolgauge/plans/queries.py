@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -20,8 +21,8 @@ from toolgauge.operators import (
 )
 from toolgauge.operators.vector_index import Index
 from toolgauge.plans import inputs
-from toolgauge.session import settle
-from toolgauge.sources import jsonl
+from toolgauge.session import settle, shared_folder
+from toolgauge.sources import commits, jsonl
 
 TARGET = 0.6
 MAX_ITERATIONS = 8
@@ -156,6 +157,24 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.run_log(_scored(spark, sf_dir), _event_catalog(spark, sf_dir))
 
 
+def logged_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log as it is read back after a write and a repeated write of the same evaluations."""
+    rows = settle(run_log(spark, sf_dir))
+    keys = ["run_id", "iteration"]
+    tables = {
+        "runs": rows.select(*keys, "overall_accuracy", "best_accuracy").distinct(),
+        "tools": rows.select(*keys, "tool", "accuracy"),
+    }
+    folder = f"{shared_folder(spark)}/log/{uuid.uuid4().hex}"
+    for _ in range(2):
+        commits.append(spark, tables, folder, token="all runs")
+    runs = commits.read(
+        spark, folder, "runs", "run_id bigint, iteration bigint, overall_accuracy double, best_accuracy double"
+    )
+    tools = commits.read(spark, folder, "tools", "run_id bigint, iteration bigint, tool string, accuracy double")
+    return runs.join(tools, ["commit", *keys]).drop("commit")
+
+
 def failure_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prompts.failure_text(failures(spark, sf_dir)).select("ord", "failure_text")
 
@@ -306,6 +325,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         example_rejects,
         patch_rejects,
         run_log,
+        logged_runs,
         failure_text,
         sft_text,
         eval_prompts,

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from toolgauge.functions import json_text as J
 from toolgauge.functions.stage import computed
 from toolgauge.operators.ranking import dense_positions
+from toolgauge.sources import commits
 
 MESSAGES = "array<struct<role:string,content:string>>"
 
@@ -115,22 +116,16 @@ def train_exists(spark: SparkSession, path: str) -> bool:
 
 
 def append_run_log(
-    spark: SparkSession, history: DataFrame, tools: DataFrame, path: str, run_id: int | None = None
+    spark: SparkSession, history: DataFrame, tools: DataFrame, path: str, token: str | None = None
 ) -> int:
-    """Add one run to the log and return its number, by default the next free one.
+    """Add one run to the log and return its number, the next free one.
 
     `history` has iteration, overall_accuracy, failure_count; `tools` has iteration,
-    tool, accuracy and is kept as rows. Each run has folders of its own: writing a
-    run again under its number replaces it.
+    tool, accuracy and is kept as rows. Both appear at once. A run written again under its
+    `token` keeps its number and its rows.
     """
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/runs")
-    files = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if run_id is None:
-        taken = [one.getPath().getName() for one in files.listStatus(jvm_path)] if files.exists(jvm_path) else []
-        run_id = 1 + max((int(name.removeprefix("run_id=")) for name in taken if name.startswith("run_id=")), default=0)
-    tools.select("iteration", "tool", "accuracy").write.mode("overwrite").json(f"{path}/tools/run_id={run_id}")
-    with_best(history).write.mode("overwrite").json(f"{path}/runs/run_id={run_id}")
-    return run_id
+    tables = {"runs": with_best(history), "tools": tools.select("iteration", "tool", "accuracy")}
+    return commits.append(spark, tables, path, token)
 
 
 def with_best(history: DataFrame) -> DataFrame:
@@ -141,11 +136,11 @@ def with_best(history: DataFrame) -> DataFrame:
 
 def read_run_log(spark: SparkSession, path: str) -> DataFrame:
     """One row per run and iteration."""
-    return spark.read.schema(
-        "run_id bigint, iteration bigint, overall_accuracy double, failure_count bigint, best_accuracy double"
-    ).json(f"{path}/runs")
+    schema = "iteration bigint, overall_accuracy double, failure_count bigint, best_accuracy double"
+    return commits.read(spark, path, "runs", schema).withColumnRenamed("commit", "run_id")
 
 
 def read_tool_log(spark: SparkSession, path: str) -> DataFrame:
     """One row per run, iteration and tool."""
-    return spark.read.schema("run_id bigint, iteration bigint, tool string, accuracy double").json(f"{path}/tools")
+    schema = "iteration bigint, tool string, accuracy double"
+    return commits.read(spark, path, "tools", schema).withColumnRenamed("commit", "run_id")
