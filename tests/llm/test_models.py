@@ -7,6 +7,8 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
+import regex
+import xxhash
 from check_oracle import compare, connect
 from llm_cases import awkward, table, words_of
 from pyspark.sql import functions as F
@@ -72,6 +74,44 @@ def test_em_weighs_rules(spark):
     assert got[code()] > 0.9 and got[code(0, 1, 2)] < 0.1 and got[code(0, 1)] < 0.2
 
 
+def _em(patterns):
+    """The latent class model, restated with plain loops: pattern -> posterior, per rule P(bad vote | good)."""
+    k, smooth = len(weak_rules.RULES), weak_rules.SMOOTHING
+    votes = {p: [p // 3**i % 3 for i in range(k)] for p, _ in patterns}
+    belief = weak_rules.BELIEF_SHARE * sum(n for _, n in patterns)
+    alarm = weak_rules.BELIEVED_ALARM
+    q = {p: 0.1 if 0 in votes[p] else 0.9 for p, _ in patterns}
+    for _ in range(weak_rules.ROUNDS):
+        good, bad = sum(n * q[p] for p, n in patterns), sum(n * (1 - q[p]) for p, n in patterns)
+        g = [[(sum(n * q[p] for p, n in patterns if votes[p][i] == v) + smooth
+               + belief * (alarm if v == 0 else (1 - alarm) / 2)) / (good + 3 * smooth + belief)
+              for v in range(3)] for i in range(k)]
+        b = [[(sum(n * (1 - q[p]) for p, n in patterns if votes[p][i] == v) + smooth) / (bad + 3 * smooth)
+              for v in range(3)] for i in range(k)]
+        for p, _ in patterns:
+            odds = np.log((good + smooth) / (bad + smooth))
+            odds += sum(np.log(g[i][v] / b[i][v]) for i, v in enumerate(votes[p]))
+            q[p] = 1 / (1 + np.exp(-odds))
+    return q, [row[0] for row in g]
+
+
+def test_em_equals_plain_loops(spark):
+    """Over random patterns, and with a rule that calls a fifth of the good documents bad."""
+    rng, k = np.random.default_rng(12), len(weak_rules.RULES)
+    seen = Counter()
+    for _ in range(4000):
+        bad = rng.random() < 0.2
+        hit = np.where(np.arange(k) < 5, 0.6, 0.2) if bad else np.where(np.arange(k) == 6, 0.2, 0.005)
+        seen[sum((0 if rng.random() < hit[i] else 1 + int(rng.random() < 0.7)) * 3**i for i in range(k))] += 1
+    patterns = sorted((int(p), n) for p, n in seen.items())
+    found = weak_rules.posteriors(spark.createDataFrame(patterns, "pattern int, n long")).collect()
+    expected, alarms = _em(patterns)
+    assert {r.pattern for r in found} == set(expected)
+    assert all(abs(r.posterior - expected[r.pattern]) < 1e-9 for r in found)
+    # The rule that is wrong so often is found out: nothing holds its false alarms down.
+    assert alarms[6] > 0.15 and expected[sum((0 if i == 6 else 2) * 3**i for i in range(k))] > 0.9
+
+
 @pytest.mark.parametrize("model, label", [(toxicity, "toxic"), (quality_model, "quality")])
 def test_held_out_accuracy(spark, model, label):
     sf_dir = "/root/testdata/sf0.1"
@@ -121,6 +161,76 @@ def test_held_out_rows_teach_nothing(spark, docs):
     assert one == two and one
 
 
+def _plain_ftrl(rows_, settings):
+    """Follow the regularised leader, one coordinate after the other."""
+    z, n = Counter(), Counter()
+    ones = sum(label for label, _ in rows_)
+    rare = 1.0 if 2 * ones < len(rows_) else 0.0
+    odds = (len(rows_) - ones) / max(ones, 1) if rare else ones / max(len(rows_) - ones, 1)
+
+    def weight(i):
+        l1, l2 = (settings.l1, settings.l2) if i else (0.0, 0.0)
+        if abs(z[i]) <= l1:
+            return 0.0
+        return -(z[i] - (l1 if z[i] > 0 else -l1)) / ((settings.beta + n[i] ** 0.5) / settings.alpha + l2)
+
+    for _ in range(settings.epochs):
+        for label, at in rows_:
+            w = {i: weight(i) for i in at}
+            g = 1 / (1 + np.exp(-sum(w.values()))) - label
+            if label == rare:
+                g *= max(odds, 1) ** settings.balance
+            for i in at:
+                z[i] += g - ((n[i] + g * g) ** 0.5 - n[i] ** 0.5) / settings.alpha * w[i]
+                n[i] += g * g
+    return {i: weight(i) for i in z if weight(i)}
+
+
+@pytest.mark.parametrize("model", [toxicity, quality_model])
+def test_training_equals_one_coordinate_at_a_time(model):
+    rng = np.random.default_rng(4)
+    rows_ = []
+    for _ in range(600):
+        label = float(rng.random() < 0.25)
+        own = rng.integers(1, 30, 4) if label else rng.integers(20, 60, 4)
+        rows_.append((label, np.unique(np.concatenate([[0], own, rng.integers(100, 400, 8)])).astype(np.int64)))
+    got = ftrl.train(rows_, model.SETTINGS)
+    expected = _plain_ftrl([(label, [int(i) for i in at]) for label, at in rows_], model.SETTINGS)
+    assert len(expected) > 10 and got.keys() == expected.keys()
+    assert all(abs(got[i] - expected[i]) < 1e-9 for i in expected)
+
+
+def test_pairs_and_skips_equal_a_loop():
+    """Words, neighbours and skip-grams of the toxicity model, found with plain loops."""
+    grams, mask = toxicity.SETTINGS.grams, (1 << 64) - 1
+
+    def mix(x):
+        x = ((x ^ (x >> 31)) * 0x9E3779B97F4A7C15) & mask
+        return x ^ (x >> 29)
+
+    low = lambda x: max(mix(x) & ((1 << ftrl.BITS) - 1), 1)
+    texts = ["You, YOU  fool... of a fool", "", "one", "a b a b a b c", "ä ö ü " * 9]
+    expected = set()
+    for i, text in enumerate(texts):
+        h = [xxhash.xxh3_64_intdigest(w) for w in regex.findall(r"\w+|[^\w\s]+", text.lower())]
+        found = {low(x) for x in h}
+        for d in grams.pairs:
+            found |= {low((mix((a + 17 * d) & mask) * 0x9E3779B97F4A7C15 + b) & mask) for a, b in zip(h, h[d:])}
+        expected |= {i << ftrl.BITS | x for x in found}
+    assert set(ftrl.features(texts, grams)[0].tolist()) == expected
+
+
+def test_scores_equal_a_sum_of_weights(spark, docs, data):
+    grams = toxicity.SETTINGS.grams
+    weights = {0: -0.5, **{i: (i % 7 - 3) / 5 for i in range(1, 1 << ftrl.BITS, 3)}}
+    got = Counter((r.doc_id, round(r.score, 9)) for r in ftrl.scored(rows.texts(docs), weights, grams).collect())
+    expected = Counter()
+    for doc_id, text, *_ in data:
+        at = [int(x) for x in ftrl.features([text or ""], grams)[0]]
+        expected[doc_id, round(1 / (1 + np.exp(-np.clip(weights[0] + sum(weights.get(i, 0) for i in at), -35, 35))), 9)] += 1
+    assert got == expected
+
+
 def test_features_do_not_depend_on_company():
     grams = quality_model.SETTINGS.grams
     texts = ["a b a b", "", "One two three !!", "x", "a b a b c"]

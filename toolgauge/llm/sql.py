@@ -12,18 +12,18 @@ def _op10() -> str:
         for i, (_, bad, good) in enumerate(rules.RULES)
     )
     smooth, rounds = rules.SMOOTHING, []
+    believed = f"{rules.BELIEF_SHARE} * (any_value(g) + any_value(b))"
+    alarm, rest = rules.BELIEVED_ALARM, (1 - rules.BELIEVED_ALARM) / 2
     for r in range(1, rules.ROUNDS + 1):
         rounds.append(f"""
 t{r} AS MATERIALIZED (SELECT sum(n * q) + 0.0 AS g, sum(n * (1 - q)) + 0.0 AS b FROM q{r - 1}),
 m{r} AS MATERIALIZED (
-  SELECT slot,
-    CASE WHEN slot % 3 = 0 THEN least(good, {rules.MAX_FALSE_ALARM}) ELSE good END AS good, bad
-  FROM (
-    SELECT slots.slot,
-      (coalesce(sum(n * q), 0) + {smooth}) / (any_value(g) + {3 * smooth}) AS good,
-      (coalesce(sum(n * (1 - q)), 0) + {smooth}) / (any_value(b) + {3 * smooth}) AS bad
-    FROM slots CROSS JOIN t{r} LEFT JOIN filled ON filled.slot = slots.slot
-    LEFT JOIN q{r - 1} ON q{r - 1}.pattern = filled.pattern GROUP BY slots.slot)),
+  SELECT slots.slot,
+    (coalesce(sum(n * q), 0) + {smooth} + {believed} * CASE WHEN slots.slot % 3 = 0 THEN {alarm} ELSE {rest} END)
+      / (any_value(g) + {3 * smooth} + {believed}) AS good,
+    (coalesce(sum(n * (1 - q)), 0) + {smooth}) / (any_value(b) + {3 * smooth}) AS bad
+  FROM slots CROSS JOIN t{r} LEFT JOIN filled ON filled.slot = slots.slot
+  LEFT JOIN q{r - 1} ON q{r - 1}.pattern = filled.pattern GROUP BY slots.slot),
 q{r} AS MATERIALIZED (
   SELECT p.pattern, p.n,
     1 / (1 + exp(-ln((any_value(g) + {smooth}) / (any_value(b) + {smooth})) - sum(ln(good / bad)))) AS q

@@ -6,7 +6,9 @@ maximisation over the counts of vote patterns; the posterior probability of the
 class decides. There are at most 3 ** len(RULES) patterns however many documents there
 are, so the fit sees all documents through one small aggregate.
 
-Everything is built from Spark SQL functions.
+Everything is built from Spark SQL functions. Windows of words are compared by 64-bit
+hashes: two different ones of a text agree with odds of n * n / 2^65 for n windows, 3e-8
+for a million words. Texts of any length are taken whole; one row holds its words.
 
 Defined results: a null or empty text has no words, counts of 0 and fails the base rule.
 A null doc_id stays null. Rows that repeat are judged alike, one result each. An empty
@@ -34,9 +36,11 @@ ROUNDS = 20
 THRESHOLD = 0.5
 # Votes added to each (rule, class): keeps every probability above 0.
 SMOOTHING = 1.0
-# Rules are written so that few good documents get their bad vote; a fit that says
-# otherwise has mistaken one kind of bad document for good ones.
-MAX_FALSE_ALARM = 0.02
+# What is believed before any document is seen, so that the two classes do not change
+# places: a rule calls so many good documents bad. The belief counts like this share of
+# all documents, little enough for a rule that is wrong more often to be found out.
+BELIEVED_ALARM = 0.05
+BELIEF_SHARE = 0.01
 
 # name, SQL condition of a bad vote, SQL condition of a good vote; else the rule abstains.
 # The SQL runs on Spark and on DuckDB; multiplications avoid a division by 0 words.
@@ -167,7 +171,13 @@ def posteriors(patterns: DataFrame) -> DataFrame:
     def total(weights: Column) -> Column:
         return F.aggregate(weights, F.lit(0.0), lambda a, b: a + b)
 
-    def shares(mass: Column) -> Column:
+    believed = BELIEF_SHARE * total(F.transform("p", lambda r: r["n"]))
+
+    def alarm(s: Column) -> Column:
+        """Votes that the belief adds to a slot of the good class."""
+        return believed * F.when(s % 3 == 0, BELIEVED_ALARM).otherwise((1 - BELIEVED_ALARM) / 2)
+
+    def shares(mass: Column, added=lambda s: F.lit(0.0), added_total: Column | float = 0.0) -> Column:
         """log P(vote | class) per slot, with the class's mass per pattern."""
         return F.transform(
             F.sequence(F.lit(0), F.lit(slots - 1)),
@@ -183,8 +193,9 @@ def posteriors(patterns: DataFrame) -> DataFrame:
                         )
                     )
                     + SMOOTHING
+                    + added(s)
                 )
-                / (total(mass) + 3 * SMOOTHING)
+                / (total(mass) + 3 * SMOOTHING + added_total)
             ),
         )
 
@@ -192,11 +203,7 @@ def posteriors(patterns: DataFrame) -> DataFrame:
         good = F.zip_with("p", q, lambda r, x: r["n"] * x)
         bad = F.zip_with("p", q, lambda r, x: r["n"] * (1 - x))
         # The odds per slot and the prior, bound once for all patterns of this round.
-        expected = F.transform(
-            shares(good),
-            lambda x, s: F.when(s % 3 == 0, F.least(x, F.log(F.lit(MAX_FALSE_ALARM)))).otherwise(x),
-        )
-        odds = F.zip_with(expected, shares(bad), lambda a, b: a - b)
+        odds = F.zip_with(shares(good, alarm, believed), shares(bad), lambda a, b: a - b)
         prior = F.log((total(good) + SMOOTHING) / (total(bad) + SMOOTHING))
         bound = F.array(F.struct(odds.alias("odds"), prior.alias("prior")))
         return F.flatten(
