@@ -16,7 +16,7 @@ MIN_FAILURES = 5
 # Limits of the minimum cluster size.
 SMALLEST_CLUSTER, LARGEST_MINIMUM = 2, 5
 
-_CLUSTERS_PER_BUCKET = 100_000
+CLUSTERS_PER_BUCKET = 100_000
 
 
 def min_cluster_size(failures: int) -> int:
@@ -52,14 +52,42 @@ def mutual_reachability(found: DataFrame, cores: DataFrame) -> DataFrame:
     )
 
 
-def tree_of(index: Index) -> tuple[DataFrame, DataFrame]:
+def as_floats(column: str) -> Column:
+    """A vector as 32-bit numbers, without negative zeros."""
+    return F.transform(F.col(column).cast("array<float>"), lambda x: x + F.lit(0.0).cast("float"))
+
+
+def _digest(vector: Column) -> Column:
+    return F.xxhash64(vector)
+
+
+def by_vector(rows: DataFrame, column: str, named: DataFrame) -> DataFrame:
+    """Rows joined with the facts of their vector; `named` has `vec`, one row for each that occurs.
+
+    Rows carry a number of 64 bits in place of the vector. Vectors whose numbers meet by
+    accident are told apart by themselves. A hot vector has one row on the other side.
+    """
+    named = settle(named.withColumn("_digest", _digest(F.col("vec"))))
+    shared = named.groupBy("_digest").agg(F.count("*").alias("_n")).filter("_n > 1").select("_digest")
+    alone = named.join(shared, "_digest", "left_anti").drop("vec")
+    several = named.join(shared, "_digest", "left_semi").withColumnRenamed("_digest", "_other")
+    rows = rows.withColumn("_digest", _digest(F.col(column)))
+    met = rows.join(several, (F.col("_digest") == F.col("_other")) & (F.col(column) == F.col("vec")))
+    return rows.join(alone, "_digest").drop("_digest").unionByName(met.drop("_digest", "_other", "vec"))
+
+
+def tree_of(index: Index, owners: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Core distances and the spanning tree under mutual reachability.
 
     Of edges of equal weight that with the smaller (u, v) is taken, so the tree is unique.
+    With `owners` (pid, _set) there is a tree for each set; sets must be farther from each
+    other than any two points of one set.
     """
     found = settle(neighbors.nearest(index))
     cores = neighbors.core_distances(index, found).transform(settle)
     edges = settle(neighbors.known_edges(index, found, cores))
+    if owners is not None:
+        edges = settle(neighbors.edges_inside(index, edges, cores, owners))
     tree, _ = contract(edges, neighbors.edge_search(index, cores))
     return cores, tree.transform(settle)
 
@@ -85,24 +113,23 @@ def cluster_members(
     failures = failures.filter(sound)
     m = min_cluster_size(count)
     # Vectors are compared, and matched to their labels, as 32-bit numbers.
-    failures = failures.withColumn("_vec", F.col("embedding").cast("array<float>"))
+    failures = failures.withColumn("_vec", as_floats("embedding"))
     index = index_of(failures.select("ord", F.col("_vec").alias("embedding")), m, block_rows)
     cores, tree = tree_of(index)
     chosen = select_clusters(leaf_clusters(tree, cores, m))
-    named = index.points.select("pid", "vec").join(chosen, "pid").transform(settle)
+    # Without an edge, as where all vectors are equal, there is nothing to choose from: noise.
+    named = index.points.select("pid", "vec").join(chosen, "pid", "left").transform(settle)
     firsts = (
         named.filter(F.col("cluster").isNotNull())
         .groupBy("cluster")
         .agg(F.min("pid").alias("first"))
-        .withColumn("_bucket", F.floor(F.col("first") / _CLUSTERS_PER_BUCKET))
+        .withColumn("_bucket", F.floor(F.col("first") / CLUSTERS_PER_BUCKET))
     )
     numbers = dense_positions(firsts, ["_bucket"], ["first"], "cluster_id")
     labels = named.join(numbers.select("cluster", "cluster_id"), "cluster", "left").select(
-        F.col("vec").alias("_vec"),
-        F.coalesce("cluster_id", F.lit(clusters.NOISE)).cast("long").alias("cluster_id"),
+        "vec", F.coalesce("cluster_id", F.lit(clusters.NOISE)).cast("long").alias("cluster_id")
     )
-    # One label row per vector; copies of a hot vector are split by adaptive execution.
-    members = failures.join(labels, "_vec").drop("_vec")
+    members = by_vector(failures, "_vec", labels).drop("_vec")
     return members.unionByName(odd) if counts.get(False) else members
 
 

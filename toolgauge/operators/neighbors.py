@@ -170,6 +170,21 @@ def known_edges(index: Index, neighbors: DataFrame, cores: DataFrame) -> DataFra
     )
 
 
+def edges_inside(index: Index, edges: DataFrame, cores: DataFrame, owners: DataFrame) -> DataFrame:
+    """The known edges inside sets, and those from each point to the first of its set."""
+    at = lambda end: owners.select(F.col("pid").alias(end), F.col("_set").alias(f"_set_{end}"))
+    inside = edges.join(at("u"), "u").join(at("v"), "v").filter("_set_u = _set_v").select("u", "v", "w")
+    points = index.points.select("pid", "vec").join(cores.select("pid", "core"), "pid").join(owners, "pid")
+    first = F.min_by(F.struct("pid", "vec", "core"), "pid").alias("hub")
+    hubs = points.groupBy("_set").agg(first)
+    star = points.join(hubs, "_set").filter(F.col("pid") != F.col("hub.pid")).select(
+        F.col("hub.pid").alias("u"),
+        F.col("pid").alias("v"),
+        F.greatest(span("vec", "hub.vec"), "core", "hub.core").alias("w"),
+    )
+    return inside.unionByName(star.join(inside.select("u", "v"), ["u", "v"], "left_anti"))
+
+
 def _lightest_met(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
     """The lightest edge from each component in one block to others in the other block."""
     if left.empty or right.empty:

@@ -11,6 +11,7 @@ from toolgauge.operators import (
     catalog,
     clusters,
     density,
+    evaluation_clusters,
     metrics,
     neighbors,
     prompts,
@@ -269,8 +270,8 @@ def _index(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Index]:
 def core_distances(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, index = _index(spark, sf_dir)
     cores = neighbors.core_distances(index, neighbors.nearest(index))
-    named = index.points.select("pid", F.col("vec").alias("embedding")).join(cores, "pid")
-    return rows.join(named, "embedding").select("ord", F.round("core", 6).alias("core_distance"))
+    named = index.points.select("pid", "vec").join(cores, "pid").select("vec", "core")
+    return density.by_vector(rows, "embedding", named).select("ord", F.round("core", 6).alias("core_distance"))
 
 
 def mutual_reachability(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -304,6 +305,28 @@ def failure_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return density.failure_clusters(cluster_members(spark, sf_dir))
 
 
+def _evaluation_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Failures of every evaluation with their vectors, clustered evaluation by evaluation."""
+    keys = ["run_id", "iteration"]
+    encoded = inputs.table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("ord"), "embedding")
+    failed = scoring.failures(_evaluated(spark, sf_dir), *keys).join(encoded, "ord", "left")
+    return settle(evaluation_clusters.cluster_sets(failed, keys, BLOCK_ROWS))
+
+
+def evaluation_clusters_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clusters of each evaluation's failures, how many it has of them and of failures."""
+    found = evaluation_clusters.set_clusters(_evaluation_members(spark, sf_dir), ["run_id", "iteration"])
+    return found.select("run_id", "iteration", "cluster_id", "label", "size", "cluster_ord", "failures")
+
+
+def evaluation_patch_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From scored evaluations to patch prompts: failures, vectors, clusters, prompts."""
+    keys = ["run_id", "iteration"]
+    members = _evaluation_members(spark, sf_dir)
+    found = evaluation_clusters.set_clusters(members, keys)
+    return prompts.patch_prompts(members.drop("embedding"), found, *keys)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -347,5 +370,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         mst_weights,
         cluster_members,
         failure_clusters,
+        evaluation_clusters_found,
+        evaluation_patch_prompts,
     )
 }
