@@ -99,3 +99,21 @@ def test_rows_without_a_usable_vector_are_noise(spark):
     assert len(got) == len(rows) and all(got[i] == -1 for i in range(50, 55))
     few = {r.ord: r.cluster_id for r in density.cluster_members(df.filter("ord IN (0, 1, 50, 51, 52)")).collect()}
     assert few == {0: 0, 1: 0, 50: -1, 51: -1, 52: -1}
+
+
+def test_chunks_meet_without_a_copy_for_each(spark, monkeypatch):
+    """All points are about equally far apart, so every chunk meets every other one."""
+    from toolgauge.operators import chunks
+
+    monkeypatch.setattr(chunks, "ROWS", 32)
+    x = RNG.normal(0, 1, (400, 48))
+    x = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
+    index = density.index_of(rows(spark, x).select("ord", "embedding"), 5, 16)
+    assert len(index.chunks.heads) > 8
+    cores, tree = density.tree_of(index)
+    core, reach = core_and_reach(x.astype(np.float64), 5)
+    assert np.allclose([r.core for r in cores.orderBy("pid").collect()], core, atol=1e-9)
+    assert np.isclose(sum(r.w for r in tree.collect()), tree_weight(reach), atol=1e-6)
+    found = neighbors.nearest(index)
+    assert found.count() == 5 * len(x)
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
