@@ -321,3 +321,16 @@ def test_calibration_without_one_label():
     rows_ = [(0.0, np.array([0, 5])), (1.0, np.array([0, 6]))]
     settings = ftrl.Settings(ftrl.Grams(), calibrate=5)
     assert ftrl.calibrated(rows_, settings) == ftrl.train(rows_, settings)
+
+
+def test_features_with_a_weight_are_all_a_score_needs():
+    texts = ["Free MONEY now, now!", "", "a\x1cb \x85 naïve — ok", "x_1 " * 40, "über alles"]
+    for settings in (toxicity.SETTINGS, quality_model.SETTINGS):
+        every, counts = ftrl.features(texts, settings.grams)
+        wanted = np.zeros(1 << ftrl.BITS, bool)
+        wanted[(every[::3] & np.uint64((1 << ftrl.BITS) - 1)).astype(np.int64)] = True
+        some, again = ftrl.features(texts, settings.grams, wanted)
+        assert np.array_equal(some, every[wanted[(every & np.uint64((1 << ftrl.BITS) - 1)).astype(np.int64)]])
+        assert 0 < len(some) < len(every) and np.array_equal(counts, again)
+    text = "".join(map(chr, range(128))) * 2
+    assert ftrl._words(text) == regex.findall(r"\w+|[^\w\s]+", text)

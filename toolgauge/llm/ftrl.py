@@ -9,6 +9,7 @@ thousand weights, which are sent to all tasks. Everything else covers all rows.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 from itertools import chain
 
@@ -28,6 +29,8 @@ FALSE_ALARM = 3
 _HELD = 500_000
 _GROUP = 1 << 21
 _WORD = regex.compile(r"\w+|[^\w\s]+")
+# The same on ASCII texts, in half the time.
+_ASCII_WORD = re.compile(r"[A-Za-z0-9_]+|[^A-Za-z0-9_ \t\n\r\x0b\x0c]+")
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -98,13 +101,28 @@ class _Known(dict):
         return self.table
 
 
-def features(texts: list[str], grams: Grams) -> tuple[np.ndarray, np.ndarray]:
-    """(text number << BITS | feature) sorted and different, and the number of texts' words."""
+def _different(x: np.ndarray) -> np.ndarray:
+    """Sorted different numbers; several times as fast as np.unique, which hashes them."""
+    x = np.sort(x)
+    keep = np.ones(len(x), bool)
+    keep[1:] = x[1:] != x[:-1]
+    return x[keep]
+
+
+def _words(text: str) -> list[str]:
+    return (_ASCII_WORD if text.isascii() else _WORD).findall(text)
+
+
+def features(texts: list[str], grams: Grams, wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(text number << BITS | feature) sorted and different, and the number of texts' words.
+
+    With `wanted`, a mark for each feature number, only features so marked.
+    """
     held = tokens.worker_cache("words")
     known = held.setdefault("words", _Known())
     if len(known) > _HELD:
         known = held["words"] = _Known()
-    split = [_WORD.findall(text.lower() if grams.lower else text) for text in texts]
+    split = [_words(text.lower() if grams.lower else text) for text in texts]
     counts = np.fromiter(map(len, split), np.int64, len(split))
     at = np.fromiter(map(known.__getitem__, chain.from_iterable(split)), np.int64, int(counts.sum()))
     hashes, shapes = known.arrays()
@@ -115,7 +133,11 @@ def features(texts: list[str], grams: Grams) -> tuple[np.ndarray, np.ndarray]:
 
     def add(owner, gram):
         # Number 0 stands for the constant term.
-        found.append(owner << np.uint64(BITS) | np.maximum(_mix(gram) & mask, np.uint64(1)))
+        number = np.maximum(_mix(gram) & mask, np.uint64(1))
+        if wanted is not None:
+            keep = wanted[number]
+            owner, number = owner[keep], number[keep]
+        found.append(owner << np.uint64(BITS) | number)
 
     def joined(values, distance, salt):
         own = text[distance:] == text[:-distance] if len(text) > distance else np.zeros(0, bool)
@@ -151,13 +173,13 @@ def features(texts: list[str], grams: Grams) -> tuple[np.ndarray, np.ndarray]:
         owner, pair = joined(words, 1, 17)
         if len(owner):
             key = owner << np.uint64(40) | (_mix(pair) >> np.uint64(24))
-            different = np.unique(key) >> np.uint64(40)
+            different = _different(key) >> np.uint64(40)
             total = np.bincount(owner.astype(np.int64), minlength=len(texts))
             once = np.bincount(different.astype(np.int64), minlength=len(texts))
             some = np.flatnonzero(total)
             bucket = np.digitize(1 - once[some] / total[some], (0.1, 0.2, 0.3, 0.4, 0.5, 0.7, 0.9))
             add(some.astype(np.uint64), bucket.astype(np.uint64) + np.uint64(1 << 50))
-    return np.unique(np.concatenate(found)), counts
+    return _different(np.concatenate(found)), counts
 
 
 def grouped(texts: list[str]):
@@ -297,9 +319,11 @@ def scorer(weights: dict[int, float], grams: Grams):
     def score(texts: list[str]) -> np.ndarray:
         dense = np.zeros(1 << BITS)
         dense[at] = values
+        # Features without a weight add nothing, so they need not be told apart.
+        wanted = dense != 0
         out = []
         for part in grouped(texts):
-            keys, counts = features(part, grams)
+            keys, counts = features(part, grams, wanted)
             own = dense[(keys & np.uint64((1 << BITS) - 1)).astype(np.int64)]
             sums = np.bincount((keys >> np.uint64(BITS)).astype(np.int64), own, len(counts))
             out.append(1 / (1 + np.exp(-np.clip(sums + dense[0], -35, 35))))
