@@ -163,3 +163,22 @@ def test_empty_tables(spark, tmp_path):
     assert exact_dedup.find_exact(none).count() == 0
     assert minhash.find_near(none).count() == 0
     assert minhash.keep_one(none).columns == none.columns
+
+
+def test_rounds_end_when_all_buckets_are_inside_one_component(spark, tmp_path, monkeypatch):
+    words = [f"w{i}" for i in range(200)]
+    texts = [" ".join(words[:100] + [f"x{k}"]) for k in range(12)] + [" ".join(f"{k}_{i}" for i in range(60)) for k in range(8)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    calls, plain = [], minhash.confirmed
+    monkeypatch.setattr(minhash, "confirmed", lambda *a: calls.append(1) or plain(*a))
+    got = {r.doc_id: r.component_id for r in minhash.find_near(docs).collect()}
+    assert got == {k: 0 if k < 12 else k for k in range(20)}
+    assert len(calls) == 1
+
+
+def test_links_that_join_components(spark):
+    links = lambda pairs: spark.createDataFrame(pairs, "a long, b long")
+    first, second = [(1, 2), (5, 9), (9, 7), (20, 21)], [(2, 7), (30, 31), (21, 40), (1, 2), (9, 5)]
+    known = components.components(links(first))
+    got = sorted(map(tuple, minhash._joined(known, links(second)).collect()))
+    assert got == sorted(map(tuple, components.components(links(first + second)).collect()))

@@ -80,7 +80,10 @@ def shingles(text: bytes, words: int = WORDS) -> np.ndarray:
     mixed = np.zeros(len(parts) - n + 1, np.uint64)
     for k in range(n):
         mixed = _mix(mixed + hashes[k : k + len(mixed)])
-    return np.unique(mixed)
+    mixed.sort()
+    keep = np.ones(len(mixed), bool)
+    keep[1:] = mixed[1:] != mixed[:-1]
+    return mixed[keep]
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -248,10 +251,12 @@ def connected(docs: DataFrame, found: DataFrame, percent: int = PERCENT, words:
             "key", "i", "j", "node", F.coalesce("component", "node").alias("component")
         )
 
-    done: DataFrame | None = None
     known: DataFrame | None = None
     for turn in range(LEADER_ROUNDS + 1):
         members = settle(apart(labelled(known)))
+        if members.isEmpty():
+            # Every bucket lies inside one component.
+            break
         if turn < LEADER_ROUNDS:
             draw = F.struct((F.xxhash64("node", F.lit(turn)) if turn else F.lit(0).cast("long")).alias("draw"), "node", "component")
             leaders = members.groupBy("key").agg(F.min(draw).alias("lead"))
@@ -263,9 +268,25 @@ def connected(docs: DataFrame, found: DataFrame, percent: int = PERCENT, words:
         else:
             pairs = _remaining(members, sized, percent)
         new = settle(confirmed(pairs, full, percent))
-        done = new if done is None else done.union(new)
-        known = settle(components(done))
-    return known
+        if not new.isEmpty():
+            known = settle(_joined(known, new))
+    return sized.select("node", F.col("node").alias("component")).limit(0) if known is None else known
+
+
+def _joined(known: DataFrame | None, links: DataFrame) -> DataFrame:
+    """node, component, after more links: only what they join is looked at again."""
+    if known is None:
+        return components(links)
+    of = lambda name: known.toDF(name, f"of_{name}")
+    ends = links.join(of("a"), "a", "left").join(of("b"), "b", "left").select(
+        "a", "b", F.coalesce("of_a", "a").alias("x"), F.coalesce("of_b", "b").alias("y")
+    )
+    ends = settle(ends)
+    grown = settle(components(ends.select(F.col("x").alias("a"), F.col("y").alias("b")))).toDF("component", "lower")
+    fresh = ends.select("a").union(ends.select("b")).distinct().toDF("node").join(known, "node", "left_anti")
+    return known.union(fresh.withColumn("component", F.col("node"))).join(grown, "component", "left").select(
+        "node", F.coalesce("lower", "component").alias("component")
+    )
 
 
 def _remaining(members: DataFrame, sized: DataFrame, percent: int) -> DataFrame:
