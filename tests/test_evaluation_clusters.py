@@ -70,3 +70,17 @@ def test_vectors_whose_digests_meet(spark, monkeypatch):
         monkeypatch.setattr(density, "_digest", digest)
         got = density.by_vector(rows, "embedding", named).collect()
         assert len(got) == len(COPIES) and {r.ord: r.first for r in got} == want
+
+
+def test_failures_are_computed_once(spark, failures):
+    keys, seen = ["run_id", "iteration"], spark.sparkContext.accumulator(0)
+    few = failures.filter("run_id IN ('c', 'd')")
+
+    def passed(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    found = evaluation_clusters.cluster_sets(few.mapInArrow(passed, few.schema), keys, block_rows=16)
+    summary = evaluation_clusters.set_clusters(found, keys).collect()
+    assert sum(r["size"] for r in summary) == found.count() == seen.value == few.count() == 19

@@ -10,6 +10,7 @@ their minimum cluster size, of which there are four at most; each size has round
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -36,16 +37,21 @@ def _sets(failures: DataFrame, keys: list[str]) -> DataFrame:
     return settle(dense_positions(settle(placed), ["_bucket"], keys, "_set").drop("_bucket"))
 
 
-def _in_order(failures: DataFrame, sets: DataFrame, keys: list[str]) -> DataFrame:
-    """Failures with the facts of their set and `_row`, a number that grows with (set, ord)."""
-    renamed = sets.select(*[F.col(key).alias(f"_of_{key}") for key in keys], "_set", "_all", "_usable", "_m")
-    same = None
-    for key in keys:
-        one = F.col(key).eqNullSafe(F.col(f"_of_{key}"))
-        same = one if same is None else same & one
-    joined = failures.join(renamed, same).drop(*[f"_of_{key}" for key in keys])
+def _same(keys: list[str], left: str, right: str) -> Column:
+    """Equality of all keys, by name pattern; a null key is a key like any other."""
+    return reduce(Column.__and__, [F.col(left.format(key)).eqNullSafe(F.col(right.format(key))) for key in keys])
+
+
+def _with_set(rows: DataFrame, sets: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows with the facts of their set."""
+    renamed = sets.select(*[F.col(key).alias(f"_of_{key}") for key in keys], "_set", "_all", "_m")
+    return rows.join(renamed, _same(keys, "{}", "_of_{}")).drop(*[f"_of_{key}" for key in keys])
+
+
+def _in_order(sound: DataFrame) -> DataFrame:
+    """Rows with `_row`, a number that grows with (set, ord)."""
     # Ranges depend on a sample, so the numbers are stored with the rows.
-    ranges = joined.repartitionByRange("_set", "ord").sortWithinPartitions("_set", "ord")
+    ranges = sound.repartitionByRange("_set", "ord").sortWithinPartitions("_set", "ord")
     return settle(ranges.withColumn("_row", F.monotonically_increasing_id()))
 
 
@@ -54,7 +60,7 @@ def _apart(rows: DataFrame, sets: int) -> Column:
     square = F.aggregate(
         F.col("embedding"), F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")
     )
-    longest = math.sqrt(rows.filter("_sound").agg(F.max(square)).first()[0] or 0.0)
+    longest = math.sqrt(rows.agg(F.max(square)).first()[0] or 0.0)
     # A power of two: multiples stay exact as 32-bit numbers.
     step = 2.0 ** math.ceil(math.log2(4 * longest + 1))
     side = math.isqrt(max(sets - 1, 0)) + 1
@@ -69,24 +75,26 @@ def cluster_sets(failures: DataFrame, keys: list[str], block_rows: int = BLOCK_R
     length of a vector is that of all sets together. A null key is a key like any other.
     """
     columns = failures.columns
-    marked = failures.withColumn("_sound", density.usable(failures))
-    sets = _sets(marked, keys)
-    rows = _in_order(marked, sets, keys)
-    vectors = settle(
-        rows.filter(F.col("_sound") & F.col("_m").isNotNull())
-        .select("_row", "_set", "_m", _apart(rows, sets.count()).alias("_vec"))
-    )
+    # Where failures come from may be costly (parsing of all answers), so it runs once; all steps
+    # read what is stored, and of that only the columns they need.
+    rows = settle(failures.withColumn("_at", F.monotonically_increasing_id()))
+    rows = rows.withColumn("_sound", density.usable(rows))
+    sets = _sets(rows, keys)
+    sound = rows.filter("_sound").select(*keys, "_at", "ord", "embedding")
+    placed = _in_order(_with_set(sound, sets.filter("_m IS NOT NULL"), keys))
+    vectors = settle(placed.select("_row", "_at", "_set", "_m", _apart(placed, sets.count()).alias("_vec")))
     found = None
     for m in [row["_m"] for row in vectors.select("_m").distinct().collect()]:  # four at most
         one = _clusters_of(vectors.filter(F.col("_m") == m), m, block_rows)
         found = one if found is None else found.unionByName(one)
     # Sets with too few rows, or too few vectors, are one cluster.
     alone = F.when(F.col("_sound") | (F.col("_all") < density.MIN_FAILURES), 0).otherwise(clusters.NOISE)
+    rows = _with_set(rows, sets, keys)
     if found is None:
         return rows.withColumn("cluster_id", alone.cast("long")).select(*columns, "cluster_id")
-    known = settle(density.by_vector(vectors.drop("_m"), "_vec", _numbered(settle(found))).select("_row", "cluster_id"))
+    known = settle(density.by_vector(vectors.drop("_m"), "_vec", _numbered(settle(found))).select("_at", "cluster_id"))
     rest = F.when(F.col("_m").isNull(), alone).otherwise(clusters.NOISE)
-    return rows.join(known, "_row", "left").select(
+    return rows.join(known, "_at", "left").select(
         *columns, F.coalesce("cluster_id", rest).cast("long").alias("cluster_id")
     )
 
@@ -120,12 +128,8 @@ def set_clusters(members: DataFrame, keys: list[str]) -> DataFrame:
     """One row per set and cluster; a set too small to cluster is one general cluster."""
     summary = clusters.summarise(members, *keys)
     totals = summary.groupBy(*keys).agg(F.sum("size").alias("_total"))
-    same = None
-    for key in keys:
-        one = F.col(f"s.{key}").eqNullSafe(F.col(f"t.{key}"))
-        same = one if same is None else same & one
     label = F.when(F.col("_total") < density.MIN_FAILURES, clusters.GENERAL_LABEL).otherwise(F.col("s.label"))
-    return summary.alias("s").join(totals.alias("t"), same).select(
+    return summary.alias("s").join(totals.alias("t"), _same(keys, "s.{}", "t.{}")).select(
         *[F.col(f"s.{key}").alias(key) for key in keys], "cluster_id", label.alias("label"), "size", "cluster_ord",
         F.col("_total").alias("failures"),
     )
