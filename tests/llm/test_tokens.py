@@ -41,6 +41,31 @@ def test_encoder_is_the_library(path):
         assert [list(x) for x in encode(texts)] == [reader.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_runs_of_a_folding_vocabulary_are_encoded_once():
+    asked, reader = [], Tokenizer.from_file(WORD)
+
+    def noted(encode):
+        return lambda strings: asked.extend(strings) or encode(strings)
+
+    runs, words = tokens.library_runs(WORD), tokens.library_words(WORD)
+    encode = tokens.Encoder("noted", tokens.library_pieces(WORD), noted(words), runs=noted(runs))
+    text = 'a tree Tree, TREE!! (tree) "tree"\nTree.\ntree élan ÉLAN; oak-tree? don\'t \n x'
+    assert list(encode([text])[0]) == reader.encode(text, add_special_tokens=False).ids
+    assert asked.count("tree") == asked.count("élan") == 1 and not any("Tree" in one for one in asked)
+    assert tokens.library_runs(BYTE) is None
+
+
+def test_mixed_pieces_are_the_library():
+    rng, reader = np.random.default_rng(6), Tokenizer.from_file(WORD)
+    bits = ["a", "Tree", "s", "ll", "É", "ß", "ÿ", "œ", "İ", "\u212a", "Σ", "\u0301", "\u0338", "\u200b", "²", "7", "'", "’", "!", "?!"]
+    bits += ["(", ".", ",", "-", "=", "<", "<|endoftext|>", "|>", "\n", "\r\n", "\t", "\x0b", "\x1c", "\xa0", " ", "  ", "_", "漢", "가", "ᅡ"]
+    texts = ["".join(bits[i] for i in rng.integers(0, len(bits), rng.integers(1, 9))) for _ in range(4000)]
+    texts = [f"x {text} y" for text in texts] + texts
+    got = tokens.library_encoder(WORD)(texts)
+    for text, ids in zip(texts, got):
+        assert list(ids) == reader.encode(text, add_special_tokens=False).ids, repr(text)
+
+
 def test_own_bpe_is_the_library():
     model, reader = bpe.load(BYTE), Tokenizer.from_file(BYTE)
     encode = tokens.Encoder("test", model.strings, model.spaced, 50)

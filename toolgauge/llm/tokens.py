@@ -4,10 +4,15 @@ Splitting a text at each single space that stands between two other characters c
 change its tokens: no token spans such a space except as its first character. Each piece
 is therefore encoded once per worker and looked up from then on. Texts in which a space
 touches other white space, or that hold a very long piece, are encoded whole.
+
+A vocabulary that drops white space, folds case and cuts between letters and marks needs less:
+a piece of Latin letters and marks is put together from its runs, each encoded once.
 """
 
 from __future__ import annotations
 
+import json
+import re
 import sys
 from itertools import chain
 from operator import itemgetter
@@ -24,6 +29,14 @@ _EACH = 140
 _JOINED = 2048
 # Characters that are looked up together.
 _GROUP = 1 << 21
+# What may be cut into runs: no apostrophe, which may start a token of letters, nothing that
+# composes with a neighbour, and no mark that an added token has.
+_PLAIN = re.compile(r'[A-Za-zÀ-ÖØ-öø-ÿ!"(),.:;?\t\n\r-]*')
+_RUN = re.compile(r'[a-zß-öø-ÿ]+|[!"(),.:;?-]+')
+# How a tokenizer file says that it cuts at these runs and ends each with _END.
+_FOLDED = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+_CUT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_END = "</w>"
 
 
 def worker_cache(kind: str = "tokens") -> dict:
@@ -90,6 +103,52 @@ def library_words(path: str):
     return encode
 
 
+def folded_runs(piece: str) -> list[str] | None:
+    """The runs of a piece in lower case, without white space; None if it holds anything else."""
+    return _RUN.findall(piece.lower()) if _PLAIN.fullmatch(piece) else None
+
+
+def library_runs(path: str):
+    """Like library_words, for single runs of a vocabulary that marks their ends; None for others.
+
+    Cutting by the marks needs no offsets from the library: 4.2 instead of 7.0 µs a word.
+    """
+    held = worker_cache()
+    if ("ends", path) not in held:
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        model, normalizer, cuts = spec["model"], spec["normalizer"] or {}, spec["pre_tokenizer"] or {}
+        first, *rest = cuts.get("pretokenizers", [{}])
+        same = (
+            normalizer.get("normalizers") == _FOLDED
+            and (first.get("pattern"), first.get("behavior"), first.get("invert")) == ({"Regex": _CUT}, "Removed", True)
+            and [(one["type"], one.get("add_prefix_space"), one.get("use_regex")) for one in rest] == [("ByteLevel", False, False)]
+            and (model["type"], model.get("end_of_word_suffix")) == ("BPE", _END)
+            and not model.get("continuing_subword_prefix") and not model.get("dropout")
+            and all(folded_runs(one["content"]) is None for one in spec["added_tokens"])
+        )
+        ends = np.zeros(1 << 16, bool)
+        ends[[number for token, number in model["vocab"].items() if token.endswith(_END)]] = True
+        held["ends", path] = ends if same else None
+    ends = held["ends", path]
+    if ends is None:
+        return None
+
+    def encode(runs: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        flat, sizes = [np.zeros(0, np.uint16)], [np.zeros(0, np.int32)]
+        for k in range(0, len(runs), _JOINED):
+            part = runs[k : k + _JOINED]
+            found = tokenizer(path).encode_batch_fast([" ".join(part)], add_special_tokens=False)
+            flat.append(np.array(found[0].ids, np.uint16))
+            last = np.flatnonzero(ends[flat[-1]])
+            if len(last) != len(part):
+                raise ValueError("this vocabulary does not end each run with a mark")
+            sizes.append(np.diff(last, prepend=-1).astype(np.int32))
+        return np.concatenate(flat), np.concatenate(sizes)
+
+    return encode
+
+
 def _runs(start: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """start, start + 1, ... for each of many runs, one after the other."""
     first = start - (np.cumsum(sizes) - sizes)
@@ -113,11 +172,12 @@ class _Places(dict):
 class Encoder:
     """Token ids of whole texts.
 
-    `strings` and `words` encode as library_pieces and library_words do.
+    `strings` and `words` encode as library_pieces and library_words do; `runs` as library_runs,
+    where the vocabulary allows.
     """
 
-    def __init__(self, key: str, strings, words, most: int = _HELD):
-        self.strings, self.words, self.most = strings, words, most
+    def __init__(self, key: str, strings, words, most: int = _HELD, runs=None):
+        self.strings, self.words, self.most, self.runs = strings, words, most, runs
         self.held = worker_cache().setdefault(("pieces", key), {})
         if not self.held:
             self._forget()
@@ -146,14 +206,17 @@ class Encoder:
         """Encode the new pieces; those at which a text must not be cut get the size -1.
 
         A comma or full stop after a letter is a token of its own, so a piece that ends in
-        one takes its ids from the piece without it.
+        one takes its ids from the piece without it. With `runs`, a piece takes those of its
+        runs instead.
         """
         held = self.held
         place = held["place"]
         words, starts, at_words, at_starts, stops = [], [], [], [], []
+        runs, at_runs, made, of = [], [], [], []
         held["bytes"] += sum(map(len, place.new)) + _EACH * len(place.new)
         begin = place.count - len(place.new)
-        for number, piece in enumerate(place.new, begin):  # grows by stems that are new
+        known = len(place.new)
+        for number, piece in enumerate(place.new, begin):  # grows by stems and runs that are new
             if type(piece) is tuple:
                 if not piece[0][-1:].isspace() and len(piece[0]) <= _LONG:
                     starts.append(piece[0])
@@ -161,17 +224,39 @@ class Encoder:
                 del place[piece]
             elif len(piece) > _LONG:
                 del place[piece]
+            elif self.runs and piece.isascii() and piece.isalpha() and piece.islower():
+                runs.append(piece)
+                at_runs.append(number)
+            elif self.runs and (parts := folded_runs(piece)) is not None:
+                if parts == [piece]:
+                    runs.append(piece)
+                    at_runs.append(number)
+                else:
+                    made.append(number)
+                    of.append([place[part] for part in parts])
             elif piece and not (piece[0].isspace() or piece[-1].isspace()):
-                if piece[-1] in ",." and piece[-2:-1].isalpha():
+                # Folding can leave an accent after a letter, which joins the mark: İ, is not İ and a comma.
+                if not self.runs and piece[-1] in ",." and piece[-2:-1].isalpha():
                     stops.append((number, place[piece[:-1]], piece[-1]))
                 else:
                     words.append(piece)
                     at_words.append(number)
+        if self.runs:
+            held["bytes"] += sum(map(len, place.new[known:])) + _EACH * (len(place.new) - known)
         place.new = []
         size, start = self._room("size", place.count), self._room("start", place.count)
         size[begin : place.count] = -1
         for encode, part, numbers in ((self.words, words, at_words), (self.strings, starts, at_starts)):
             self._keep(numbers, *encode(part))
+        if runs:
+            self._keep(at_runs, *self.runs(runs))
+        if made:
+            counts = np.fromiter(map(len, of), np.int64, len(of))
+            parts = np.fromiter(chain.from_iterable(of), np.int64, int(counts.sum()))
+            flat = held["flat"][_runs(start[parts], size[parts])]
+            ends = np.cumsum(size[parts], dtype=np.int64)
+            sizes = np.diff(np.concatenate([[0], ends])[np.cumsum(counts)], prepend=0)
+            self._keep(made, flat, sizes)
         if stops:
             numbers, stems, marks = (np.array(column) for column in zip(*stops))
             mark = dict(zip(",.", self.strings([",", "."])[0]))
@@ -227,4 +312,4 @@ class Encoder:
 
 def library_encoder(path: str) -> Encoder:
     """Token ids as the tokenizers library gives them without special tokens added."""
-    return Encoder(path, library_pieces(path), library_words(path))
+    return Encoder(path, library_pieces(path), library_words(path), runs=library_runs(path))
